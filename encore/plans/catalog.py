@@ -93,3 +93,341 @@ def retention_report(spark, sf_dir):
     return activity.retention_report(
         _without_blocked(spark, sf_dir), roles.MIN_ITEMS_PER_USER, roles.MIN_PLAYS_PER_ITEM
     )
+
+
+# --- sources ----------------------------------------------------------------
+
+from encore.functions import columns as C  # noqa: E402
+from encore.operators import evaluate, indexing, profile, ranking, sampling  # noqa: E402
+from encore.session import scratch_path  # noqa: E402
+from encore.sources import attributes as attrs  # noqa: E402
+from encore.sources import counts, delimited, logs  # noqa: E402
+
+DRIVER_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+@query
+def parse_log(spark, sf_dir):
+    parsed, _ = logs.parse_correction_log(roles.error_log_lines(spark, sf_dir), logs.ERROR_PREFIX)
+    return parsed
+
+
+@query
+def parse_accepted_log(spark, sf_dir):
+    parsed, _ = logs.parse_correction_log(roles.accepted_log_lines(spark, sf_dir), logs.ACCEPTED_PREFIX)
+    return parsed
+
+
+@query
+def rejected_lines(spark, sf_dir):
+    _, bad_errors = logs.parse_correction_log(roles.error_log_lines(spark, sf_dir), logs.ERROR_PREFIX)
+    _, bad_accepted = logs.parse_correction_log(roles.accepted_log_lines(spark, sf_dir), logs.ACCEPTED_PREFIX)
+    return bad_errors.select(F.lit("errors").alias("log"), "value").unionByName(
+        bad_accepted.select(F.lit("accepted").alias("log"), "value")
+    )
+
+
+@query
+def scan_delimited(spark, sf_dir):
+    """Interactions written as gzip TSV and read back with a fixed schema."""
+    path = scratch_path(spark, "interactions-tsv")
+    delimited.write_delimited(roles.base_interactions(spark, sf_dir), path, sep="\t", compression="gzip")
+    return delimited.read_delimited(spark, path, "user_id string, song_id string, plays int", sep="\t")
+
+
+def _feature_set_files(spark, sf_dir) -> str:
+    """Write the feature role as headerless CSV plus its attribute file."""
+    feats = roles.features(spark, sf_dir)
+    names = feats.columns[:-1]
+    root = scratch_path(spark, "feature-set")
+    # Attribute rows: one per column of the written table (bounded by its width).
+    rows = [(c, "NUMERIC" if i % 2 == 0 else "real") for i, c in enumerate(names)] + [("MSD_TRACKID", "string")]
+    spark.createDataFrame(rows, attrs.ATTRIBUTE_SCHEMA).coalesce(1).write.csv(f"{root}/attributes")
+    feats.select(*names, F.col("track_id").cast("string")).write.csv(f"{root}/features")
+    return root
+
+
+@query
+def schema_from_attributes(spark, sf_dir):
+    root = _feature_set_files(spark, sf_dir)
+    return attrs.read_feature_set(spark, f"{root}/attributes", f"{root}/features")
+
+
+@query
+def attribute_types(spark, sf_dir):
+    root = _feature_set_files(spark, sf_dir)
+    return attrs.attribute_types(attrs.read_attributes(spark, f"{root}/attributes"))
+
+
+@query
+def row_counts(spark, sf_dir):
+    return counts.row_counts({name: roles.table(spark, sf_dir, name) for name in DRIVER_TABLES})
+
+
+def _untyped_features(spark, sf_dir):
+    """Features as text without a schema; ids wrapped in single quotes."""
+    feats = roles.features(spark, sf_dir)
+    names = feats.columns[:-1]
+    path = scratch_path(spark, "features-untyped")
+    quoted = F.concat(F.lit("'TR"), F.lpad(F.col("track_id").cast("string"), 16, "0"), F.lit("'"))
+    feats.select(*[F.col(c).cast("string") for c in names], quoted.alias("id")).write.csv(path)
+    return delimited.read_delimited(spark, path, schema=None)
+
+
+@query
+def cast_features(spark, sf_dir):
+    raw = _untyped_features(spark, sf_dir)
+    typed = C.cast_columns(raw, raw.columns[:-1], "double")
+    return C.rename_at(typed, -1, "track_id")
+
+
+@query
+def unquote_id(spark, sf_dir):
+    df = cast_features(spark, sf_dir)
+    return df.withColumn("track_id", C.unquote_id("track_id"))
+
+
+# --- labels and classes ------------------------------------------------------
+
+
+def _features_labels(spark, sf_dir):
+    return joins.attach_labels(roles.features(spark, sf_dir), roles.genre_labels(spark, sf_dir), "track_id")
+
+
+def _binary(spark, sf_dir):
+    return _features_labels(spark, sf_dir).withColumn("label", C.binary_label("genre", roles.POSITIVE_GENRE))
+
+
+@query
+def features_labels(spark, sf_dir):
+    return _features_labels(spark, sf_dir)
+
+
+@query
+def binary_label(spark, sf_dir):
+    return _binary(spark, sf_dir).select("track_id", "genre", "label")
+
+
+@query
+def class_balance(spark, sf_dir):
+    return profile.class_balance(_binary(spark, sf_dir), "label", "genre")
+
+
+# --- statistics ----------------------------------------------------------------
+
+STAT_DIGITS = 9
+FEATURES = [f"f{i}" for i in range(roles.N_FEATURES)]
+
+
+def _rounded_profile(df, cols):
+    p = profile.profile(df, cols)
+    return p.select("column", "count", F.round("mean", STAT_DIGITS).alias("mean"),
+                    F.round("stddev", STAT_DIGITS).alias("stddev"), "min", "max")
+
+
+@query
+def profile_features(spark, sf_dir):
+    return _rounded_profile(roles.features(spark, sf_dir), FEATURES)
+
+
+@query
+def profile_activity(spark, sf_dir):
+    base = _without_blocked(spark, sf_dir)
+    users = _rounded_profile(activity.user_activity(base), ["song_count", "play_count"])
+    items = _rounded_profile(activity.item_popularity(base), ["user_count", "sum_play_count"])
+    return users.unionByName(items)
+
+
+def _measures(spark, sf_dir):
+    base = _without_blocked(spark, sf_dir)
+    users = activity.user_activity(base)
+    items = activity.item_activity(base)
+    return [("items_per_user", users, "song_count"), ("plays_per_item", items, "play_count"),
+            ("users_per_item", items, "user_count")]
+
+
+@query
+def quantiles_exact(spark, sf_dir):
+    parts = [profile.exact_quantiles(df, c).select(F.lit(m).alias("measure"), "prob", "value")
+             for m, df, c in _measures(spark, sf_dir)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def quantiles_approx(spark, sf_dir):
+    parts = []
+    for m, df, c in _measures(spark, sf_dir):
+        approx = profile.approx_quantiles(df, c, rel_err=0.05)
+        check = profile.quantile_rank_check(df, c, approx, 0.05)
+        parts.append(check.select(F.lit(m).alias("measure"), "prob", "within_bound"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+CORR_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "qty2_tax"]
+
+
+def _corr(spark, sf_dir):
+    li = roles.table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    li = li.withColumn("qty2_tax", F.col("l_quantity") * 2 + F.col("l_tax"))
+    r = profile.correlation(li, CORR_COLUMNS)
+    return r.select("feature_x", "feature_y", F.round("r", STAT_DIGITS).alias("r"))
+
+
+@query
+def correlation_pairs(spark, sf_dir):
+    return _corr(spark, sf_dir)
+
+
+@query
+def correlated_pairs(spark, sf_dir):
+    return profile.correlated_pairs(_corr(spark, sf_dir), 0.9)
+
+
+# --- splits, sampling, indexing ----------------------------------------------------
+
+
+def _keyed_without_blocked(spark, sf_dir):
+    return joins.exclude(roles.interactions(spark, sf_dir), _blocklist(spark, sf_dir), "song_id")
+
+
+def _keyed_clean(spark, sf_dir):
+    return activity.clean_interactions(
+        _keyed_without_blocked(spark, sf_dir), roles.MIN_ITEMS_PER_USER, roles.MIN_PLAYS_PER_ITEM
+    )
+
+
+@query
+def hash_split(spark, sf_dir):
+    df = _keyed_without_blocked(spark, sf_dir)
+    return df.withColumn("split", sampling.split_label(["row_key"], [0.7, 0.3], ["train", "test"]))
+
+
+@query
+def stratified_sample(spark, sf_dir):
+    df = _binary(spark, sf_dir)
+    train, _ = sampling.hash_split(df, ["track_id"], [0.8, 0.2])
+    sample = sampling.stratified_sample(train, "label", {0: 0.1, 1: 1.0}, ["track_id"], salt="sample")
+    return sample.select("track_id", "genre", "label")
+
+
+def _clean_split(spark, sf_dir):
+    return sampling.hash_split(_keyed_clean(spark, sf_dir), ["row_key"], [0.7, 0.3])
+
+
+@query
+def cold_start_users(spark, sf_dir):
+    train, test = _clean_split(spark, sf_dir)
+    return joins.cold_start(test, train, "user_id")
+
+
+@query
+def cold_start_items(spark, sf_dir):
+    train, test = _clean_split(spark, sf_dir)
+    return joins.cold_start(test, train, "song_id")
+
+
+@query
+def string_index(spark, sf_dir):
+    return indexing.index_values(roles.table(spark, sf_dir, "documents"), "lang", "index")
+
+
+@query
+def user_index(spark, sf_dir):
+    return indexing.index_values(_keyed_clean(spark, sf_dir), "user_id", "index")
+
+
+# --- ranking ---------------------------------------------------------------------
+
+N = roles.TOP_N
+METRIC_DIGITS = 9
+
+
+def _recommended(pairs):
+    return ranking.top_n(pairs, "user_id", "prediction", N, ties="break", tie_break=["song_id"], rank_col="position")
+
+
+def _relevant(pairs):
+    return ranking.top_n(pairs, "user_id", "plays", N, ties="keep")
+
+
+@query
+def topn_per_user(spark, sf_dir):
+    return ranking.top_n(roles.scored_pairs(spark, sf_dir), "user_id", "prediction", N, ties="keep")
+
+
+@query
+def relevant_per_user(spark, sf_dir):
+    return _relevant(roles.scored_pairs(spark, sf_dir))
+
+
+@query
+def ranked_lists(spark, sf_dir):
+    lists = ranking.ranked_lists(roles.scored_pairs(spark, sf_dir), "user_id", "song_id", "prediction", N)
+    return lists.select("user_id", F.concat_ws(",", F.transform("items", lambda x: x.cast("string"))).alias("items"))
+
+
+@query
+def ranked_pairs(spark, sf_dir):
+    pairs = roles.scored_pairs(spark, sf_dir)
+    rec = _recommended(pairs).select("user_id", "song_id", "position")
+    rel = _relevant(pairs).select("user_id", "song_id", "rank")
+    both = rec.select("user_id").distinct().join(rel.select("user_id").distinct(), "user_id")
+    joined = rec.join(rel, ["user_id", "song_id"], "full_outer")
+    return joined.join(both, "user_id", "left_semi")
+
+
+@query
+def predictions_sorted(spark, sf_dir):
+    pairs = roles.scored_pairs(spark, sf_dir)
+    return pairs.orderBy(F.col("user_id"), F.col("song_id"), F.col("prediction").desc())
+
+
+def _metrics(spark, sf_dir):
+    pairs = roles.scored_pairs(spark, sf_dir)
+    m = ranking.ranking_metrics(_recommended(pairs), _relevant(pairs), "user_id", "song_id", "position", (5, 10))
+    return m.select("n_users", *[F.round(c, METRIC_DIGITS).alias(c) for c in m.columns if c != "n_users"])
+
+
+@query
+def ranking_metrics(spark, sf_dir):
+    return _metrics(spark, sf_dir)
+
+
+@query
+def precision_at_k(spark, sf_dir):
+    return _metrics(spark, sf_dir).select("precision_at_5", "precision_at_10")
+
+
+@query
+def map_score(spark, sf_dir):
+    return _metrics(spark, sf_dir).select("mean_average_precision")
+
+
+@query
+def ndcg_at_k(spark, sf_dir):
+    return _metrics(spark, sf_dir).select("ndcg_at_5", "ndcg_at_10")
+
+
+# --- evaluation on fixed scores ---------------------------------------------------------
+
+
+@query
+def confusion_matrix(spark, sf_dir):
+    m = evaluate.confusion_metrics(roles.binary_scores(spark, sf_dir))
+    return m.select(*[F.round(c, METRIC_DIGITS).alias(c) if c in ("accuracy", "recall", "precision") else c
+                      for c in m.columns])
+
+
+@query
+def auc(spark, sf_dir):
+    a = evaluate.auc(roles.binary_scores(spark, sf_dir), "score", "label")
+    return a.select(F.round("auc", METRIC_DIGITS).alias("auc"), "n_positive", "n_negative")
+
+
+@query
+def multiclass_scores(spark, sf_dir):
+    m = evaluate.multiclass_scores(roles.multiclass_scores_input(spark, sf_dir))
+    return m.select(*[F.round(c, METRIC_DIGITS).alias(c) for c in m.columns])
