@@ -38,7 +38,7 @@ def blocklist(errors: DataFrame, accepted: DataFrame, key: str | Sequence[str] =
     Only the key matters: other columns such as the track id are ignored.
     """
     keys = _keys(key)
-    return errors.join(accepted.select(*keys), on=keys, how="left_anti")
+    return errors.join(accepted.select(*keys), on=keys, how="left_anti").select(*errors.columns)
 
 
 def exclude(
@@ -50,7 +50,7 @@ def exclude(
     """Rows of ``df`` whose key is not in ``blocked``; null keys are kept."""
     keys = _keys(key)
     right = broadcast_if_small(blocked.select(*keys), broadcast_rows)
-    return df.join(right, on=keys, how="left_anti")
+    return df.join(right, on=keys, how="left_anti").select(*df.columns)
 
 
 def keep_matching(
@@ -62,7 +62,7 @@ def keep_matching(
     """Rows of ``df`` whose key occurs in ``allowed`` (semi join, no columns added)."""
     keys = _keys(key)
     right = broadcast_if_small(allowed.select(*keys), broadcast_rows)
-    return df.join(right, on=keys, how="left_semi")
+    return df.join(right, on=keys, how="left_semi").select(*df.columns)
 
 
 def attach_labels(features: DataFrame, labels: DataFrame, key: str | Sequence[str] = "track_id") -> DataFrame:
@@ -73,4 +73,4 @@ def attach_labels(features: DataFrame, labels: DataFrame, key: str | Sequence[st
 def cold_start(test: DataFrame, train: DataFrame, key: str | Sequence[str] = "user_id") -> DataFrame:
     """Test rows whose key never occurs in the training rows."""
     keys = _keys(key)
-    return test.join(train.select(*keys), on=keys, how="left_anti")
+    return test.join(train.select(*keys), on=keys, how="left_anti").select(*test.columns)

@@ -83,15 +83,23 @@ def ranking_metrics(
     item: str,
     position: str = "position",
     ks: Sequence[int] = (5, 10),
+    empty_relevant: str = "drop",
+    map_at_k: bool = False,
 ) -> DataFrame:
-    """Mean precision@k, average precision (whole list) and NDCG@k over users
-    present in both inputs.
+    """Mean precision@k, average precision (whole list) and NDCG@k.
 
     ``recommended``: ``(user, item, position)`` with positions 1, 2, ... per
     user; ``relevant``: ``(user, item)`` pairs, unique per user, order free.
+    Users are those with recommendations; ``empty_relevant='drop'`` keeps only
+    users that also have relevant items (the per-user join of both lists),
+    ``'zero'`` scores users without relevant items as 0. ``map_at_k`` adds
+    ``map_at_<k>`` (average precision over the first k, divided by
+    ``min(|L|, k)``).
     Lists stay as rows: hits come from an equi-join on ``(user, item)``, the
     running hit count from a window over at most the list length per user.
     """
+    if empty_relevant not in ("drop", "zero"):
+        raise ValueError("empty_relevant must be 'drop' or 'zero'")
     rel = relevant.select(user, item).withColumn("_hit", F.lit(1))
     n_rel = relevant.groupBy(user).agg(F.count(F.lit(1)).alias("_n_rel"))
     hits = recommended.select(user, item, position).join(rel, [user, item], "left").select(
@@ -105,7 +113,9 @@ def ranking_metrics(
         F.sum(F.col("_hit") * F.col("_cum") / pos).alias("_ap_sum"),
         *[F.sum(F.when(pos <= k, F.col("_hit")).otherwise(0)).alias(f"_hits{k}") for k in ks],
         *[F.sum(F.when(pos <= k, gain).otherwise(0.0)).alias(f"_dcg{k}") for k in ks],
-    ).join(n_rel, user, "inner")
+        *[F.sum(F.when(pos <= k, F.col("_hit") * F.col("_cum") / pos).otherwise(0.0)).alias(f"_ap{k}")
+          for k in (ks if map_at_k else ())],
+    ).join(n_rel, user, "inner" if empty_relevant == "drop" else "left")
 
     def ideal(k: int) -> Column:
         return F.aggregate(
@@ -114,14 +124,20 @@ def ranking_metrics(
             lambda acc, i: acc + 1.0 / F.log2(i + 1),
         )
 
+    def zero_if_empty(c: Column) -> Column:
+        return F.when(F.col("_n_rel").isNull(), F.lit(0.0)).otherwise(c)
+
     scored = per_user.select(
-        (F.col("_ap_sum") / F.col("_n_rel")).alias("_ap"),
-        *[(F.col(f"_hits{k}") / F.lit(float(k))).alias(f"_p{k}") for k in ks],
-        *[(F.col(f"_dcg{k}") / ideal(k)).alias(f"_ndcg{k}") for k in ks],
+        zero_if_empty(F.col("_ap_sum") / F.col("_n_rel")).alias("_ap"),
+        *[zero_if_empty(F.col(f"_hits{k}") / F.lit(float(k))).alias(f"_p{k}") for k in ks],
+        *[zero_if_empty(F.col(f"_dcg{k}") / ideal(k)).alias(f"_ndcg{k}") for k in ks],
+        *[zero_if_empty(F.col(f"_ap{k}") / F.least(F.col("_n_rel"), F.lit(k))).alias(f"_map{k}")
+          for k in (ks if map_at_k else ())],
     )
     return scored.agg(
         F.count(F.lit(1)).alias("n_users"),
         *[F.avg(f"_p{k}").alias(f"precision_at_{k}") for k in ks],
         F.avg("_ap").alias("mean_average_precision"),
         *[F.avg(f"_ndcg{k}").alias(f"ndcg_at_{k}") for k in ks],
+        *[F.avg(f"_map{k}").alias(f"map_at_{k}") for k in (ks if map_at_k else ())],
     )

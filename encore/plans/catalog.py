@@ -431,3 +431,178 @@ def auc(spark, sf_dir):
 def multiclass_scores(spark, sf_dir):
     m = evaluate.multiclass_scores(roles.multiclass_scores_input(spark, sf_dir))
     return m.select(*[F.round(c, METRIC_DIGITS).alias(c) for c in m.columns])
+
+
+# --- features and models (Spark ML) ---------------------------------------------------------
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from encore.operators import features as feat  # noqa: E402
+from encore.operators import models  # noqa: E402
+
+PCA_K = 5
+PREDICTION_COLS = ["track_id", "genre", "label", "prediction", "score"]
+
+
+@query
+def assemble_scale(spark, sf_dir):
+    df = roles.features(spark, sf_dir)
+    cols = C.numeric_columns(df, exclude=["track_id"])
+    model = feat.feature_pipeline(cols, k=None, output="scaled").fit(df)
+    out = feat.vector_columns(model.transform(df).select("track_id", "scaled"), "scaled", [f"s{i}" for i in range(len(cols))])
+    return out.select("track_id", *[F.round(f"s{i}", STAT_DIGITS).alias(f"s{i}") for i in range(len(cols))])
+
+
+@query
+def pca_project(spark, sf_dir):
+    df = roles.features(spark, sf_dir)
+    model = feat.feature_pipeline(FEATURES, k=PCA_K).fit(df)
+    return feat.vector_columns(model.transform(df).select("track_id", "features"), "features",
+                               [f"pc{i}" for i in range(PCA_K)])
+
+
+def _binary_sets(spark, sf_dir):
+    """80/20 split by track id, class re-balancing of the training part only,
+    feature pipeline fitted on the training part and applied to both."""
+    df = _binary(spark, sf_dir)
+    train, test = sampling.hash_split(df, ["track_id"], [0.8, 0.2])
+    train = sampling.stratified_sample(train, "label", {0: 0.1, 1: 1.0}, ["track_id"], salt="sample")
+    _, (train_t, test_t) = feat.fit_transform(
+        feat.feature_pipeline(FEATURES, k=PCA_K), train, test, keep=["track_id", "genre", "features", "label"]
+    )
+    return train_t, test_t
+
+
+def _scored(predictions, score_from="probability"):
+    return predictions.select(
+        "track_id", "genre", "label", "prediction", vector_to_array(F.col(score_from))[1].alias("score")
+    )
+
+
+@query
+def lr_binary(spark, sf_dir):
+    train, test = _binary_sets(spark, sf_dir)
+    return _scored(models.fit(models.logistic(), train).transform(test))
+
+
+@query
+def svm_binary(spark, sf_dir):
+    train, test = _binary_sets(spark, sf_dir)
+    return _scored(models.fit(models.svm(), train).transform(test), "rawPrediction")
+
+
+@query
+def rf_binary(spark, sf_dir):
+    train, test = _binary_sets(spark, sf_dir)
+    return _scored(models.fit(models.forest(), train).transform(test))
+
+
+@query
+def binary_model_scores(spark, sf_dir):
+    """Confusion table, accuracy, recall, precision and AUC of the three
+    classifiers on the same test rows, as ``(model, metric, value)`` rows."""
+    train, test = _binary_sets(spark, sf_dir)
+    fitted = {
+        "logistic_regression": (models.logistic(), "probability"),
+        "linear_svm": (models.svm(), "rawPrediction"),
+        "random_forest": (models.forest(), "probability"),
+    }
+    parts = []
+    for name, (est, score_col) in fitted.items():
+        pred = _scored(models.fit(est, train).transform(test), score_col)
+        for one_row in (evaluate.confusion_metrics(pred), evaluate.auc(pred, "score", "label").select("auc")):
+            cells = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in one_row.columns]
+            parts.append(one_row.select(F.lit(name).alias("model"), F.explode(F.array(*cells)).alias("m"))
+                         .select("model", "m.metric", "m.value"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _cv(estimator, param_grid, evaluator, spark, sf_dir, score_col="probability"):
+    train, test = _binary_sets(spark, sf_dir)
+    best = models.tune(estimator, param_grid, evaluator, train, folds=5)
+    return _scored(best.transform(test), score_col)
+
+
+@query
+def cv_binary(spark, sf_dir):
+    lr = models.logistic()
+    g = models.grid(lr, regParam=[0.0, 0.01, 0.1], elasticNetParam=[0.0, 0.1, 0.5])
+    return _cv(lr, g, models.binary_evaluator(), spark, sf_dir)
+
+
+@query
+def cv_svm(spark, sf_dir):
+    svm = models.svm()
+    return _cv(svm, models.grid(svm, regParam=[0.0, 0.01, 0.1]), models.binary_evaluator(), spark, sf_dir,
+               "rawPrediction")
+
+
+@query
+def cv_forest(spark, sf_dir):
+    rf = models.forest()
+    g = models.grid(rf, numTrees=[100, 200], maxDepth=[2, 4], maxBins=[16, 32])
+    return _cv(rf, g, models.binary_evaluator(), spark, sf_dir)
+
+
+def _multiclass_sets(spark, sf_dir):
+    df = _features_labels(spark, sf_dir)
+    labels = indexing.index_values(df, "genre", "index")
+    indexed = indexing.apply_index(df, labels, "genre", "label")
+    train, test = sampling.hash_split(indexed, ["track_id"], [0.8, 0.2])
+    _, (train_t, test_t) = feat.fit_transform(
+        feat.feature_pipeline(FEATURES, k=PCA_K), train, test, keep=["track_id", "genre", "features", "label"]
+    )
+    return train_t, test_t
+
+
+@query
+def lr_multiclass(spark, sf_dir):
+    train, test = _multiclass_sets(spark, sf_dir)
+    pred = models.fit(models.logistic(family="multinomial"), train).transform(test)
+    return pred.select("track_id", "genre", "label", "prediction")
+
+
+@query
+def cv_multiclass(spark, sf_dir):
+    train, test = _multiclass_sets(spark, sf_dir)
+    lr = models.logistic(family="multinomial")
+    g = models.grid(lr, regParam=[0.0, 0.01, 0.1], elasticNetParam=[0.0, 0.1, 0.2])
+    best = models.tune(lr, g, models.multiclass_evaluator("f1"), train, folds=5)
+    return best.transform(test).select("track_id", "genre", "label", "prediction")
+
+
+def _als_sets(spark, sf_dir):
+    """Cleaned interactions with dense integer ids, split 70/30 by row."""
+    clean = _keyed_clean(spark, sf_dir)
+    users = indexing.index_values(clean, "user_id", "index")
+    items = indexing.index_values(clean, "song_id", "index")
+    enc = indexing.apply_index(clean, users, "user_id", "user_index")
+    enc = indexing.apply_index(enc, items, "song_id", "item_index")
+    enc = enc.withColumn("user_index", F.col("user_index").cast("int")).withColumn(
+        "item_index", F.col("item_index").cast("int"))
+    return sampling.hash_split(enc, ["row_key"], [0.7, 0.3])
+
+
+def _als_predictions(spark, sf_dir):
+    train, test = _als_sets(spark, sf_dir)
+    model = models.als("user_index", "item_index", "plays").fit(train)
+    return model.transform(test), test
+
+
+@query
+def als_predict(spark, sf_dir):
+    pred, _ = _als_predictions(spark, sf_dir)
+    return pred.select("user_id", "song_id", "plays", "user_index", "item_index", "prediction")
+
+
+@query
+def als_ranking(spark, sf_dir):
+    """Re-ranked hold-out: each user's test items ordered by the model score,
+    scored against the user's most played test items."""
+    pred, test = _als_predictions(spark, sf_dir)
+    rec = ranking.top_n(pred, "user_id", "prediction", N, ties="break", tie_break=["song_id"], rank_col="position")
+    rel = ranking.top_n(test, "user_id", "plays", N, ties="keep")
+    return ranking.ranking_metrics(rec, rel, "user_id", "song_id", "position", (5, 10))

@@ -350,3 +350,10 @@ ORACLES.update({
         FROM m
     """,
 })
+
+
+ORACLES.update({
+    "assemble_scale": "SELECT track_id, " + ", ".join(
+        f"ROUND(f{i} / STDDEV_SAMP(f{i}) OVER (), 9) AS s{i}" for i in range(10)
+    ) + f" FROM (SELECT {FEATURE_COLS}, vec_id AS track_id FROM embeddings)",
+})

@@ -23,5 +23,5 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def line_counts(lines: DataFrame) -> DataFrame:
-    """Lines per input file of a text read (``wc -l`` per file), plus no driver loop."""
+    """Lines per input file of a text read (``wc -l`` for every file in one job)."""
     return lines.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n_lines"))
