@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.columns import safe_ratio
-from encore.operators.joins import DEFAULT_BROADCAST_ROWS, keep_matching
+from encore.operators.joins import keep_matching
 
 
 def user_activity(
@@ -74,7 +74,7 @@ def clean_interactions(
     user: str = "user_id",
     item: str = "song_id",
     plays: str = "plays",
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Keep rows of active users on popular items.
 
@@ -95,7 +95,7 @@ def retention_report(
     user: str = "user_id",
     item: str = "song_id",
     plays: str = "plays",
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """One row with the counts and shares of the cleaning step.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from encore.operators.joins import broadcast_if_small
 from encore.operators.ordering import row_numbers
 
 
@@ -27,7 +27,7 @@ def apply_index(
     column: str,
     out: str,
     handle_invalid: str = "error",
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Attach ``out`` to every row of ``df``.
 

@@ -1,9 +1,14 @@
 """Equi-joins of the cleaning chain: block lists, label attachment, key filters.
 
-Broadcasting is decided by a bounded row count of the small side: below the
-bound the side is hinted for a broadcast hash join, above it the join stays a
-shuffle join, where adaptive execution can still switch strategy and split
-skewed partitions.
+Join strategy: by default nothing is hinted. Catalyst broadcasts a side only
+when its size estimate -- an upper bound taken from the files it scans -- is
+under ``spark.sql.autoBroadcastJoinThreshold``; otherwise the join is a shuffle
+join, and adaptive execution re-plans it from the measured size of the
+finished shuffle (a broadcast when that side turned out small) and splits
+skewed partitions of the big side. When the small side is cheap to count (a
+filtered dimension table), ``broadcast_rows`` adds an explicit bounded check:
+at most ``broadcast_rows + 1`` rows are read, and only a side within the bound
+is hinted for broadcast.
 """
 
 from __future__ import annotations
@@ -20,13 +25,14 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint ``df`` for broadcast only when it has at most ``max_rows`` rows.
 
     The check reads no more than ``max_rows + 1`` rows (``limit`` stops the
-    scan early), so it costs at most one pass over the small side.
+    scan early), so it costs at most one pass over the small side. ``None``
+    or ``0`` leaves the choice to the optimizer and adaptive execution.
     """
-    if max_rows <= 0:
+    if not max_rows:
         return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
@@ -45,7 +51,7 @@ def exclude(
     df: DataFrame,
     blocked: DataFrame,
     key: str | Sequence[str] = "song_id",
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose key is not in ``blocked``; null keys are kept."""
     keys = _keys(key)
@@ -57,7 +63,7 @@ def keep_matching(
     df: DataFrame,
     allowed: DataFrame,
     key: str | Sequence[str],
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``allowed`` (semi join, no columns added)."""
     keys = _keys(key)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators import activity, joins
+from encore.operators import activity, joins, physical
 from encore.plans import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +28,18 @@ def _blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.blocklist(roles.error_records(spark, sf_dir), roles.accepted_records(spark, sf_dir), "song_id")
 
 
-def _without_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.exclude(roles.base_interactions(spark, sf_dir), _blocklist(spark, sf_dir), "song_id")
+def _without_blocked(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
+    """Interactions minus the block list. The block list is a filtered
+    dimension table, so an explicit bounded count decides its broadcast."""
+    base = roles.interactions(spark, sf_dir) if keyed else roles.base_interactions(spark, sf_dir)
+    return joins.exclude(base, _blocklist(spark, sf_dir), "song_id", broadcast_rows=joins.DEFAULT_BROADCAST_ROWS)
+
+
+def _shared_base(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
+    """The same, written once to shared storage for plans that read it in
+    several branches (the role mapping behind it is a join of the two largest
+    tables, too costly to repeat per branch)."""
+    return physical.materialize(_without_blocked(spark, sf_dir, keyed), "interactions")
 
 
 # --- cleaning chain -------------------------------------------------------
@@ -84,14 +94,14 @@ def popular_items(spark, sf_dir):
 @query
 def clean_interactions(spark, sf_dir):
     return activity.clean_interactions(
-        _without_blocked(spark, sf_dir), roles.MIN_ITEMS_PER_USER, roles.MIN_PLAYS_PER_ITEM
+        _shared_base(spark, sf_dir), roles.MIN_ITEMS_PER_USER, roles.MIN_PLAYS_PER_ITEM
     )
 
 
 @query
 def retention_report(spark, sf_dir):
     return activity.retention_report(
-        _without_blocked(spark, sf_dir), roles.MIN_ITEMS_PER_USER, roles.MIN_PLAYS_PER_ITEM
+        _shared_base(spark, sf_dir), roles.MIN_ITEMS_PER_USER, roles.MIN_PLAYS_PER_ITEM
     )
 
 
@@ -235,14 +245,14 @@ def profile_features(spark, sf_dir):
 
 @query
 def profile_activity(spark, sf_dir):
-    base = _without_blocked(spark, sf_dir)
+    base = _shared_base(spark, sf_dir)
     users = _rounded_profile(activity.user_activity(base), ["song_count", "play_count"])
     items = _rounded_profile(activity.item_popularity(base), ["user_count", "sum_play_count"])
     return users.unionByName(items)
 
 
 def _measures(spark, sf_dir):
-    base = _without_blocked(spark, sf_dir)
+    base = _shared_base(spark, sf_dir)
     users = activity.user_activity(base)
     items = activity.item_activity(base)
     return [("items_per_user", users, "song_count"), ("plays_per_item", items, "play_count"),
@@ -290,12 +300,12 @@ def correlated_pairs(spark, sf_dir):
 
 
 def _keyed_without_blocked(spark, sf_dir):
-    return joins.exclude(roles.interactions(spark, sf_dir), _blocklist(spark, sf_dir), "song_id")
+    return _without_blocked(spark, sf_dir, keyed=True)
 
 
 def _keyed_clean(spark, sf_dir):
     return activity.clean_interactions(
-        _keyed_without_blocked(spark, sf_dir), roles.MIN_ITEMS_PER_USER, roles.MIN_PLAYS_PER_ITEM
+        _shared_base(spark, sf_dir, keyed=True), roles.MIN_ITEMS_PER_USER, roles.MIN_PLAYS_PER_ITEM
     )
 
 
