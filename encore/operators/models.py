@@ -79,10 +79,14 @@ def als(
     seed: int = SEED,
     cold_start: str = "drop",
     implicit: bool = False,
+    blocks: int | None = None,
 ) -> ALS:
     """Explicit-feedback ALS. Ids must be integer valued; unknown users or
     items at prediction time are dropped (``'nan'`` keeps them as NaN, which
-    sorts first in a descending order)."""
+    sorts first in a descending order). ``blocks`` sets the number of user and
+    item factor blocks -- on a cluster about the number of cores, so every core
+    solves one block per iteration; factors stay distributed throughout."""
+    extra = {"numUserBlocks": blocks, "numItemBlocks": blocks} if blocks else {}
     return ALS(
         userCol=user,
         itemCol=item,
@@ -93,4 +97,16 @@ def als(
         seed=seed,
         coldStartStrategy=cold_start,
         implicitPrefs=implicit,
+        **extra,
     )
+
+
+def chosen_params(cv_model: CrossValidatorModel) -> dict[str, object]:
+    """The parameters of the grid point cross-validation picked, with its score
+    (a tuned model may equal an untuned one when the default is in the grid)."""
+    scores = list(cv_model.avgMetrics)
+    larger_better = cv_model.getEvaluator().isLargerBetter()
+    best = max(range(len(scores)), key=lambda i: scores[i] if larger_better else -scores[i])
+    params = {p.name: v for p, v in cv_model.getEstimatorParamMaps()[best].items()}
+    params["cv_metric"] = scores[best]
+    return params

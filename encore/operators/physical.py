@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 
 from encore.session import default_parallelism, scratch_path
 
+__all__ = ["default_parallelism", "materialize", "persist_shared", "spread"]
+
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.

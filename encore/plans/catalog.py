@@ -598,7 +598,8 @@ def _als_sets(spark, sf_dir):
 
 def _als_predictions(spark, sf_dir):
     train, test = _als_sets(spark, sf_dir)
-    model = models.als("user_index", "item_index", "plays").fit(train)
+    blocks = max(10, physical.default_parallelism(spark))
+    model = models.als("user_index", "item_index", "plays", blocks=blocks).fit(train)
     return model.transform(test), test
 
 

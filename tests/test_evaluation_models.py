@@ -93,6 +93,21 @@ def test_cross_validation_seeded_and_deterministic(spark):
     a = models.tune(lr, g, models.binary_evaluator(), df, folds=3, seed=5)
     b = models.tune(lr, g, models.binary_evaluator(), df, folds=3, seed=5)
     assert a.avgMetrics == b.avgMetrics and len(a.avgMetrics) == 2
+    chosen = models.chosen_params(a)
+    assert chosen["regParam"] in (0.0, 0.1) and chosen["cv_metric"] == max(a.avgMetrics)
+
+
+def test_cross_validation_over_whole_pipeline(spark):
+    """Scaling is re-fitted inside every fold when the pipeline is the estimator."""
+    from pyspark.ml import Pipeline
+
+    rows = [(float(i % 2), float(i % 2) * 3 + (i % 7) * 0.1, float(i % 5)) for i in range(120)]
+    df = spark.createDataFrame(rows, "label double, a double, b double")
+    prep = features.feature_pipeline(["a", "b"], k=None)
+    lr = models.logistic()
+    whole = Pipeline(stages=prep.getStages() + [lr])
+    cv = models.tune(whole, models.grid(lr, regParam=[0.0, 0.1]), models.binary_evaluator(), df, folds=3)
+    assert cv.transform(df).count() == 120
 
 
 def test_als_seeded_no_nan_with_drop(spark):
