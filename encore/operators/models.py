@@ -47,9 +47,17 @@ def tune(
     train: DataFrame,
     folds: int = 5,
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> CrossValidatorModel:
-    """k-fold cross-validation; the best parameters are refitted on all of ``train``."""
+    """k-fold cross-validation; the best parameters are refitted on all of ``train``.
+
+    Each fit is itself a distributed job; ``parallelism`` (default: one grid
+    point per available core, at most the grid size) runs several fits at once
+    so that small folds do not leave the cluster idle.
+    """
+    if parallelism is None:
+        cores = max(1, train.sparkSession.sparkContext.defaultParallelism)
+        parallelism = max(1, min(len(param_grid), cores))
     cv = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=param_grid,

@@ -177,6 +177,18 @@ def row_counts(spark, sf_dir):
     return counts.row_counts({name: roles.table(spark, sf_dir, name) for name in DRIVER_TABLES})
 
 
+@query
+def log_line_counts(spark, sf_dir):
+    """Both logs written as text files, read back, lines counted per file and
+    summed per log (the per-directory line counts of the shell step)."""
+    root = scratch_path(spark, "logs")
+    roles.error_log_lines(spark, sf_dir).write.text(f"{root}/errors")
+    roles.accepted_log_lines(spark, sf_dir).write.text(f"{root}/accepted")
+    per_file = counts.line_counts(logs.read_log_lines(spark, [f"{root}/errors", f"{root}/accepted"]))
+    log = F.regexp_extract("file", r"/(errors|accepted)/[^/]*$", 1)
+    return per_file.groupBy(log.alias("log")).agg(F.sum("n_lines").alias("n_lines"))
+
+
 def _untyped_features(spark, sf_dir):
     """Features as text without a schema; ids wrapped in single quotes."""
     feats = roles.features(spark, sf_dir)
@@ -355,6 +367,12 @@ N = roles.TOP_N
 METRIC_DIGITS = 9
 
 
+def _shared_pairs(spark, sf_dir):
+    """Scored pairs (a join and an aggregate of the two largest tables) written
+    once for plans that read them in two branches."""
+    return physical.materialize(roles.scored_pairs(spark, sf_dir), "pairs")
+
+
 def _recommended(pairs):
     return ranking.top_n(pairs, "user_id", "prediction", N, ties="break", tie_break=["song_id"], rank_col="position")
 
@@ -365,12 +383,12 @@ def _relevant(pairs):
 
 @query
 def topn_per_user(spark, sf_dir):
-    return ranking.top_n(roles.scored_pairs(spark, sf_dir), "user_id", "prediction", N, ties="keep")
+    return ranking.top_n(_shared_pairs(spark, sf_dir), "user_id", "prediction", N, ties="keep")
 
 
 @query
 def relevant_per_user(spark, sf_dir):
-    return _relevant(roles.scored_pairs(spark, sf_dir))
+    return _relevant(_shared_pairs(spark, sf_dir))
 
 
 @query
@@ -381,7 +399,7 @@ def ranked_lists(spark, sf_dir):
 
 @query
 def ranked_pairs(spark, sf_dir):
-    pairs = roles.scored_pairs(spark, sf_dir)
+    pairs = _shared_pairs(spark, sf_dir)
     rec = _recommended(pairs).select("user_id", "song_id", "position")
     rel = _relevant(pairs).select("user_id", "song_id", "rank")
     both = rec.select("user_id").distinct().join(rel.select("user_id").distinct(), "user_id")
@@ -396,7 +414,7 @@ def predictions_sorted(spark, sf_dir):
 
 
 def _metrics(spark, sf_dir):
-    pairs = roles.scored_pairs(spark, sf_dir)
+    pairs = _shared_pairs(spark, sf_dir)
     m = ranking.ranking_metrics(_recommended(pairs), _relevant(pairs), "user_id", "song_id", "position", (5, 10))
     return m.select("n_users", *[F.round(c, METRIC_DIGITS).alias(c) for c in m.columns if c != "n_users"])
 

@@ -135,6 +135,10 @@ ORACLES.update({
         SELECT type, CAST(n AS BIGINT) AS n_attributes
         FROM (VALUES ('NUMERIC', 5), ('real', 5), ('string', 1)) t(type, n)
     """,
+    "log_line_counts": """
+        SELECT 'errors' AS log, COUNT(*) AS n_lines FROM part
+        UNION ALL SELECT 'accepted' AS log, COUNT(*) AS n_lines FROM part WHERE p_type = 'PROMO'
+    """,
     "row_counts": " UNION ALL ".join(f"SELECT '{t}' AS data_set, COUNT(*) AS n_rows FROM {t}" for t in TABLE_NAMES),
     "cast_features": f"SELECT {RAW_COLS}, {QUOTED_ID} AS track_id FROM embeddings",
     "unquote_id": f"SELECT {RAW_COLS}, 'TR' || lpad(CAST(vec_id AS VARCHAR), 16, '0') AS track_id FROM embeddings",
