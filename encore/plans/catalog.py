@@ -9,11 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators import activity, joins, physical
+from encore.functions import columns as C
+from encore.operators import activity, evaluate, indexing, joins, models, physical, profile, ranking, sampling
+from encore.operators import features as feat
 from encore.plans import roles
+from encore.session import scratch_path
+from encore.sources import attributes as attrs
+from encore.sources import counts, delimited, logs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,11 +113,6 @@ def retention_report(spark, sf_dir):
 
 # --- sources ----------------------------------------------------------------
 
-from encore.functions import columns as C  # noqa: E402
-from encore.operators import evaluate, indexing, profile, ranking, sampling  # noqa: E402
-from encore.session import scratch_path  # noqa: E402
-from encore.sources import attributes as attrs  # noqa: E402
-from encore.sources import counts, delimited, logs  # noqa: E402
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -335,8 +336,14 @@ def stratified_sample(spark, sf_dir):
     return sample.select("track_id", "genre", "label")
 
 
+def _shared_clean(spark, sf_dir):
+    """Cleaned interactions written once for plans that read them in several
+    branches (each recomputation would repeat two semi joins)."""
+    return physical.materialize(_keyed_clean(spark, sf_dir), "clean")
+
+
 def _clean_split(spark, sf_dir):
-    return sampling.hash_split(_keyed_clean(spark, sf_dir), ["row_key"], [0.7, 0.3])
+    return sampling.hash_split(_shared_clean(spark, sf_dir), ["row_key"], [0.7, 0.3])
 
 
 @query
@@ -463,10 +470,6 @@ def multiclass_scores(spark, sf_dir):
 
 # --- features and models (Spark ML) ---------------------------------------------------------
 
-from pyspark.ml.functions import vector_to_array  # noqa: E402
-
-from encore.operators import features as feat  # noqa: E402
-from encore.operators import models  # noqa: E402
 
 PCA_K = 5
 PREDICTION_COLS = ["track_id", "genre", "label", "prediction", "score"]
@@ -578,7 +581,7 @@ def cv_forest(spark, sf_dir):
 def _multiclass_sets(spark, sf_dir):
     df = _features_labels(spark, sf_dir)
     labels = indexing.index_values(df, "genre", "index")
-    indexed = indexing.apply_index(df, labels, "genre", "label")
+    indexed = indexing.apply_index(df, labels, "genre", "label", broadcast_rows=joins.DEFAULT_BROADCAST_ROWS)
     train, test = sampling.hash_split(indexed, ["track_id"], [0.8, 0.2])
     _, (train_t, test_t) = feat.fit_transform(
         feat.feature_pipeline(FEATURES, k=PCA_K), train, test, keep=["track_id", "genre", "features", "label"]
@@ -604,11 +607,13 @@ def cv_multiclass(spark, sf_dir):
 
 def _als_sets(spark, sf_dir):
     """Cleaned interactions with dense integer ids, split 70/30 by row."""
-    clean = _keyed_clean(spark, sf_dir)
+    clean = _shared_clean(spark, sf_dir)
     users = indexing.index_values(clean, "user_id", "index")
     items = indexing.index_values(clean, "song_id", "index")
-    enc = indexing.apply_index(clean, users, "user_id", "user_index")
-    enc = indexing.apply_index(enc, items, "song_id", "item_index")
+    # Label tables are far smaller than the interactions: a bounded count decides the broadcast.
+    bound = joins.DEFAULT_BROADCAST_ROWS
+    enc = indexing.apply_index(clean, users, "user_id", "user_index", broadcast_rows=bound)
+    enc = indexing.apply_index(enc, items, "song_id", "item_index", broadcast_rows=bound)
     enc = enc.withColumn("user_index", F.col("user_index").cast("int")).withColumn(
         "item_index", F.col("item_index").cast("int"))
     return sampling.hash_split(enc, ["row_key"], [0.7, 0.3])
