@@ -13,6 +13,8 @@ from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 
+# The seed and the model settings of the reference's jobs
+# (linear SVM maxIter 10 / regParam 0.1; ALS maxIter 5 / regParam 0.01 / rank 10).
 SEED = 1000
 
 

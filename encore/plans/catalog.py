@@ -24,6 +24,17 @@ from encore.sources import counts, delimited, logs
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Split weights, class fractions and tuning grids of the
+# reference's jobs.
+TRAIN_TEST = [0.8, 0.2]
+HOLDOUT = [0.7, 0.3]
+DOWNSAMPLE = {0: 0.1, 1: 1.0}
+PCA_K = 5
+LR_GRID = {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.1, 0.5]}
+SVM_GRID = {"regParam": [0.0, 0.01, 0.1]}
+FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [2, 4], "maxBins": [16, 32]}
+MULTICLASS_GRID = {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.1, 0.2]}
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -155,7 +166,7 @@ def _feature_set_files(spark, sf_dir) -> str:
     names = feats.columns[:-1]
     root = scratch_path(spark, "feature-set")
     # Attribute rows: one per column of the written table (bounded by its width).
-    rows = [(c, "NUMERIC" if i % 2 == 0 else "real") for i, c in enumerate(names)] + [("MSD_TRACKID", "string")]
+    rows = [(c, "NUMERIC" if i % 2 == 0 else "real") for i, c in enumerate(names)] + [("TRACK_ID", "string")]
     spark.createDataFrame(rows, attrs.ATTRIBUTE_SCHEMA).coalesce(1).write.csv(f"{root}/attributes")
     feats.select(*names, F.col("track_id").cast("string")).write.csv(f"{root}/features")
     return root
@@ -325,14 +336,14 @@ def _keyed_clean(spark, sf_dir):
 @query
 def hash_split(spark, sf_dir):
     df = _keyed_without_blocked(spark, sf_dir)
-    return df.withColumn("split", sampling.split_label(["row_key"], [0.7, 0.3], ["train", "test"]))
+    return df.withColumn("split", sampling.split_label(["row_key"], HOLDOUT, ["train", "test"]))
 
 
 @query
 def stratified_sample(spark, sf_dir):
     df = _binary(spark, sf_dir)
-    train, _ = sampling.hash_split(df, ["track_id"], [0.8, 0.2])
-    sample = sampling.stratified_sample(train, "label", {0: 0.1, 1: 1.0}, ["track_id"], salt="sample")
+    train, _ = sampling.hash_split(df, ["track_id"], TRAIN_TEST)
+    sample = sampling.stratified_sample(train, "label", DOWNSAMPLE, ["track_id"], salt="sample")
     return sample.select("track_id", "genre", "label")
 
 
@@ -343,7 +354,7 @@ def _shared_clean(spark, sf_dir):
 
 
 def _clean_split(spark, sf_dir):
-    return sampling.hash_split(_shared_clean(spark, sf_dir), ["row_key"], [0.7, 0.3])
+    return sampling.hash_split(_shared_clean(spark, sf_dir), ["row_key"], HOLDOUT)
 
 
 @query
@@ -471,7 +482,6 @@ def multiclass_scores(spark, sf_dir):
 # --- features and models (Spark ML) ---------------------------------------------------------
 
 
-PCA_K = 5
 PREDICTION_COLS = ["track_id", "genre", "label", "prediction", "score"]
 
 
@@ -496,8 +506,8 @@ def _binary_sets(spark, sf_dir):
     """80/20 split by track id, class re-balancing of the training part only,
     feature pipeline fitted on the training part and applied to both."""
     df = _binary(spark, sf_dir)
-    train, test = sampling.hash_split(df, ["track_id"], [0.8, 0.2])
-    train = sampling.stratified_sample(train, "label", {0: 0.1, 1: 1.0}, ["track_id"], salt="sample")
+    train, test = sampling.hash_split(df, ["track_id"], TRAIN_TEST)
+    train = sampling.stratified_sample(train, "label", DOWNSAMPLE, ["track_id"], salt="sample")
     _, (train_t, test_t) = feat.fit_transform(
         feat.feature_pipeline(FEATURES, k=PCA_K), train, test, keep=["track_id", "genre", "features", "label"]
     )
@@ -560,21 +570,21 @@ def _cv(estimator, param_grid, evaluator, spark, sf_dir, score_col="probability"
 @query
 def cv_binary(spark, sf_dir):
     lr = models.logistic()
-    g = models.grid(lr, regParam=[0.0, 0.01, 0.1], elasticNetParam=[0.0, 0.1, 0.5])
+    g = models.grid(lr, **LR_GRID)
     return _cv(lr, g, models.binary_evaluator(), spark, sf_dir)
 
 
 @query
 def cv_svm(spark, sf_dir):
     svm = models.svm()
-    return _cv(svm, models.grid(svm, regParam=[0.0, 0.01, 0.1]), models.binary_evaluator(), spark, sf_dir,
+    return _cv(svm, models.grid(svm, **SVM_GRID), models.binary_evaluator(), spark, sf_dir,
                "rawPrediction")
 
 
 @query
 def cv_forest(spark, sf_dir):
     rf = models.forest()
-    g = models.grid(rf, numTrees=[100, 200], maxDepth=[2, 4], maxBins=[16, 32])
+    g = models.grid(rf, **FOREST_GRID)
     return _cv(rf, g, models.binary_evaluator(), spark, sf_dir)
 
 
@@ -582,7 +592,7 @@ def _multiclass_sets(spark, sf_dir):
     df = _features_labels(spark, sf_dir)
     labels = indexing.index_values(df, "genre", "index")
     indexed = indexing.apply_index(df, labels, "genre", "label", broadcast_rows=joins.DEFAULT_BROADCAST_ROWS)
-    train, test = sampling.hash_split(indexed, ["track_id"], [0.8, 0.2])
+    train, test = sampling.hash_split(indexed, ["track_id"], TRAIN_TEST)
     _, (train_t, test_t) = feat.fit_transform(
         feat.feature_pipeline(FEATURES, k=PCA_K), train, test, keep=["track_id", "genre", "features", "label"]
     )
@@ -600,7 +610,7 @@ def lr_multiclass(spark, sf_dir):
 def cv_multiclass(spark, sf_dir):
     train, test = _multiclass_sets(spark, sf_dir)
     lr = models.logistic(family="multinomial")
-    g = models.grid(lr, regParam=[0.0, 0.01, 0.1], elasticNetParam=[0.0, 0.1, 0.2])
+    g = models.grid(lr, **MULTICLASS_GRID)
     best = models.tune(lr, g, models.multiclass_evaluator("f1"), train, folds=5)
     return best.transform(test).select("track_id", "genre", "label", "prediction")
 
@@ -616,7 +626,7 @@ def _als_sets(spark, sf_dir):
     enc = indexing.apply_index(enc, items, "song_id", "item_index", broadcast_rows=bound)
     enc = enc.withColumn("user_index", F.col("user_index").cast("int")).withColumn(
         "item_index", F.col("item_index").cast("int"))
-    return sampling.hash_split(enc, ["row_key"], [0.7, 0.3])
+    return sampling.hash_split(enc, ["row_key"], HOLDOUT)
 
 
 def _als_predictions(spark, sf_dir):

@@ -130,7 +130,7 @@ ORACLES.update({
                CAST(l.l_quantity AS INTEGER) AS plays
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
     """,
-    "schema_from_attributes": f"SELECT {FEATURE_COLS}, CAST(vec_id AS VARCHAR) AS MSD_TRACKID FROM embeddings",
+    "schema_from_attributes": f"SELECT {FEATURE_COLS}, CAST(vec_id AS VARCHAR) AS TRACK_ID FROM embeddings",
     "attribute_types": """
         SELECT type, CAST(n AS BIGINT) AS n_attributes
         FROM (VALUES ('NUMERIC', 5), ('real', 5), ('string', 1)) t(type, n)

@@ -91,11 +91,11 @@ def test_gzip_round_trip(spark, tmp_dir):
 def test_schema_from_attributes_order_and_types(spark, tmp_dir):
     path = f"{tmp_dir}/attrs.csv"
     with open(path, "w") as f:
-        f.write("b_first,NUMERIC\na_second,real\nMSD_TRACKID,string\nname,STRING\n")
+        f.write("b_first,NUMERIC\na_second,real\nTRACK_ID,string\nname,STRING\n")
     schema = schema_from_attributes(read_attributes(spark, path))
     assert [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields] == [
         ("b_first", "double", True), ("a_second", "double", True),
-        ("MSD_TRACKID", "string", True), ("name", "string", True)]
+        ("TRACK_ID", "string", True), ("name", "string", True)]
     types = {r["type"]: r["n_attributes"] for r in attribute_types(read_attributes(spark, path)).collect()}
     assert types == {"NUMERIC": 1, "real": 1, "string": 1, "STRING": 1}
 
@@ -110,7 +110,7 @@ def test_unknown_attribute_type_names_the_attribute(spark, tmp_dir):
 
 def test_read_feature_set(spark, tmp_dir):
     with open(f"{tmp_dir}/a.csv", "w") as f:
-        f.write("f1,real\nMSD_TRACKID,string\n")
+        f.write("f1,real\nTRACK_ID,string\n")
     with open(f"{tmp_dir}/d.csv", "w") as f:
         f.write("0.5,'TRA'\nx,'TRB'\n")
     df = read_feature_set(spark, f"{tmp_dir}/a.csv", f"{tmp_dir}/d.csv")
