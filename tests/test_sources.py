@@ -125,3 +125,24 @@ def test_row_and_line_counts(spark, tmp_dir):
             f.write("\n".join(["l"] * n) + "\n")
     counts = {r["file"].rsplit("/", 1)[-1]: r["n_lines"] for r in line_counts(read_log_lines(spark, tmp_dir)).collect()}
     assert counts == {"x.txt": 2, "y.txt": 4}
+
+
+def test_read_several_feature_sets(spark, tmp_dir):
+    import os
+
+    from encore.sources import read_feature_sets
+
+    os.makedirs(f"{tmp_dir}/attributes")
+    os.makedirs(f"{tmp_dir}/features/a.csv")
+    os.makedirs(f"{tmp_dir}/features/b.csv")
+    with open(f"{tmp_dir}/attributes/a.attributes.csv", "w") as f:
+        f.write("x,NUMERIC\nTRACK_ID,string\n")
+    with open(f"{tmp_dir}/attributes/b.attributes.csv", "w") as f:
+        f.write("y1,real\ny2,real\nTRACK_ID,STRING\n")
+    with open(f"{tmp_dir}/features/a.csv/part-0", "w") as f:
+        f.write("1.5,'TRA'\n2.5,'TRB'\n")
+    with open(f"{tmp_dir}/features/b.csv/part-0", "w") as f:
+        f.write("1,2,'TRA'\n")
+    sets = read_feature_sets(spark, tmp_dir, ["a", "b"])
+    assert sets["a"].dtypes == [("x", "double"), ("TRACK_ID", "string")] and sets["a"].count() == 2
+    assert sets["b"].columns == ["y1", "y2", "TRACK_ID"] and sets["b"].collect()[0]["y2"] == 2.0
