@@ -71,6 +71,37 @@ def exact_quantiles(
     return picks.select(_rows(*structs).alias("s")).select("s.*")
 
 
+def exact_quantiles_stacked(
+    parts: Sequence[tuple[str, DataFrame, str]],
+    probs: Sequence[float] = DEFAULT_PROBS,
+    partitions: int | None = None,
+) -> DataFrame:
+    """``(measure, prob, value)`` for several ``(measure, frame, column)`` at once.
+
+    The columns are stacked as ``(measure, value)`` rows (values of one type),
+    reduced to distinct pairs with counts, and one pass of
+    :func:`running_sums` ordered by ``(measure, value)`` serves every measure:
+    a measure's own cumulative count is the global one minus the rows of the
+    measures before it, taken from a table with one row per measure.
+    """
+    stacked = None
+    for measure, df, column in parts:
+        one = df.where(F.col(column).isNotNull()).select(F.lit(measure).alias("measure"), F.col(column).alias("value"))
+        stacked = one if stacked is None else stacked.unionByName(one)
+    counts = stacked.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("_n"))
+    cum = running_sums(counts, ["measure", "value"], {"c": F.col("_n")}, partitions)
+    per_measure = cum.groupBy("measure").agg(F.min("c_before").alias("_start"), F.sum("_n").alias("_size"))
+    within = cum.join(F.broadcast(per_measure), "measure").select(
+        "measure", "value", (F.col("c_before") - F.col("_start") + F.col("_n")).alias("_reached"), "_size"
+    )
+    picks = within.groupBy("measure").agg(
+        *[F.min(F.when(F.col("_reached") >= F.lit(float(p)) * F.col("_size"), F.col("value"))).alias(f"q{i}")
+          for i, p in enumerate(probs)]
+    )
+    structs = [F.struct(F.lit(float(p)).alias("prob"), F.col(f"q{i}").alias("value")) for i, p in enumerate(probs)]
+    return picks.select("measure", _rows(*structs).alias("s")).select("measure", "s.*")
+
+
 def approx_quantiles(
     df: DataFrame, column: str, probs: Sequence[float] = DEFAULT_PROBS, rel_err: float = 0.05
 ) -> DataFrame:

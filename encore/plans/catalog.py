@@ -285,9 +285,7 @@ def _measures(spark, sf_dir):
 
 @query
 def quantiles_exact(spark, sf_dir):
-    parts = [profile.exact_quantiles(df, c).select(F.lit(m).alias("measure"), "prob", "value")
-             for m, df, c in _measures(spark, sf_dir)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return profile.exact_quantiles_stacked(_measures(spark, sf_dir))
 
 
 @query

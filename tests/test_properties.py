@@ -61,6 +61,19 @@ def test_exact_quantiles(spark, values, partitions):
     assert got == {p: _disc(values, p) for p in probs}
 
 
+@SETTINGS
+@given(st.lists(st.integers(-20, 20), min_size=1, max_size=60), st.lists(st.integers(0, 9), min_size=1, max_size=60),
+       st.integers(1, 4))
+def test_stacked_quantiles_equal_separate(spark, a, b, partitions):
+    fa = spark.createDataFrame([(v,) for v in a], "x long")
+    fb = spark.createDataFrame([(v,) for v in b], "y long")
+    probs = (0.0, 0.25, 0.5, 0.75, 1.0)
+    got = {(r["measure"], r["prob"]): r["value"] for r in
+           profile.exact_quantiles_stacked([("a", fa, "x"), ("b", fb, "y")], probs, partitions).collect()}
+    want = {("a", p): _disc(a, p) for p in probs} | {("b", p): _disc(b, p) for p in probs}
+    assert got == want
+
+
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 1), st.integers(-5, 5)), min_size=2, max_size=80))
 def test_auc_is_mann_whitney(spark, rows):
