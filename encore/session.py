@@ -16,8 +16,9 @@ def build_session(
 ) -> SparkSession:
     """Session with adaptive execution, skew-join splitting and UTC time.
 
-    On a cluster call it without ``master``; the launcher decides. Shuffle
-    partitions default to Spark's own value and AQE coalesces them at run time.
+    On a cluster call it without ``master`` (the launcher decides) and pass
+    ``extra=cluster_conf(cores, expected_shuffle_bytes)`` so that shuffle
+    partitions are sized to the data; locally a small fixed count is enough.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -42,6 +43,27 @@ def build_session(
     return spark
 
 
+def cluster_conf(total_cores: int, shuffle_bytes: float, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, to pass as ``build_session(extra=...)``.
+
+    The initial shuffle partition count follows the expected shuffle volume
+    (about ``partition_bytes`` per partition, never fewer than two per core);
+    adaptive execution then coalesces small partitions back to the advisory
+    size and splits skewed ones. For 100 TB of shuffle input this starts at
+    about 400,000 partitions of 256 MB, each of which fits in executor memory.
+    """
+    initial = max(2 * total_cores, int(shuffle_bytes // partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 

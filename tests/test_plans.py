@@ -67,3 +67,13 @@ def test_hot_user_with_a_third_of_rows(spark):
     assert clean.where("user_id = 0").count() == 10000
     top = ranking.top_n(base, "user_id", "plays", 10, ties="keep")
     assert top.where("user_id = 0").count() == 10000
+
+
+def test_cluster_conf_sizes_partitions_to_the_data():
+    from encore.session import cluster_conf
+
+    big = cluster_conf(total_cores=8000, shuffle_bytes=100 * 2**40)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409601
+    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == big["spark.sql.shuffle.partitions"]
+    small = cluster_conf(total_cores=8, shuffle_bytes=10 * 2**20)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
