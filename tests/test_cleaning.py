@@ -100,3 +100,12 @@ def test_rename_at_and_numeric_columns(spark):
     df = spark.createDataFrame([(1.0, 2.0, "x", 1)], "_c0 double, _c1 double, _c2 string, label int")
     assert C.rename_at(df, -2, "track_id").columns == ["_c0", "_c1", "track_id", "label"]
     assert C.numeric_columns(df, exclude=["_c1"]) == ["_c0"]
+
+
+def test_most_active_share_uses_most_items_not_most_plays(spark):
+    # u1: 3 songs with 1 play each; u2: 1 song with 100 plays -> share uses u1's 3 songs.
+    rows = [("u1", "s1", 1), ("u1", "s2", 1), ("u1", "s3", 1), ("u2", "s1", 100)]
+    r = activity.retention_report(spark.createDataFrame(rows, TRIPLETS), 0, 0).collect()[0]
+    assert r["max_items_per_user"] == 3 and r["max_items_share"] == pytest.approx(1.0)
+    top_by_plays = activity.top_k(activity.user_activity(spark.createDataFrame(rows, TRIPLETS)), "play_count", 1)
+    assert top_by_plays.collect()[0]["user_id"] == "u2"
