@@ -6,23 +6,34 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from encore.session import default_parallelism, scratch_path
+from encore.session import default_parallelism, ensure_checkpoint_dir, scratch_path
 
 __all__ = ["default_parallelism", "materialize", "persist_shared", "spread"]
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+def materialize(df: DataFrame, name: str = "stage", how: str = "checkpoint") -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and continue from there.
 
     For an input that several branches of one plan consume and that is costly
-    to recompute (for example a shuffle join): it is computed once, later
-    scans prune columns and push filters into the files, and the lineage ends
-    at durable storage, so a lost executor costs a re-read, not a recomputation.
+    to recompute (for example a shuffle join). The lineage ends at durable
+    storage, so a lost executor costs a re-read, not a recomputation.
+
+    ``how='checkpoint'`` (default) uses ``DataFrame.checkpoint``; with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` on (as
+    :func:`encore.session.build_session` sets it) Spark deletes the files once
+    the frame is no longer referenced. ``how='parquet'`` writes a Parquet table
+    under the same folder instead: later scans prune columns, which pays off
+    for wide tables read by narrow branches, but the files stay until removed.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if how == "checkpoint":
+        ensure_checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    if how == "parquet":
+        path = scratch_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    raise ValueError("how must be 'checkpoint' or 'parquet'")
 
 
 def persist_shared(df: DataFrame) -> DataFrame:

@@ -31,6 +31,8 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.checkpoint.compress": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
