@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.columns import safe_ratio
-from encore.operators.joins import keep_matching
+from encore.operators.joins import HOT_KEY_ROWS, keep_matching, split_hot_keys
 
 
 def user_activity(
@@ -75,17 +75,32 @@ def clean_interactions(
     item: str = "song_id",
     plays: str = "plays",
     broadcast_rows: int | None = None,
+    hot_rows: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Keep rows of active users on popular items.
 
     Both thresholds are computed once on the input and applied once (one pass,
     not an iteration to a fixed point). Semi joins add no columns, so nothing
     has to be dropped afterwards.
+
+    The user and item lists are aggregates already partitioned by their key,
+    so adaptive execution cannot split a hot key in these joins. Users or items
+    with more than ``hot_rows`` rows (fewer than ``rows / hot_rows`` of them,
+    read off the same aggregates) are therefore joined map-side against a
+    broadcast and kept out of the shuffle (:func:`split_hot_keys`);
+    ``hot_rows=None`` turns this off.
     """
-    users = active_users(df, min_items, user, item, plays).select(user)
-    items = popular_items(df, min_plays, user, item, plays).select(item)
-    kept = keep_matching(df, users, user, broadcast_rows)
-    return keep_matching(kept, items, item, broadcast_rows)
+    user_stats = user_activity(df, user, item, plays)
+    item_stats = item_activity(df, user, item, plays)
+    users = user_stats.where(F.col("song_count") > F.lit(min_items)).select(user)
+    items = item_stats.where(F.col("play_count") > F.lit(min_plays)).select(item)
+    if not hot_rows:
+        kept = keep_matching(df, users, user, broadcast_rows)
+        return keep_matching(kept, items, item, broadcast_rows)
+    hot_users = user_stats.where(F.col("song_count") > F.lit(hot_rows)).select(user)
+    hot_items = item_stats.where(F.col("user_count") > F.lit(hot_rows)).select(item)
+    kept = split_hot_keys(df, users, user, "left_semi", hot_users)
+    return split_hot_keys(kept, items, item, "left_semi", hot_items)
 
 
 def retention_report(
@@ -96,6 +111,7 @@ def retention_report(
     item: str = "song_id",
     plays: str = "plays",
     broadcast_rows: int | None = None,
+    hot_rows: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """One row with the counts and shares of the cleaning step.
 
@@ -109,7 +125,7 @@ def retention_report(
     items = item_activity(df, user, item, plays).select(
         F.lit("item").alias("kind"), F.col("user_count").alias("size"), F.col("play_count").alias("plays")
     )
-    cleaned = clean_interactions(df, min_items, min_plays, user, item, plays, broadcast_rows).select(
+    cleaned = clean_interactions(df, min_items, min_plays, user, item, plays, broadcast_rows, hot_rows).select(
         F.lit("clean").alias("kind"), F.lit(1).cast("bigint").alias("size"), F.lit(None).cast("bigint").alias("plays")
     )
     stacked = reduce(DataFrame.unionByName, [users, items, cleaned])

@@ -25,6 +25,12 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows, reading no more than
+    ``max_rows + 1`` of them."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint ``df`` for broadcast only when it has at most ``max_rows`` rows.
 
@@ -34,8 +40,57 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_R
     """
     if not max_rows:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def hot_keys(df: DataFrame, key: str | Sequence[str], min_rows: int) -> DataFrame:
+    """Keys holding more than ``min_rows`` rows of ``df`` (fewer than
+    ``rows / min_rows`` of them), from one partially aggregated count."""
+    keys = _keys(key)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(min_rows)).select(*keys)
+
+
+def _filter_join(df, right, keys, how, broadcast_rows, hot_rows):
+    right = right.select(*keys)
+    if broadcast_rows and fits(right, broadcast_rows):
+        return df.join(F.broadcast(right), on=keys, how=how).select(*df.columns)
+    if hot_rows:
+        return split_hot_keys(df, right, keys, how, hot_keys(df, keys, hot_rows))
+    return df.join(right, on=keys, how=how).select(*df.columns)
+
+
+HOT_KEY_ROWS = 1_000_000
+
+
+def split_hot_keys(
+    df: DataFrame,
+    right: DataFrame,
+    key: str | Sequence[str],
+    how: str,
+    hot_keys: DataFrame,
+) -> DataFrame:
+    """A semi or anti join of ``df`` with the keys of ``right`` that keeps hot
+    keys out of the shuffle.
+
+    ``hot_keys`` lists the keys of ``df`` that hold more than some T rows; there
+    are fewer than ``rows / T`` of them, so broadcasting them has a proven bound.
+    Rows of hot keys are joined map-side against the part of ``right`` with
+    those keys (at most one row per hot key when ``right`` has unique keys);
+    every other row goes through the ordinary (shuffle) join, from which the hot
+    keys are removed before the exchange. The union is exactly the plain join.
+    This matters where ``right`` is an aggregate already partitioned by the key:
+    then no exchange sits under that side of the join and adaptive execution
+    cannot split the hot partition by itself.
+    """
+    if how not in ("left_semi", "left_anti"):
+        raise ValueError("how must be 'left_semi' or 'left_anti'")
+    keys = _keys(key)
+    hot = F.broadcast(hot_keys.select(*keys))
+    right_keys = right.select(*keys)
+    right_hot = F.broadcast(right_keys.join(hot, on=keys, how="left_semi"))
+    hot_rows = df.join(hot, on=keys, how="left_semi").join(right_hot, on=keys, how=how)
+    cold_rows = df.join(hot, on=keys, how="left_anti").join(right_keys, on=keys, how=how)
+    return hot_rows.select(*df.columns).unionByName(cold_rows.select(*df.columns))
 
 
 def blocklist(errors: DataFrame, accepted: DataFrame, key: str | Sequence[str] = "song_id") -> DataFrame:
@@ -52,11 +107,15 @@ def exclude(
     blocked: DataFrame,
     key: str | Sequence[str] = "song_id",
     broadcast_rows: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``blocked``; null keys are kept."""
-    keys = _keys(key)
-    right = broadcast_if_small(blocked.select(*keys), broadcast_rows)
-    return df.join(right, on=keys, how="left_anti").select(*df.columns)
+    """Rows of ``df`` whose key is not in ``blocked``; null keys are kept.
+
+    ``broadcast_rows``: broadcast ``blocked`` when it has at most that many
+    rows. ``hot_rows``: otherwise keep keys of ``df`` with more rows than that
+    out of the shuffle join (:func:`split_hot_keys`).
+    """
+    return _filter_join(df, blocked, _keys(key), "left_anti", broadcast_rows, hot_rows)
 
 
 def keep_matching(
@@ -64,11 +123,11 @@ def keep_matching(
     allowed: DataFrame,
     key: str | Sequence[str],
     broadcast_rows: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``allowed`` (semi join, no columns added)."""
-    keys = _keys(key)
-    right = broadcast_if_small(allowed.select(*keys), broadcast_rows)
-    return df.join(right, on=keys, how="left_semi").select(*df.columns)
+    """Rows of ``df`` whose key occurs in ``allowed`` (semi join, no columns
+    added); ``broadcast_rows`` and ``hot_rows`` as in :func:`exclude`."""
+    return _filter_join(df, allowed, _keys(key), "left_semi", broadcast_rows, hot_rows)
 
 
 def attach_labels(features: DataFrame, labels: DataFrame, key: str | Sequence[str] = "track_id") -> DataFrame:

@@ -49,7 +49,8 @@ def _without_blocked(spark: SparkSession, sf_dir: str, keyed: bool = False) -> D
     """Interactions minus the block list. The block list is a filtered
     dimension table, so an explicit bounded count decides its broadcast."""
     base = roles.interactions(spark, sf_dir) if keyed else roles.base_interactions(spark, sf_dir)
-    return joins.exclude(base, _blocklist(spark, sf_dir), "song_id", broadcast_rows=joins.DEFAULT_BROADCAST_ROWS)
+    return joins.exclude(base, _blocklist(spark, sf_dir), "song_id",
+                         broadcast_rows=joins.DEFAULT_BROADCAST_ROWS, hot_rows=joins.HOT_KEY_ROWS)
 
 
 def _shared_base(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:

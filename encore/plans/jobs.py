@@ -14,6 +14,7 @@ Each returns a dict of lazy DataFrames except where a model must be fitted.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,7 +57,8 @@ def cleaning_job(
     block = joins.blocklist(errors, accepted, "song_id")
     raw = delimited.read_delimited(spark, triplets, TRIPLETS_SCHEMA, sep="\t")
     kept = physical.materialize(
-        joins.exclude(raw, block, "song_id", broadcast_rows=joins.DEFAULT_BROADCAST_ROWS), "triplets"
+        joins.exclude(raw, block, "song_id", broadcast_rows=joins.DEFAULT_BROADCAST_ROWS,
+                      hot_rows=joins.HOT_KEY_ROWS), "triplets"
     )
     users = activity.user_activity(kept)
     items = activity.item_activity(kept)
@@ -118,8 +120,6 @@ def classification_job(
     estimators = {"logistic_regression": (models.logistic(), "probability"),
                   "linear_svm": (models.svm(), "rawPrediction"),
                   "random_forest": (models.forest(seed=seed), "probability")}
-    from pyspark.ml.functions import vector_to_array
-
     for name, (est, score_col) in estimators.items():
         pred = models.fit(est, train_f).transform(test_f).select(
             "track_id", "label", "prediction", vector_to_array(F.col(score_col))[1].alias("score"))

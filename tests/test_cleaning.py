@@ -30,6 +30,18 @@ def test_exclude_without_broadcast_gives_same_rows(spark):
     assert a.count() == b.count() == 1000 - 143
 
 
+def test_exclude_and_keep_with_hot_keys_out_of_the_shuffle(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("song_id"), F.col("id").alias("i"))
+    block = spark.createDataFrame([(7,), (8,), (9,)], "song_id long")
+    plain = sorted(joins.exclude(df, block).collect())
+    assert sorted(joins.exclude(df, block, broadcast_rows=2, hot_rows=100).collect()) == plain
+    assert len(plain) == 3000 - 1000 - sum(1 for i in range(3000) if i % 3 and i % 50 in (7, 8, 9))
+    kept = sorted(joins.keep_matching(df, block, "song_id", broadcast_rows=2, hot_rows=100).collect())
+    assert kept == sorted(joins.keep_matching(df, block, "song_id").collect())
+    assert [r["song_id"] for r in joins.hot_keys(df, "song_id", 100).collect()] == [7]
+
+
 def test_duplicate_column_after_two_joins_dropped_at_once(spark):
     base = spark.createDataFrame([("u1", "s1", 1)], TRIPLETS)
     users = spark.createDataFrame([("u1", 5)], "user_id string, play_count long")

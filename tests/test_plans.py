@@ -77,3 +77,39 @@ def test_cluster_conf_sizes_partitions_to_the_data():
     assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == big["spark.sql.shuffle.partitions"]
     small = cluster_conf(total_cores=8, shuffle_bytes=10 * 2**20)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_hot_user_is_kept_out_of_the_shuffle_join(spark):
+    """With broadcasts off, the semi join that keeps active users is a sort-merge
+    join whose right side (an aggregate by user) has no exchange of its own, so
+    adaptive execution cannot split a hot partition there. The hot user (a third
+    of the rows) is joined map-side instead and never enters that shuffle."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        base = spark.range(60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 4001 + 1).alias("user_id"),
+            (F.col("id") % 997).alias("song_id"),
+            F.lit(1).alias("plays"),
+        )
+        plain = activity.clean_interactions(base, min_items=5, min_plays=0, hot_rows=None)
+        split = activity.clean_interactions(base, min_items=5, min_plays=0, hot_rows=5000)
+        assert sorted(split.collect()) == sorted(plain.collect()) and split.count() == 60000
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        # hot rows: broadcast semi joins; the rest: hot keys removed by a broadcast anti join, then the shuffle join
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan and "LeftAnti" in plan, plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from encore.operators import evaluate, ordering, profile, ranking
+from encore.operators import evaluate, joins, ordering, profile, ranking
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -116,3 +116,20 @@ def test_ranking_metrics_brute_force(spark, users, k):
     assert got[f"precision_at_{k}"] == pytest.approx(sum(w[0] for w in want) / len(want), abs=1e-12)
     assert got["mean_average_precision"] == pytest.approx(sum(w[1] for w in want) / len(want), abs=1e-12)
     assert got[f"ndcg_at_{k}"] == pytest.approx(sum(w[2] for w in want) / len(want), abs=1e-12)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=1, max_size=60),
+       st.sets(st.one_of(st.none(), st.integers(0, 6)), max_size=5),
+       st.sets(st.integers(0, 6), max_size=3))
+def test_split_hot_keys_equals_plain_join(spark, left, right, hot):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "k int, i int")
+    r = spark.createDataFrame([(k,) for k in right], "k int")
+    h = spark.createDataFrame([(k,) for k in hot], "k int")
+    def key(t):
+        return (t[0] is None, t[0] or 0, t[1])
+
+    for how in ("left_semi", "left_anti"):
+        got = sorted((tuple(x) for x in joins.split_hot_keys(df, r, "k", how, h).collect()), key=key)
+        want = sorted((tuple(x) for x in df.join(r, "k", how).select("k", "i").collect()), key=key)
+        assert got == want
