@@ -421,7 +421,9 @@ def ranked_pairs(spark, sf_dir):
     rel = _relevant(pairs).select("user_id", "song_id", "rank")
     both = rec.select("user_id").distinct().join(rel.select("user_id").distinct(), "user_id")
     joined = rec.join(rel, ["user_id", "song_id"], "full_outer")
-    return joined.join(both, "user_id", "left_semi")
+    # `both` is partitioned by user already; a user with many tied relevant
+    # rows is kept out of that shuffle join.
+    return joins.keep_matching(joined, both, "user_id", hot_rows=joins.HOT_KEY_ROWS)
 
 
 @query
