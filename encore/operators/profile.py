@@ -84,11 +84,7 @@ def exact_quantiles_stacked(
     a measure's own cumulative count is the global one minus the rows of the
     measures before it, taken from a table with one row per measure.
     """
-    stacked = None
-    for measure, df, column in parts:
-        one = df.where(F.col(column).isNotNull()).select(F.lit(measure).alias("measure"), F.col(column).alias("value"))
-        stacked = one if stacked is None else stacked.unionByName(one)
-    counts = stacked.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = _stack(parts).groupBy("measure", "value").agg(F.count(F.lit(1)).alias("_n"))
     cum = running_sums(counts, ["measure", "value"], {"c": F.col("_n")}, partitions)
     per_measure = cum.groupBy("measure").agg(F.min("c_before").alias("_start"), F.sum("_n").alias("_size"))
     within = cum.join(F.broadcast(per_measure), "measure").select(
@@ -141,6 +137,52 @@ def quantile_rank_check(df: DataFrame, column: str, quantiles: DataFrame, rel_er
     return counts.select(_rows(*structs).alias("s")).select("s.*")
 
 
+def _stack(parts: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
+    stacked = None
+    for measure, df, column in parts:
+        one = df.where(F.col(column).isNotNull()).select(F.lit(measure).alias("measure"), F.col(column).alias("value"))
+        stacked = one if stacked is None else stacked.unionByName(one)
+    return stacked
+
+
+def approx_quantiles_checked(
+    parts: Sequence[tuple[str, DataFrame, str]],
+    probs: Sequence[float] = DEFAULT_PROBS,
+    rel_err: float = 0.05,
+) -> DataFrame:
+    """``(measure, prob, value, rank_lo, rank_hi, within_bound)`` for several
+    measures: one grouped sketch pass gives the approximate quantiles, one
+    grouped pass of conditional counts checks each against the sketch's rank
+    guarantee. Only the ``measures x probs`` values come to the driver."""
+    stacked = _stack(parts)
+    accuracy = max(1, int(round(1.0 / rel_err)))
+    sketch = stacked.groupBy("measure").agg(
+        F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("v")
+    ).collect()
+    values = {r["measure"]: list(r["v"]) for r in sketch}
+    m, x = F.col("measure"), F.col("value")
+    aggs = [F.count(x).alias("n")]
+    for i in range(len(probs)):
+        v = None
+        for measure, vals in values.items():
+            v = F.when(m == measure, F.lit(vals[i])) if v is None else v.when(m == measure, F.lit(vals[i]))
+        aggs += [F.count_if(x < v).alias(f"lt{i}"), F.count_if(x <= v).alias(f"le{i}")]
+    counts = stacked.groupBy("measure").agg(*aggs)
+    n = F.col("n").cast("double")
+    structs = []
+    for i, p in enumerate(probs):
+        chosen = None
+        for measure, vals in values.items():
+            chosen = F.when(m == measure, F.lit(vals[i])) if chosen is None else chosen.when(m == measure, F.lit(vals[i]))
+        lo, hi = F.col(f"lt{i}") + 1, F.col(f"le{i}")
+        target, slack = F.lit(float(p)) * n, F.lit(float(rel_err)) * n
+        structs.append(F.struct(
+            F.lit(float(p)).alias("prob"), chosen.alias("value"), lo.alias("rank_lo"), hi.alias("rank_hi"),
+            ((lo <= target + slack) & (hi >= target - slack)).alias("within_bound"),
+        ))
+    return counts.select("measure", _rows(*structs).alias("s")).select("measure", "s.*")
+
+
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair, ``(feature_x, feature_y, r)``.
 

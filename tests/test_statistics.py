@@ -63,6 +63,15 @@ def test_approx_quantiles_within_rank_bound(spark):
     assert all(r["within_bound"] for r in check) and len(check) == 5
 
 
+def test_approx_quantiles_checked_for_several_measures(spark):
+    a = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("x"))
+    b = spark.range(300).select((F.col("id") % 17).alias("y"))
+    rows = profile.approx_quantiles_checked([("a", a, "x"), ("b", b, "y")], rel_err=0.05).collect()
+    assert len(rows) == 10 and all(r["within_bound"] for r in rows)
+    single = {r["prob"]: r["value"] for r in profile.approx_quantiles(a, "x", rel_err=0.05).collect()}
+    assert {r["prob"]: r["value"] for r in rows if r["measure"] == "a"} == single
+
+
 def test_correlation_against_numpy_and_constant_column(spark):
     rng = np.random.default_rng(7)
     a = rng.normal(size=300)
