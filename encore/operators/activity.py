@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.columns import safe_ratio
-from encore.operators.joins import HOT_KEY_ROWS, keep_matching, split_hot_keys
+from encore.operators.joins import HOT_KEY_ROWS, keep_matching
 
 
 def user_activity(
@@ -87,20 +87,20 @@ def clean_interactions(
     so adaptive execution cannot split a hot key in these joins. Users or items
     with more than ``hot_rows`` rows (fewer than ``rows / hot_rows`` of them,
     read off the same aggregates) are therefore joined map-side against a
-    broadcast and kept out of the shuffle (:func:`split_hot_keys`);
-    ``hot_rows=None`` turns this off.
+    broadcast and kept out of the shuffle (``joins.split_hot_keys``);
+    ``hot_rows=None`` turns this off. With ``broadcast_rows`` a list within that
+    bound is broadcast instead.
     """
     user_stats = user_activity(df, user, item, plays)
     item_stats = item_activity(df, user, item, plays)
     users = user_stats.where(F.col("song_count") > F.lit(min_items)).select(user)
     items = item_stats.where(F.col("play_count") > F.lit(min_plays)).select(item)
-    if not hot_rows:
-        kept = keep_matching(df, users, user, broadcast_rows)
-        return keep_matching(kept, items, item, broadcast_rows)
-    hot_users = user_stats.where(F.col("song_count") > F.lit(hot_rows)).select(user)
-    hot_items = item_stats.where(F.col("user_count") > F.lit(hot_rows)).select(item)
-    kept = split_hot_keys(df, users, user, "left_semi", hot_users)
-    return split_hot_keys(kept, items, item, "left_semi", hot_items)
+    hot_users = hot_items = None
+    if hot_rows:
+        hot_users = user_stats.where(F.col("song_count") > F.lit(hot_rows)).select(user)
+        hot_items = item_stats.where(F.col("user_count") > F.lit(hot_rows)).select(item)
+    kept = keep_matching(df, users, user, broadcast_rows, hot=hot_users)
+    return keep_matching(kept, items, item, broadcast_rows, hot=hot_items)
 
 
 def retention_report(

@@ -9,6 +9,11 @@ skewed partitions of the big side. When the small side is cheap to count (a
 filtered dimension table), ``broadcast_rows`` adds an explicit bounded check:
 at most ``broadcast_rows + 1`` rows are read, and only a side within the bound
 is hinted for broadcast.
+
+Where the other side is an aggregate already partitioned by the join key (the
+active-user and popular-item lists), no exchange sits under it and adaptive
+execution cannot split a hot key; :func:`split_hot_keys` then keeps keys with
+more than ``HOT_KEY_ROWS`` rows out of the shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +23,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Bounds for explicit broadcasts: rows of a key list, and rows that make a key hot.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+HOT_KEY_ROWS = 1_000_000
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -50,18 +57,15 @@ def hot_keys(df: DataFrame, key: str | Sequence[str], min_rows: int) -> DataFram
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(min_rows)).select(*keys)
 
 
-def _filter_join(df, right, keys, how, broadcast_rows, hot_rows):
+def _filter_join(df, right, keys, how, broadcast_rows, hot_rows, hot):
     right = right.select(*keys)
     if broadcast_rows and fits(right, broadcast_rows):
         return df.join(F.broadcast(right), on=keys, how=how).select(*df.columns)
-    if hot_rows:
-        return split_hot_keys(df, right, keys, how, hot_keys(df, keys, hot_rows))
+    if hot is not None or hot_rows:
+        return split_hot_keys(df, right, keys, how, hot if hot is not None else hot_keys(df, keys, hot_rows))
     return df.join(right, on=keys, how=how).select(*df.columns)
 
 
-HOT_KEY_ROWS = 1_000_000
-
-
 def split_hot_keys(
     df: DataFrame,
     right: DataFrame,
@@ -87,7 +91,8 @@ def split_hot_keys(
     keys = _keys(key)
     hot = F.broadcast(hot_keys.select(*keys))
     right_keys = right.select(*keys)
-    right_hot = F.broadcast(right_keys.join(hot, on=keys, how="left_semi"))
+    # at most one row per hot key, whatever the duplicates in `right`
+    right_hot = F.broadcast(right_keys.join(hot, on=keys, how="left_semi").distinct())
     hot_rows = df.join(hot, on=keys, how="left_semi").join(right_hot, on=keys, how=how)
     cold_rows = df.join(hot, on=keys, how="left_anti").join(right_keys, on=keys, how=how)
     return hot_rows.select(*df.columns).unionByName(cold_rows.select(*df.columns))
@@ -108,14 +113,16 @@ def exclude(
     key: str | Sequence[str] = "song_id",
     broadcast_rows: int | None = None,
     hot_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose key is not in ``blocked``; null keys are kept.
 
     ``broadcast_rows``: broadcast ``blocked`` when it has at most that many
-    rows. ``hot_rows``: otherwise keep keys of ``df`` with more rows than that
-    out of the shuffle join (:func:`split_hot_keys`).
+    rows. Otherwise ``hot`` (keys of ``df`` known to be hot) or ``hot_rows``
+    (find keys of ``df`` with more rows than that) keeps hot keys out of the
+    shuffle join (:func:`split_hot_keys`).
     """
-    return _filter_join(df, blocked, _keys(key), "left_anti", broadcast_rows, hot_rows)
+    return _filter_join(df, blocked, _keys(key), "left_anti", broadcast_rows, hot_rows, hot)
 
 
 def keep_matching(
@@ -124,10 +131,11 @@ def keep_matching(
     key: str | Sequence[str],
     broadcast_rows: int | None = None,
     hot_rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``allowed`` (semi join, no columns
-    added); ``broadcast_rows`` and ``hot_rows`` as in :func:`exclude`."""
-    return _filter_join(df, allowed, _keys(key), "left_semi", broadcast_rows, hot_rows)
+    added); ``broadcast_rows``, ``hot_rows`` and ``hot`` as in :func:`exclude`."""
+    return _filter_join(df, allowed, _keys(key), "left_semi", broadcast_rows, hot_rows, hot)
 
 
 def attach_labels(features: DataFrame, labels: DataFrame, key: str | Sequence[str] = "track_id") -> DataFrame:
