@@ -86,8 +86,8 @@ def clean_interactions(
     The user and item lists are aggregates already partitioned by their key,
     so adaptive execution cannot split a hot key in these joins. Users or items
     with more than ``hot_rows`` rows (fewer than ``rows / hot_rows`` of them,
-    read off the same aggregates) are therefore joined map-side against a
-    broadcast and kept out of the shuffle (``joins.split_hot_keys``);
+    read off the same aggregates) are therefore salted over several tasks
+    (``joins.split_hot_keys``);
     ``hot_rows=None`` turns this off. With ``broadcast_rows`` a list within that
     bound is broadcast instead.
     """
@@ -97,10 +97,10 @@ def clean_interactions(
     items = item_stats.where(F.col("play_count") > F.lit(min_plays)).select(item)
     hot_users = hot_items = None
     if hot_rows:
-        hot_users = user_stats.where(F.col("song_count") > F.lit(hot_rows)).select(user)
-        hot_items = item_stats.where(F.col("user_count") > F.lit(hot_rows)).select(item)
-    kept = keep_matching(df, users, user, broadcast_rows, hot=hot_users)
-    return keep_matching(kept, items, item, broadcast_rows, hot=hot_items)
+        hot_users = user_stats.where(F.col("song_count") > F.lit(hot_rows)).select(user, F.col("song_count").alias("_n"))
+        hot_items = item_stats.where(F.col("user_count") > F.lit(hot_rows)).select(item, F.col("user_count").alias("_n"))
+    kept = keep_matching(df, users, user, broadcast_rows, hot_rows, hot=hot_users)
+    return keep_matching(kept, items, item, broadcast_rows, hot_rows, hot=hot_items)
 
 
 def retention_report(

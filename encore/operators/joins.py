@@ -12,8 +12,8 @@ is hinted for broadcast.
 
 Where the other side is an aggregate already partitioned by the join key (the
 active-user and popular-item lists), no exchange sits under it and adaptive
-execution cannot split a hot key; :func:`split_hot_keys` then keeps keys with
-more than ``HOT_KEY_ROWS`` rows out of the shuffle.
+execution cannot split a hot key; :func:`split_hot_keys` then salts keys with
+more than ``HOT_KEY_ROWS`` rows over several tasks.
 """
 
 from __future__ import annotations
@@ -51,10 +51,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_R
 
 
 def hot_keys(df: DataFrame, key: str | Sequence[str], min_rows: int) -> DataFrame:
-    """Keys holding more than ``min_rows`` rows of ``df`` (fewer than
-    ``rows / min_rows`` of them), from one partially aggregated count."""
+    """Keys holding more than ``min_rows`` rows of ``df`` with their row count
+    ``_n`` (fewer than ``rows / min_rows`` keys), from one partially aggregated count."""
     keys = _keys(key)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(min_rows)).select(*keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > F.lit(min_rows))
 
 
 def _filter_join(df, right, keys, how, broadcast_rows, hot_rows, hot):
@@ -62,7 +63,8 @@ def _filter_join(df, right, keys, how, broadcast_rows, hot_rows, hot):
     if broadcast_rows and fits(right, broadcast_rows):
         return df.join(F.broadcast(right), on=keys, how=how).select(*df.columns)
     if hot is not None or hot_rows:
-        return split_hot_keys(df, right, keys, how, hot if hot is not None else hot_keys(df, keys, hot_rows))
+        rows = hot_rows or HOT_KEY_ROWS
+        return split_hot_keys(df, right, keys, how, hot if hot is not None else hot_keys(df, keys, rows), rows)
     return df.join(right, on=keys, how=how).select(*df.columns)
 
 
@@ -71,31 +73,38 @@ def split_hot_keys(
     right: DataFrame,
     key: str | Sequence[str],
     how: str,
-    hot_keys: DataFrame,
+    hot: DataFrame,
+    rows_per_task: int = HOT_KEY_ROWS,
+    seed: int = 17,
 ) -> DataFrame:
-    """A semi or anti join of ``df`` with the keys of ``right`` that keeps hot
-    keys out of the shuffle.
-
-    ``hot_keys`` lists the keys of ``df`` that hold more than some T rows; there
-    are fewer than ``rows / T`` of them, so broadcasting them has a proven bound.
-    Rows of hot keys are joined map-side against the part of ``right`` with
-    those keys (at most one row per hot key when ``right`` has unique keys);
-    every other row goes through the ordinary (shuffle) join, from which the hot
-    keys are removed before the exchange. The union is exactly the plain join.
-    This matters where ``right`` is an aggregate already partitioned by the key:
-    then no exchange sits under that side of the join and adaptive execution
-    cannot split the hot partition by itself.
+    """A semi or anti join of ``df`` with the keys of ``right`` in which every
+    hot key is spread over several tasks (salting).
+
+    ``hot`` lists keys of ``df`` with their row count ``_n`` (keys with more
+    than T rows: fewer than ``rows / T`` of them, so broadcasting the list has
+    a proven bound). A hot key with ``n`` rows gets a fan-out of
+    ``ceil(n / rows_per_task)``: its rows in ``df`` draw a salt in
+    ``[0, fan)``, its rows in ``right`` are repeated once per salt, and the
+    join runs on ``(key, salt)``, so no task receives more than about
+    ``rows_per_task`` rows of one key. Every other key has salt 0 on both
+    sides. Since a hot key of ``right`` carries every salt, the result is the
+    plain join whatever salt a row drew (the salt comes from ``rand`` and also
+    spreads exact duplicates). One shuffle of ``df``, like the plain join.
+
+    Needed where ``right`` is an aggregate already partitioned by the key:
+    then no exchange sits under that side and adaptive execution cannot split
+    the hot partition by itself.
     """
     if how not in ("left_semi", "left_anti"):
         raise ValueError("how must be 'left_semi' or 'left_anti'")
     keys = _keys(key)
-    hot = F.broadcast(hot_keys.select(*keys))
-    right_keys = right.select(*keys)
-    # at most one row per hot key, whatever the duplicates in `right`
-    right_hot = F.broadcast(right_keys.join(hot, on=keys, how="left_semi").distinct())
-    hot_rows = df.join(hot, on=keys, how="left_semi").join(right_hot, on=keys, how=how)
-    cold_rows = df.join(hot, on=keys, how="left_anti").join(right_keys, on=keys, how=how)
-    return hot_rows.select(*df.columns).unionByName(cold_rows.select(*df.columns))
+    fan = F.ceil(F.col("_n") / F.lit(float(rows_per_task))).cast("int")
+    tag = F.broadcast(hot.select(*keys, fan.alias("_fan")))
+    salt = F.when(F.col("_fan").isNull(), F.lit(0)).otherwise(F.floor(F.rand(seed) * F.col("_fan")).cast("int"))
+    left = df.join(tag, on=keys, how="left").withColumn("_salt", salt)
+    salts = F.when(F.col("_fan").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_fan") - 1))
+    right_salted = right.select(*keys).join(tag, on=keys, how="left").select(*keys, F.explode(salts).alias("_salt"))
+    return left.join(right_salted, on=keys + ["_salt"], how=how).select(*df.columns)
 
 
 def blocklist(errors: DataFrame, accepted: DataFrame, key: str | Sequence[str] = "song_id") -> DataFrame:
@@ -118,9 +127,9 @@ def exclude(
     """Rows of ``df`` whose key is not in ``blocked``; null keys are kept.
 
     ``broadcast_rows``: broadcast ``blocked`` when it has at most that many
-    rows. Otherwise ``hot`` (keys of ``df`` known to be hot) or ``hot_rows``
-    (find keys of ``df`` with more rows than that) keeps hot keys out of the
-    shuffle join (:func:`split_hot_keys`).
+    rows. Otherwise ``hot`` (keys of ``df`` known to be hot, with row counts
+    ``_n``) or ``hot_rows`` (find keys of ``df`` with more rows than that)
+    spreads hot keys over several tasks (:func:`split_hot_keys`).
     """
     return _filter_join(df, blocked, _keys(key), "left_anti", broadcast_rows, hot_rows, hot)
 

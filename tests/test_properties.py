@@ -125,11 +125,11 @@ def test_ranking_metrics_brute_force(spark, users, k):
 def test_split_hot_keys_equals_plain_join(spark, left, right, hot):
     df = spark.createDataFrame([(k, i) for i, k in enumerate(left)], "k int, i int")
     r = spark.createDataFrame([(k,) for k in right], "k int")
-    h = spark.createDataFrame([(k,) for k in hot], "k int")
+    h = spark.createDataFrame([(k, left.count(k)) for k in hot], "k int, _n long")
     def key(t):
         return (t[0] is None, t[0] or 0, t[1])
 
     for how in ("left_semi", "left_anti"):
-        got = sorted((tuple(x) for x in joins.split_hot_keys(df, r, "k", how, h).collect()), key=key)
+        got = sorted((tuple(x) for x in joins.split_hot_keys(df, r, "k", how, h, rows_per_task=2).collect()), key=key)
         want = sorted((tuple(x) for x in df.join(r, "k", how).select("k", "i").collect()), key=key)
         assert got == want
