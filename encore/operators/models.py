@@ -13,6 +13,8 @@ from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 
+from encore.session import default_parallelism
+
 # The seed and the model settings of the reference's jobs
 # (linear SVM maxIter 10 / regParam 0.1; ALS maxIter 5 / regParam 0.01 / rank 10).
 SEED = 1000
@@ -58,8 +60,7 @@ def tune(
     so that small folds do not leave the cluster idle.
     """
     if parallelism is None:
-        cores = max(1, train.sparkSession.sparkContext.defaultParallelism)
-        parallelism = max(1, min(len(param_grid), cores))
+        parallelism = max(1, min(len(param_grid), default_parallelism(train.sparkSession)))
     cv = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=param_grid,

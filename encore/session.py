@@ -72,7 +72,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when nothing is set
     (local tests) a private folder is created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a session without a local SparkContext (Spark Connect)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -91,4 +97,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def default_parallelism(spark: SparkSession) -> int:
     """Cores the cluster offers (the reference multiplied executors by cores)."""
-    return max(1, spark.sparkContext.defaultParallelism)
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no local SparkContext: fall back to the session's settings
+        return max(1, int(spark.conf.get("spark.default.parallelism", spark.conf.get("spark.sql.shuffle.partitions"))))
