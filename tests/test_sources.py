@@ -146,3 +146,12 @@ def test_read_several_feature_sets(spark, tmp_dir):
     sets = read_feature_sets(spark, tmp_dir, ["a", "b"])
     assert sets["a"].dtypes == [("x", "double"), ("TRACK_ID", "string")] and sets["a"].count() == 2
     assert sets["b"].columns == ["y1", "y2", "TRACK_ID"] and sets["b"].collect()[0]["y2"] == 2.0
+
+
+def test_write_single_file(spark, tmp_dir):
+    import glob
+
+    df = spark.range(100).repartition(5).selectExpr("CAST(id AS STRING) AS id")
+    path = write_delimited(df, f"{tmp_dir}/one", single_file=True)
+    assert len(glob.glob(f"{path}/part-*")) == 1
+    assert read_delimited(spark, path, "id string").count() == 100
