@@ -143,7 +143,7 @@ class SuffixTree:
         np.add.at(root, symbol[state == 0], counts[state == 0])
         self.root = np.log10(root / (total + 256))
         self.dense[0] = root / (total + 256)
-        tails = np.r_[heads[1:], len(keys)]
+        tails = np.r_[heads[1:], len(keys)][: len(heads)]
         for a, b in zip(heads.tolist(), tails.tolist(), strict=True):
             ctx = int(state[a])
             if ctx == 0:

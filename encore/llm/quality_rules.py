@@ -146,11 +146,16 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", max_lost: fl
     cleaned = F.when(F.size("kept_lines") == F.size("lines"), F.col("text")).otherwise(F.array_join("kept_lines", "\n"))
     rule = [F.expr(f"size(filter(failures, f -> f = '{r}'))").cast("long").alias(f"n_{r}_lines") for r in
             ("punctuation", "navigation", "boilerplate")]
-    return df.select(
+    at = fresh(docs, "_at")
+    out = df.select(
         F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *rule,
         "lost_share", cleaned.alias("clean_text"), "base_failed",
         (~F.col("base_failed") & (F.col("lost_share") <= F.lit(max_lost))).alias("kept"),
+        F.monotonically_increasing_id().alias(at),
     )
+    # A caller's filter is not pushed below a column that is not deterministic; pushed down,
+    # it would hold a copy of every expression above for each place that uses it.
+    return out.where(F.col(at) >= 0).drop(at)
 
 
 def clean(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
@@ -158,10 +163,7 @@ def clean(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> Da
     text (``n_chars``, where there is one, follows the text). No shuffle, no join."""
     row = fresh(docs, "_row")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col(f"`{text}`").alias("text"))
-    judged = judge(packed, row, "text", max_lost).withColumn("at", F.monotonically_increasing_id())
-    # A filter is not pushed below a column that is not deterministic; pushed down, it would
-    # hold a copy of every expression above for each place that uses it.
-    out = judged.where(F.col("kept") & (F.col("at") >= 0))
+    out = judge(packed, row, "text", max_lost).where(F.col("kept"))
     cols = []
     for c, kind in docs.dtypes:
         if c == text:
