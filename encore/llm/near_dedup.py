@@ -29,12 +29,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import checkpointed, map_slices, text_bytes
 from encore.llm.components import components
-from encore.llm.shingles import mix, shingles
+from encore.llm.shingles import shingles
+from encore.operators.joins import broadcast_if_small
 from encore.session import scratch_path
 
 #: Links need 100 * intersection >= LINK_PCT * union.
@@ -70,14 +71,10 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each band of a sketch."""
-    rows = registers.reshape(BANDS, ROWS).astype(np.uint64)
-    h = np.arange(BANDS, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(ROWS):
-            h = mix(h * np.uint64(65537) + rows[:, i] + np.uint64(1))
-    return h.view(np.int64)
+def band_keys(registers: Column) -> Column:
+    """One 64-bit key for each band of a sketch column (16-bit registers as bytes)."""
+    size = 2 * ROWS
+    return F.array(*[F.xxhash64(F.substring(registers, 1 + size * i, size), F.lit(i)) for i in range(BANDS)])
 
 
 def likely_similarity(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -102,12 +99,12 @@ def likely_similarity(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray,
     return (low + high) / 2
 
 
-_SKETCHES = "doc_id bigint, n_shingles bigint, content binary, registers binary, bands array<bigint>"
+_SKETCHES = "doc_id bigint, n_shingles bigint, content binary, registers binary"
 
 
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Set size, fingerprint of the whole set, registers and band keys of every document
-    (no fingerprint, registers or keys for empty sets). Map-only."""
+    """Set size, fingerprint of the whole set and registers of every document (neither
+    fingerprint nor registers for empty sets). Map-only."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -117,10 +114,10 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 if len(values):
                     registers = sketch(values)
                     content = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
-                    rows.append((len(values), content, registers.tobytes(), band_keys(registers)))
+                    rows.append((len(values), content, registers.tobytes()))
                 else:
-                    rows.append((0, None, None, None))
-            types = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+                    rows.append((0, None, None))
+            types = [pa.int64(), pa.binary(), pa.binary()]
             made = [pa.array([r[k] for r in rows], type=t) for k, t in enumerate(types)]
             return pa.RecordBatch.from_arrays([batch.column(0), *made], [c.split()[0] for c in _SKETCHES.split(", ")])
 
@@ -145,6 +142,8 @@ def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return map_slices(source, make, "doc_id bigint, values binary")
 
 
+#: Ids (8 bytes each) that may be sent to every task.
+BROADCAST_IDS = 1_000_000
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 2048
 
@@ -301,12 +300,13 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         "representatives",
     )
     # Buckets with several documents, each with its leader: the least by a hash of the id.
-    rows = reps.select(F.explode("bands").alias("key"), "doc_id")
+    rows = reps.select(F.explode(band_keys(F.col("registers"))).alias("key"), "doc_id")
     leader = F.min(F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("lead")))
     shared = rows.groupBy("key").agg(leader.alias("l"), F.count(F.lit(1)).alias("members")).where("members > 1")
     members = _stored(rows.join(checkpointed(shared), "key"), "members")
 
-    needed = members.select("doc_id").distinct()
+    # The ids go to every task where they are few; elsewhere the texts are shuffled to them.
+    needed = broadcast_if_small(checkpointed(members.select("doc_id").distinct()), BROADCAST_IDS)
     source = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     sets = _stored(shingle_sets(source.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])), "sets")
 
