@@ -63,13 +63,20 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = (), dtype: str = "do
     return [name for name, t in df.dtypes if t == dtype and name not in skip]
 
 
-def hash_bucket(keys: Sequence[str | Column], salt: str = "", buckets: int = 100) -> Column:
+#: Values of the first seven hexadecimal digits of an md5: the finest buckets.
+HASH_RANGE = 1 << 28
+#: Stands for a null key, which no text value equals in practice.
+NULL_KEY = "\u0000null"
+
+
+def hash_bucket(keys: Sequence[str | Column], salt: str = "", buckets: int = HASH_RANGE) -> Column:
     """Stable bucket in [0, buckets) from the md5 of the key columns.
 
     Independent of partitioning and of the engine: the same value comes out of
-    ``conv(substr(md5(k), 1, 7), 16, 10) % buckets`` in any SQL engine.
+    ``conv(substr(md5(k), 1, 7), 16, 10) % buckets`` in any SQL engine. A null
+    key has a bucket of its own.
     """
-    parts = [col_of(k).cast("string") for k in keys]
+    parts = [F.coalesce(col_of(k).cast("string"), F.lit(NULL_KEY)) for k in keys]
     if salt:
         parts = [F.lit(salt)] + parts
     key = parts[0] if len(parts) == 1 else F.concat_ws(":", *parts)

@@ -88,8 +88,9 @@ def split_hot_keys(
     join runs on ``(key, salt)``, so no task receives more than about
     ``rows_per_task`` rows of one key. Every other key has salt 0 on both
     sides. Since a hot key of ``right`` carries every salt, the result is the
-    plain join whatever salt a row drew (the salt comes from ``rand`` and also
-    spreads exact duplicates). One shuffle of ``df``, like the plain join.
+    plain join whatever salt a row has. The salt is a hash of the whole row, so
+    a repeated task sends each row to the same place again. One shuffle of
+    ``df``, like the plain join.
 
     Needed where ``right`` is an aggregate already partitioned by the key:
     then no exchange sits under that side and adaptive execution cannot split
@@ -100,7 +101,8 @@ def split_hot_keys(
     keys = _keys(key)
     fan = F.ceil(F.col("_n") / F.lit(float(rows_per_task))).cast("int")
     tag = F.broadcast(hot.select(*keys, fan.alias("_fan")))
-    salt = F.when(F.col("_fan").isNull(), F.lit(0)).otherwise(F.floor(F.rand(seed) * F.col("_fan")).cast("int"))
+    row = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns])
+    salt = F.when(F.col("_fan").isNull(), F.lit(0)).otherwise(F.pmod(row, F.col("_fan")).cast("int"))
     left = df.join(tag, on=keys, how="left").withColumn("_salt", salt)
     salts = F.when(F.col("_fan").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_fan") - 1))
     right_salted = right.select(*keys).join(tag, on=keys, how="left").select(*keys, F.explode(salts).alias("_salt"))
@@ -113,7 +115,7 @@ def blocklist(errors: DataFrame, accepted: DataFrame, key: str | Sequence[str] =
     Only the key matters: other columns such as the track id are ignored.
     """
     keys = _keys(key)
-    return errors.join(accepted.select(*keys), on=keys, how="left_anti").select(*errors.columns)
+    return errors.join(accepted.select(*keys).distinct(), on=keys, how="left_anti").select(*errors.columns)
 
 
 def exclude(
@@ -155,4 +157,4 @@ def attach_labels(features: DataFrame, labels: DataFrame, key: str | Sequence[st
 def cold_start(test: DataFrame, train: DataFrame, key: str | Sequence[str] = "user_id") -> DataFrame:
     """Test rows whose key never occurs in the training rows."""
     keys = _keys(key)
-    return test.join(train.select(*keys), on=keys, how="left_anti").select(*test.columns)
+    return test.join(train.select(*keys).distinct(), on=keys, how="left_anti").select(*test.columns)

@@ -196,7 +196,9 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = []
     for i, (a, b) in enumerate(pairs):
         x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        aggs.append(F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)).alias(f"r{i}"))
+        # Both deviations over the rows where both values are present, as the covariance.
+        sx, sy = F.stddev_samp(F.when(y.isNotNull(), x)), F.stddev_samp(F.when(x.isNotNull(), y))
+        aggs.append(F.try_divide(F.covar_samp(x, y), sx * sy).alias(f"r{i}"))
     wide = df.agg(*aggs)
     structs = [F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(f"r{i}").alias("r"))
                for i, (a, b) in enumerate(pairs)]

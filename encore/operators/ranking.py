@@ -56,24 +56,25 @@ def top_n(
         F.col(score).alias("_s"),
         (F.coalesce(F.sum("_c").over(better), F.lit(0)) + 1).cast("int").alias(rank_col),
     )
-    cond = (df[group] == ranks["_g"]) & df[score].eqNullSafe(ranks["_s"])
+    cond = df[group].eqNullSafe(ranks["_g"]) & df[score].eqNullSafe(ranks["_s"])
     return df.join(ranks, cond, "inner").drop("_g", "_s")
 
 
 def ranked_lists(
     df: DataFrame, group: str, item: str, score: str, n: int, tie_break: Sequence[str] | None = None,
-    out: str = "items", ascending: bool = False,
+    out: str = "items", ascending: bool = False, ties: str = "break",
 ) -> DataFrame:
     """``(group, out)``: the first ``n`` items per group as an array, best first.
 
-    Ties are broken by ``tie_break`` (default: the item), so every list is at
-    most ``n`` long and its order is explicit rather than inherited from a
-    window's sort.
+    With ``ties='break'`` ties are broken by ``tie_break`` (default: the item),
+    so every list is at most ``n`` long; ``ties='keep'`` also lists the items
+    tied with the last one. The order is explicit (rank, then ``tie_break``)
+    rather than inherited from a window's sort.
     """
     tb = list(tie_break) if tie_break is not None else [item]
-    top = top_n(df, group, score, n, ties="break", tie_break=tb, ascending=ascending, rank_col="_pos")
-    collected = top.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("_pos", item))).alias("_l"))
-    return collected.select(group, F.transform("_l", lambda x: x[item]).alias(out))
+    top = top_n(df, group, score, n, ties=ties, tie_break=tb, ascending=ascending, rank_col="_pos")
+    collected = top.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("_pos", *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tb)], F.col(item).alias("_item")))).alias("_l"))
+    return collected.select(group, F.transform("_l", lambda x: x["_item"]).alias(out))
 
 
 def ranking_metrics(

@@ -13,9 +13,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.functions.columns import hash_bucket
+from encore.functions.columns import HASH_RANGE, hash_bucket
 
-BUCKETS = 100
+#: The whole hash decides, so that shares resolve to one in 2^28.
+BUCKETS = HASH_RANGE
 
 
 def _bounds(weights: Sequence[float], buckets: int) -> list[tuple[int, int]]:
@@ -65,7 +66,7 @@ def stratified_sample(
     limit = None
     for value, frac in fractions.items():
         cond = F.col(label) == F.lit(value)
-        cut = F.lit(float(frac) * buckets)
+        cut = F.lit(round(float(frac) * buckets))
         limit = F.when(cond, cut) if limit is None else limit.when(cond, cut)
-    limit = limit.otherwise(F.lit(0.0)) if limit is not None else F.lit(0.0)
-    return df.where(bucket.cast("double") < limit)
+    limit = limit.otherwise(F.lit(0)) if limit is not None else F.lit(0)
+    return df.where(bucket < limit)

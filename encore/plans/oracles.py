@@ -9,6 +9,9 @@ on summation order are rounded on both sides.
 
 from __future__ import annotations
 
+from encore.functions.columns import HASH_RANGE
+from encore.plans.roles import N_FEATURES
+
 # Shared fragments --------------------------------------------------------
 
 INTERACTIONS = """
@@ -100,8 +103,8 @@ PARSED_FIELDS = f"""{SO} AS song_id, p_brand AS song_artist, p_name AS song_titl
     {TR} AS track_id, p_type AS track_artist, {TITLE2} AS track_title"""
 BROKEN_LINE = f"'<' || {SO} || ' ' || {TR} || '> ' || p_brand || '  -  ' || p_name || ' != ' || p_type || '  -  ' || {TITLE2}"
 
-FEATURE_COLS = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(10))
-RAW_COLS = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS _c{i}" for i in range(10))
+FEATURE_COLS = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(N_FEATURES))
+RAW_COLS = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS _c{i}" for i in range(N_FEATURES))
 QUOTED_ID = "'''TR' || lpad(CAST(vec_id AS VARCHAR), 16, '0') || ''''"
 TABLE_NAMES = ("region nation customer supplier part orders lineitem events documents embeddings "
                "pages benchmark labels conversations").split()
@@ -113,8 +116,13 @@ FEATURES_LABELS = f"""
 BINARY = f"SELECT *, CASE WHEN genre = 'es' THEN 1 ELSE 0 END AS label FROM ({FEATURES_LABELS})"
 
 
+def share(fraction: float) -> int:
+    """The part of the hash range below which a share of the rows falls."""
+    return round(fraction * HASH_RANGE)
+
+
 def bucket(key_sql: str) -> str:
-    return f"(CAST('0x' || substr(md5({key_sql}), 1, 7) AS BIGINT) % 100)"
+    return f"(CAST('0x' || substr(md5({key_sql}), 1, 7) AS BIGINT))"
 
 
 ORACLES.update({
@@ -171,7 +179,7 @@ CORR = " UNION ALL ".join(
 )
 
 ORACLES.update({
-    "profile_features": _profile_sql(f"SELECT {FEATURE_COLS} FROM embeddings", [f"f{i}" for i in range(10)]),
+    "profile_features": _profile_sql(f"SELECT {FEATURE_COLS} FROM embeddings", [f"f{i}" for i in range(N_FEATURES)]),
     "profile_activity": _profile_sql(USER_ACTIVITY, ["song_count", "play_count"]) + " UNION ALL " + _profile_sql(
         f"SELECT song_id, COUNT(user_id) AS user_count, CAST(SUM(plays) AS BIGINT) AS sum_play_count "
         f"FROM ({WITHOUT_BLOCKED}) GROUP BY song_id", ["user_count", "sum_play_count"]),
@@ -198,8 +206,8 @@ KEYED_CLEAN = f"""
     WHERE w.user_id IN (SELECT user_id FROM ({USER_ACTIVITY}) WHERE song_count > {MIN_ITEMS})
       AND w.song_id IN (SELECT song_id FROM ({ITEM_ACTIVITY}) WHERE play_count > {MIN_PLAYS})
 """
-TRAIN = f"SELECT * FROM ({KEYED_CLEAN}) WHERE {bucket('row_key')} < 70"
-TEST = f"SELECT * FROM ({KEYED_CLEAN}) WHERE {bucket('row_key')} >= 70"
+TRAIN = f"SELECT * FROM ({KEYED_CLEAN}) WHERE {bucket('row_key')} < {share(0.7)}"
+TEST = f"SELECT * FROM ({KEYED_CLEAN}) WHERE {bucket('row_key')} >= {share(0.7)}"
 
 
 def _index_sql(source: str, col: str) -> str:
@@ -212,13 +220,13 @@ def _index_sql(source: str, col: str) -> str:
 
 ORACLES.update({
     "hash_split": f"""
-        SELECT *, CASE WHEN {bucket('row_key')} < 70 THEN 'train' ELSE 'test' END AS split
+        SELECT *, CASE WHEN {bucket('row_key')} < {share(0.7)} THEN 'train' ELSE 'test' END AS split
         FROM ({KEYED_WITHOUT_BLOCKED})
     """,
     "stratified_sample": f"""
         SELECT track_id, genre, label FROM ({BINARY})
-        WHERE {bucket('CAST(track_id AS VARCHAR)')} < 80
-          AND {bucket("'sample:' || CAST(track_id AS VARCHAR)")} < CASE WHEN label = 0 THEN 10 WHEN label = 1 THEN 100 ELSE 0 END
+        WHERE {bucket('CAST(track_id AS VARCHAR)')} < {share(0.8)}
+          AND {bucket("'sample:' || CAST(track_id AS VARCHAR)")} < CASE WHEN label = 0 THEN {share(0.1)} WHEN label = 1 THEN {share(1.0)} ELSE 0 END
     """,
     "cold_start_users": f"SELECT t.* FROM ({TEST}) t WHERE NOT EXISTS (SELECT 1 FROM ({TRAIN}) r WHERE r.user_id = t.user_id)",
     "cold_start_items": f"SELECT t.* FROM ({TEST}) t WHERE NOT EXISTS (SELECT 1 FROM ({TRAIN}) r WHERE r.song_id = t.song_id)",
@@ -358,6 +366,6 @@ ORACLES.update({
 
 ORACLES.update({
     "assemble_scale": "SELECT track_id, " + ", ".join(
-        f"ROUND(f{i} / STDDEV_SAMP(f{i}) OVER (), 9) AS s{i}" for i in range(10)
+        f"ROUND(f{i} / STDDEV_SAMP(f{i}) OVER (), 9) AS s{i}" for i in range(N_FEATURES)
     ) + f" FROM (SELECT {FEATURE_COLS}, vec_id AS track_id FROM embeddings)",
 })

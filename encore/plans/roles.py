@@ -11,7 +11,7 @@ every query still scans the given Parquet tables and grows with them.
 | error / accepted records    | part with p_type PROMO / and p_size <= 10                         |
 | correction log lines        | text composed from every part row; p_size 50 (errors) and 1       |
 |                             | (accepted) lines lose their side delimiter                        |
-| feature set                 | embeddings: elements 1..10 as doubles f0..f9, id vec_id           |
+| feature set                 | embeddings: all 64 elements as doubles f0..f63, id vec_id         |
 | labels                      | documents: doc_id as track id, lang as genre                      |
 | scored pairs (ranking)      | interactions grouped by pair: max price = prediction, plays sum   |
 | fixed binary scores         | lineitem: returnflag R as label, quantity > 25 as prediction      |
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from encore.sources.logs import ACCEPTED_PREFIX, ERROR_PREFIX, SIDE_DELIMITER, compose_log_line
 
 # Fixed values of the role mapping.
-N_FEATURES = 10
+N_FEATURES = 64  # all values of an embedding
 MIN_ITEMS_PER_USER = 30
 MIN_PLAYS_PER_ITEM = 650
 TOP_N = 10
@@ -120,7 +120,7 @@ def accepted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``f0 .. f9`` doubles and ``track_id`` (last, as in the feature files)."""
+    """``f0 .. f63`` doubles and ``track_id`` (last, as in the feature files)."""
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return emb.select(
         *[F.get(F.col("embedding"), i).cast("double").alias(f"f{i}") for i in range(N_FEATURES)],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,17 +29,22 @@ class UnknownAttributeType(KeyError):
 
 
 def read_attributes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Attribute rows ``(position, name, type)`` in file order.
+    """Attribute rows ``(position, name, type)`` in the order of the paths, of the file
+    names below a path, and of the lines of a file.
 
-    ``monotonically_increasing_id`` follows partition and record order, so
-    sorting by it restores the line order across files.
+    Spark packs larger files first, so ``monotonically_increasing_id`` alone
+    orders only the lines of one file; ``position`` holds path and file before it.
     """
-    rows = read_delimited(spark, path, schema=ATTRIBUTE_SCHEMA, sep=",")
-    return rows.select(
-        F.monotonically_increasing_id().alias("position"),
-        F.trim("name").alias("name"),
-        F.trim("type").alias("type"),
-    )
+    parts = []
+    for i, one in enumerate([path] if isinstance(path, str) else path):
+        rows = read_delimited(spark, one, schema=ATTRIBUTE_SCHEMA, sep=",")
+        position = F.struct(
+            F.lit(i).alias("path"),
+            F.col("_metadata.file_path").alias("file"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+        parts.append(rows.select(position.alias("position"), F.trim("name").alias("name"), F.trim("type").alias("type")))
+    return reduce(DataFrame.union, parts)
 
 
 def schema_from_attributes(

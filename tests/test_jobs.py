@@ -24,7 +24,7 @@ def files(spark, tmp_path_factory):
     write_delimited(inter, f"{root}/triplets", sep="\t", compression="gzip")
     feats = roles.features(spark, SF_SMALL)
     quoted = F.concat(F.lit("'TR"), F.lpad(F.col("track_id").cast("string"), 16, "0"), F.lit("'"))
-    feats.select(*[F.col(f"f{i}").cast("string") for i in range(10)], quoted).write.csv(f"{root}/features")
+    feats.select(*[F.col(f"f{i}").cast("string") for i in range(roles.N_FEATURES)], quoted).write.csv(f"{root}/features")
     genres = roles.genre_labels(spark, SF_SMALL).select(
         F.concat(F.lit("TR"), F.lpad(F.col("track_id").cast("string"), 16, "0")), "genre")
     write_delimited(genres, f"{root}/genres", sep="\t")

@@ -43,7 +43,7 @@ def test_pushed_filter_reaches_parquet(spark):
 
 def test_profile_and_correlation_are_single_aggregates(spark):
     df = roles.features(spark, SF_SMALL)
-    cols = [f"f{i}" for i in range(10)]
+    cols = [f"f{i}" for i in range(roles.N_FEATURES)]
     for out in (profile.profile(df, cols), profile.correlation(df, cols)):
         plan = _plan(out)
         assert len(re.findall(r"HashAggregate|ObjectHashAggregate|SortAggregate", plan)) <= 2, plan

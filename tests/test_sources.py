@@ -155,3 +155,13 @@ def test_write_single_file(spark, tmp_dir):
     path = write_delimited(df, f"{tmp_dir}/one", single_file=True)
     assert len(glob.glob(f"{path}/part-*")) == 1
     assert read_delimited(spark, path, "id string").count() == 100
+
+
+def test_attribute_order_over_files_of_different_sizes(spark, tmp_path):
+    from encore.sources.attributes import read_attributes, schema_from_attributes
+
+    (tmp_path / "a.csv").write_text("x1,REAL\n")
+    (tmp_path / "b.csv").write_text("".join(f"y{i},REAL\n" for i in range(50)))
+    rows = read_attributes(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    names = [r["name"] for r in rows.orderBy("position").collect()]
+    assert names == ["x1", *[f"y{i}" for i in range(50)]]

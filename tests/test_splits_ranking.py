@@ -129,3 +129,18 @@ def test_ranking_metrics_match_spark_evaluator(spark):
         ev = RankingEvaluator(metricName=metric, k=k, predictionCol="prediction", labelCol="label")
         assert ours[col] == pytest.approx(ev.evaluate(frame), abs=1e-12)
     assert not math.isnan(ours["ndcg_at_2"])
+
+
+def test_small_shares_null_keys_and_null_groups(spark):
+    from encore.operators import ranking, sampling
+
+    df = spark.range(100_000).selectExpr("id", "0 as label")
+    assert 60 <= sampling.stratified_sample(df, "label", {0: 0.001}, ["id"]).count() <= 140
+    parts = sampling.hash_split(df, ["id"], [0.998, 0.002])
+    assert sum(p.count() for p in parts) == 100_000 and 120 <= parts[1].count() <= 280
+    keyed = spark.createDataFrame([(None,), ("a",), ("b",)], "k string")
+    assert sum(p.count() for p in sampling.hash_split(keyed, ["k"], [0.5, 0.5])) == 3
+    rows = spark.createDataFrame([(None, "x", 1.0), ("g", "y", 1.0), ("g", "z", 1.0)], "g string, i string, s double")
+    assert ranking.top_n(rows, "g", "s", 1).count() == 3
+    lists = {r["g"]: r["items"] for r in ranking.ranked_lists(rows, "g", "i", "s", 1, ties="keep").collect()}
+    assert lists == {None: ["x"], "g": ["y", "z"]}

@@ -94,3 +94,11 @@ def test_class_balance_order(spark):
     df = spark.createDataFrame([(0, "x")] * 3 + [(1, "y")] * 5 + [(0, "y")], "label int, genre string")
     out = [tuple(r) for r in profile.class_balance(df, "label").collect()]
     assert out == [(1, 5), (0, 4)]
+
+
+def test_correlation_with_nulls_uses_complete_pairs(spark):
+    rows = [(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (100.0, None), (None, -50.0)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    from encore.operators.profile import correlation
+
+    assert abs(correlation(df, ["x", "y"]).first()["r"] - 1.0) < 1e-12
