@@ -18,11 +18,13 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,7 +36,7 @@ from encore.session import scratch_path
 
 SHARD_TOKENS = 1 << 20
 END_ID = 0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 _MAGIC = b"WVM1"
 _BLOCK = 64  # bytes of a plane between two rank samples
 
@@ -187,15 +189,39 @@ class WordEncoder:
     """
 
     _CUT = re.compile(r"(?<=\S) (?=\S)")
+    # Fixed value: the pre-tokenizer's pattern.
+    _PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # Bytes that print stand for themselves, the others for code points from 256 on.
+        prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in prints]
+        self.spelled = {b: b for b in prints} | {b: 256 + k for k, b in enumerate(others)}
 
     def _learn(self, known: dict[str, bytes], parts: list[str], space: str) -> None:
-        encoded = self.library.encode_batch_fast([space + p for p in parts], add_special_tokens=False)
-        known.update(zip(parts, [np.array(e.ids, dtype="<u4").tobytes() for e in encoded], strict=True))
+        """Encodes new pieces from their pre-tokens: the byte-level pattern cuts a piece, and
+        the library's model encodes each run that was not seen yet, spelled as its vocabulary
+        spells bytes. (The library's whole pipeline takes twice the time for the same ids.)"""
+        runs, cut = self.runs, self._PATTERN.findall
+        split = [[space + p] if "<|" in p else cut(space + p) for p in parts]
+        if len(runs) > CACHE_WORDS:
+            self.older, self.runs = runs, {}
+            runs = self.runs
+        tokenize, spelled, older = self.library.model.tokenize, self.spelled, self.older
+        for run in {r for ps in split for r in ps if r not in runs}:
+            if (ids := older.get(run)) is None:
+                if "<|" in run:  # may hold a special token
+                    found = self.library.encode(run, add_special_tokens=False).ids
+                else:
+                    found = [t.id for t in tokenize(run.encode().decode("latin-1").translate(spelled))]
+                ids = array("I", found).tobytes()
+            runs[run] = ids
+        known.update(zip(parts, [b"".join([runs[r] for r in ps]) for ps in split], strict=True))
 
     def _cut(self, text: str) -> list[str]:
         parts = text.split(" ")
