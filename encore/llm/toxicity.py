@@ -58,7 +58,7 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 def _buckets(h: np.ndarray, kind: int, bits: int) -> np.ndarray:
     h = (h + np.uint64(kind)) * _MUL
     h ^= h >> np.uint64(29)
-    return ((h * _MUL) >> np.uint64(64 - bits)).astype(np.int64)
+    return ((h * _MUL) >> np.uint64(64 - bits)).astype(np.int32)
 
 
 def ngrams(vocabulary: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -66,12 +66,12 @@ def ngrams(vocabulary: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.nd
     marked = [b"<" + w + b">" for w in vocabulary]
     data = np.frombuffer(b"".join(marked), dtype=np.uint8).astype(np.uint64)
     sizes = np.array([len(w) for w in marked], dtype=np.int64)
-    owner = np.repeat(np.arange(len(marked)), sizes)
+    owner = np.repeat(np.arange(len(marked), dtype=np.int32), sizes)
     place = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     with np.errstate(over="ignore"):
         powers = np.cumprod(np.full(int(sizes.max(initial=1)), _MUL, dtype=np.uint64))
         whole = np.add.reduceat(data * powers[place], np.cumsum(sizes) - sizes) if len(marked) else data
-        who, what = [np.arange(len(marked))], [_buckets(whole, 1, bits)]
+        who, what = [np.arange(len(marked), dtype=np.int32)], [_buckets(whole, 1, bits)]
         for n in SIZES:
             if len(data) < n:
                 continue
@@ -145,8 +145,7 @@ def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 def _associated(docs: list[np.ndarray], toxic: np.ndarray, who: np.ndarray, what: np.ndarray) -> np.ndarray:
     """Which n-grams occur in toxic and clean documents at significantly different rates."""
-    order = np.argsort(who, kind="stable")
-    what, first = what[order], np.concatenate([[0], np.cumsum(np.bincount(who))])
+    what, first = what[np.argsort(who, kind="stable")], np.concatenate([[0], np.cumsum(np.bincount(who))])
     found = np.zeros((2, 1 << BITS))
     for words_of_doc, y in zip(docs, toxic, strict=True):
         spans = first[words_of_doc + 1] - first[words_of_doc]
