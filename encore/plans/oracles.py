@@ -140,8 +140,8 @@ ORACLES.update({
     """,
     "schema_from_attributes": f"SELECT {FEATURE_COLS}, CAST(vec_id AS VARCHAR) AS TRACK_ID FROM embeddings",
     "attribute_types": """
-        SELECT type, CAST(n AS BIGINT) AS n_attributes
-        FROM (VALUES ('NUMERIC', 5), ('real', 5), ('string', 1)) t(type, n)
+        SELECT CASE WHEN i < 0 THEN 'string' WHEN i % 2 = 0 THEN 'NUMERIC' ELSE 'real' END AS type, COUNT(*) AS n_attributes
+        FROM (SELECT UNNEST(range(-1, MAX(len(embedding)))) AS i FROM embeddings) GROUP BY 1
     """,
     "log_line_counts": """
         SELECT 'errors' AS log, COUNT(*) AS n_lines FROM part
