@@ -114,37 +114,49 @@ def base_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def _line_failure(line: Column) -> Column:
+def _line_failure(line: Column, doc: Column) -> Column:
     """Name of the first rule that a line fails, or null. What the whole document lacks
     (``n_symbols``, ``n_separators``, ``n_shouts``, ``has_stock``) is not looked for in its lines."""
     bare = F.trim(line)
     shouts = _count(bare, "!")
     symbols = _count(bare, SYMBOLS) > MAX_LINE_SYMBOLS * F.length(bare)
     return (
-        F.when((F.col("n_separators") >= MIN_SEPARATORS) & (_count(bare, SEPARATORS) >= MIN_SEPARATORS), "navigation")
+        F.when((doc["n_separators"] >= MIN_SEPARATORS) & (_count(bare, SEPARATORS) >= MIN_SEPARATORS), "navigation")
         .when((F.length(bare) <= 12) & bare.rlike(MENU), "navigation")
         .when(~bare.rlike(LINE_END), "punctuation")
-        .when((F.col("n_symbols") > 0) & symbols, "punctuation")
-        .when((F.col("n_shouts") > 2) & (shouts > 2) & (shouts > MAX_SHOUTS * F.length(bare)), "punctuation")
-        .when(F.col("has_stock") & _has(F.lower(bare), BOILERPLATE), "boilerplate")
+        .when((doc["n_symbols"] > 0) & symbols, "punctuation")
+        .when((doc["n_shouts"] > 2) & (shouts > 2) & (shouts > MAX_SHOUTS * F.length(bare)), "punctuation")
+        .when(doc["has_stock"] & _has(F.lower(bare), BOILERPLATE), "boilerplate")
     )
 
 
+def _judged_lines() -> Column:
+    """``(line, rule)`` of every line. The document's values enter through the one element of
+    an array: named as columns inside the lambda, the optimizer may put their expressions
+    there, and whole texts would be searched once for each line."""
+    names = ("lines", "n_separators", "n_symbols", "n_shouts", "has_stock")
+    per_doc = F.transform(
+        F.array(F.struct(*names)),
+        lambda doc: F.transform(doc["lines"], lambda l: F.struct(l.alias("line"), _line_failure(l, doc).alias("rule"))),
+    )
+    return F.get(per_doc, F.lit(0))
+
+
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
     """One row per document: ``key``, the base counts, lines removed by rule, lost text
     share, cleaned text, ``base_failed`` and ``kept``."""
     df = base_statistics(docs, key, text)
     df = df.withColumn("n_separators", _count(F.col("text"), SEPARATORS)).withColumn("n_shouts", _count(F.col("text"), "!"))
     df = df.withColumn("has_stock", _has(F.lower("text"), BOILERPLATE))
-    df = df.withColumn("failures", F.transform("lines", _line_failure))
-    df = df.withColumn("kept_lines", F.expr("filter(lines, (l, k) -> failures[k] is null)"))
+    df = df.withColumn("judged", _judged_lines())
+    df = df.withColumn("kept_lines", F.expr("transform(filter(judged, j -> j.rule is null), j -> j.line)"))
     chars = "aggregate({}, 0L, (a, l) -> a + length(l))"
     df = df.withColumn("line_chars", F.expr(chars.format("lines"))).withColumn("left_chars", F.expr(chars.format("kept_lines")))
     lost = F.when(F.col("line_chars") > 0, 1 - F.col("left_chars") / F.col("line_chars")).otherwise(F.lit(1.0))
     df = df.withColumn("lost_share", lost)
     # A text that loses no line stays as it is, blank lines included.
     cleaned = F.when(F.size("kept_lines") == F.size("lines"), F.col("text")).otherwise(F.array_join("kept_lines", "\n"))
-    rule = [F.expr(f"size(filter(failures, f -> f = '{r}'))").cast("long").alias(f"n_{r}_lines") for r in
+    rule = [F.expr(f"size(filter(judged, j -> j.rule = '{r}'))").cast("long").alias(f"n_{r}_lines") for r in
             ("punctuation", "navigation", "boilerplate")]
     at = fresh(docs, "_at")
     out = df.select(
