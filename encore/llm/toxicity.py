@@ -19,7 +19,7 @@ The model is fitted on a bounded sample of labelled documents: ``MAX_TOXIC`` and
 reads all words of all documents.
 
 Defined results: a null or blank text has no windows and gets the score of an empty
-window; a null label teaches nothing; with fewer than two classes in training every score
+window; a null label teaches nothing; with fewer than two classes, or no word, in training every score
 is the share of label 1 (0.5 without labels); repeated rows are scored each for itself; an
 empty table gives an empty result.
 """
@@ -49,6 +49,8 @@ DECAY = 0.002
 STEPS = 50
 #: Windows of a class in a training round, besides those that stand out.
 ROUND_WINDOWS = 25_000
+#: Words of the training vocabulary whose n-grams are listed at a time.
+SLICE_WORDS = 20_000
 #: Word logits kept per worker process.
 CACHE_WORDS = 500_000
 
@@ -139,15 +141,28 @@ class _Adam:
             p -= rate * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.99**self.t)) + 1e-8)
 
 
-def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    return np.stack([np.bincount(at, rows[:, k], n) for k in range(rows.shape[1])], 1)
+def _sums(at: np.ndarray, rows: np.ndarray, picks: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``rows[picks]`` by ``at``; column by column, so that the picked rows are never whole."""
+    return np.stack([np.bincount(at, rows[:, k][picks], n) for k in range(rows.shape[1])], 1)
 
 
-def _associated(docs: list[np.ndarray], toxic: np.ndarray, who: np.ndarray, what: np.ndarray) -> np.ndarray:
+def _grams_by_word(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram buckets of all words, word after word, and the number of each word's.
+    Built in slices of the vocabulary: what lies in between is several times larger."""
+    what, sizes = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
+    for at in range(0, len(vocabulary), SLICE_WORDS):
+        who, buckets = ngrams(vocabulary[at : at + SLICE_WORDS])
+        what.append(buckets[np.argsort(who, kind="stable")])
+        sizes.append(np.bincount(who))
+    return np.concatenate(what), np.concatenate(sizes)
+
+
+def _associated(docs: list[np.ndarray], toxic: np.ndarray, what: np.ndarray, grams: np.ndarray) -> np.ndarray:
     """Which n-grams occur in toxic and clean documents at significantly different rates."""
-    what, first = what[np.argsort(who, kind="stable")], np.concatenate([[0], np.cumsum(np.bincount(who))])
+    first = np.concatenate([[0], np.cumsum(grams)])
     found = np.zeros((2, 1 << BITS))
-    for words_of_doc, y in zip(docs, toxic, strict=True):
+    for ids, y in zip(docs, toxic, strict=True):
+        words_of_doc = np.unique(ids)
         spans = first[words_of_doc + 1] - first[words_of_doc]
         heads = np.cumsum(spans) - spans
         own = what[np.repeat(first[words_of_doc] - heads, spans) + np.arange(spans.sum())]
@@ -161,24 +176,24 @@ def _associated(docs: list[np.ndarray], toxic: np.ndarray, who: np.ndarray, what
 def train(texts: list[bytes], toxic: np.ndarray, seed: int = 11) -> Model:
     """Joint training on labelled texts (bounded by the caller)."""
     toxic = np.asarray(toxic).astype(int)
-    if not len(toxic) or toxic.min() == toxic.max():
+    index: dict[bytes, int] = {}
+    docs = [
+        np.fromiter((index.setdefault(w, len(index)) for w in words(t.translate(LOWER))), dtype=np.int32) for t in texts
+    ]
+    if not index or toxic.min() == toxic.max():
         share = float(toxic.mean()) if len(toxic) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(1 << BITS), 0.0, np.array([0, 0, 0, np.log(share / (1 - share))]))
     rng = np.random.default_rng(seed)
-    docs = [words(t.translate(LOWER)) for t in texts]
-    index = {w: i for i, w in enumerate(dict.fromkeys(w for d in docs for w in d))}
-    vocabulary = list(index)
-    who, what = ngrams(vocabulary)
-    grams = np.bincount(who, minlength=len(vocabulary))
-    keep = _associated([np.array([index[w] for w in set(d)], dtype=np.int64) for d in docs], toxic, who, what)
-    used = keep[what]
-    who, what = who[used], what[used]
-    tokens = np.array([index[w] for d in docs for w in d], dtype=np.int64)
+    what, grams = _grams_by_word(list(index))
+    del index
+    used = _associated(docs, toxic, what, grams)[what]
+    who, what = np.repeat(np.arange(len(grams), dtype=np.int32), grams)[used], what[used]
+    tokens = np.concatenate(docs)
     base = np.cumsum([0, *(len(d) for d in docs)])
     doc_of, start_of, end_of = [], [], []
     for k, d in enumerate(docs):
-        if d:
+        if len(d):
             at = windows(len(d))
             doc_of.append(np.full(len(at), k))
             start_of.append(base[k] + at)
@@ -220,7 +235,7 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 11) -> Model:
         heads = np.cumsum(sizes) - sizes
         seen = tokens[np.repeat(start_of[chosen] - heads, sizes) + np.arange(sizes.sum())]
         for _ in range(STEPS):
-            vectors = _sums(who, table[what], len(grams)) / grams[:, None]
+            vectors = _sums(who, table, what, len(grams)) / grams[:, None]
             bags = np.add.reduceat(vectors[seen], heads, axis=0) / sizes[:, None]
             logits = bags @ weights + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -229,8 +244,8 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 11) -> Model:
             p[:, 0] -= 1 - y
             g = p * weight[:, None]
             to_bag = (g @ weights.T) / sizes[:, None]
-            to_word = _sums(seen, to_bag[member], len(grams)) / grams[:, None]
-            to_table = _sums(what, to_word[who], len(kinds))
+            to_word = _sums(seen, to_bag, member, len(grams)) / grams[:, None]
+            to_table = _sums(what, to_word, who, len(kinds))
             table *= 1 - DECAY
             adam.step([table, weights, bias], [to_table, bags.T @ g, g.sum(axis=0)], 0.05)
     logits, gap = window_logits(), float(bias[1] - bias[0])
@@ -288,7 +303,9 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Callable[[], Column], la
     sample = docs.select(F.col(key), F.col("text")).join(F.broadcast(chosen[0].union(chosen[1])), key)
     rows = sample.select("text", "y", rank.alias("r")).collect()
     rows.sort(key=lambda r: (r["r"], r["text"] or ""))
-    return train([(r["text"] or "").encode() for r in rows], np.array([r["y"] for r in rows]))
+    texts, toxic = [(r["text"] or "").encode() for r in rows], np.array([r["y"] for r in rows])
+    del rows  # the training needs the room
+    return train(texts, toxic)
 
 
 def score_documents(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
