@@ -6,18 +6,22 @@ the class name and differs between processes.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from encore.session import default_parallelism
 
 # The seed and the model settings of the reference's jobs
 # (linear SVM maxIter 10 / regParam 0.1; ALS maxIter 5 / regParam 0.01 / rank 10).
 SEED = 1000
+FOLD = "_fold"
 
 
 def logistic(**params) -> LogisticRegression:
@@ -52,15 +56,20 @@ def tune(
     folds: int = 5,
     seed: int = SEED,
     parallelism: int | None = None,
+    keys: Sequence[str] | None = None,
 ) -> CrossValidatorModel:
     """k-fold cross-validation; the best parameters are refitted on all of ``train``.
 
     Each fit is itself a distributed job; ``parallelism`` (default: one grid
     point per available core, at most the grid size) runs several fits at once
-    so that small folds do not leave the cluster idle.
+    so that small folds do not leave the cluster idle. With ``keys`` a row's fold
+    is a hash of them, the same on any partitioning and after a repeated task;
+    without, Spark draws folds at random. ``train`` is kept for the many fits.
     """
     if parallelism is None:
         parallelism = max(1, min(len(param_grid), default_parallelism(train.sparkSession)))
+    if keys:
+        train = train.withColumn(FOLD, F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(folds)).cast("int"))
     cv = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=param_grid,
@@ -68,8 +77,13 @@ def tune(
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,
+        foldCol=FOLD if keys else "",
     )
-    return cv.fit(train)
+    train = train.persist()
+    try:
+        return cv.fit(train)
+    finally:
+        train.unpersist()
 
 
 def binary_evaluator(raw: str = "rawPrediction") -> BinaryClassificationEvaluator:

@@ -28,6 +28,8 @@ QUERIES: dict[str, Query] = {}
 # reference's jobs.
 TRAIN_TEST = [0.8, 0.2]
 HOLDOUT = [0.7, 0.3]
+# Coverage checks train on a thin part, so that some users and items are really cold.
+THIN_TRAIN = [0.05, 0.95]
 DOWNSAMPLE = {0: 0.1, 1: 1.0}
 PCA_K = 5
 LR_GRID = {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.1, 0.5]}
@@ -291,10 +293,24 @@ def quantiles_exact(spark, sf_dir):
 
 @query
 def quantiles_approx(spark, sf_dir):
-    checked = profile.approx_quantiles_checked(_measures(spark, sf_dir), rel_err=0.05)
-    return checked.select("measure", "prob", "within_bound")
-
-
+    """Each approximate quantile with the exact quantiles ``REL_ERR`` below and above it,
+    between which the sketch must stay."""
+    measures = _measures(spark, sf_dir)
+    approx = profile.approx_quantiles_checked(measures, rel_err=REL_ERR).select("measure", "prob", "value")
+    sides = [(p, round(max(p - REL_ERR, 0.0), 9), round(min(p + REL_ERR, 1.0), 9)) for p in profile.DEFAULT_PROBS]
+    exact = profile.exact_quantiles_stacked(measures, sorted({q for _, low, high in sides for q in (low, high)}))
+    # One row per measure and probability.
+    bounds = exact.groupBy("measure").agg(
+        *[F.max(F.when(F.col("prob") == q, F.col("value"))).alias(f"{side}{i}")
+          for i, (_, low, high) in enumerate(sides) for side, q in (("lower", low), ("upper", high))])
+    cells = [F.struct(F.lit(p).alias("prob"), F.col(f"lower{i}").alias("lower"), F.col(f"upper{i}").alias("upper"))
+             for i, (p, _, _) in enumerate(sides)]
+    bounds = bounds.select("measure", F.explode(F.array(*cells)).alias("b")).select("measure", "b.*")
+    return approx.join(bounds, ["measure", "prob"]).select(
+        "measure", "prob", "lower", "upper", F.col("value").between(F.col("lower"), F.col("upper")).alias("within_bound"))
+
+
+REL_ERR = 0.05
 CORR_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "qty2_tax"]
 
 
@@ -342,25 +358,36 @@ def stratified_sample(spark, sf_dir):
     return sample.select("track_id", "genre", "label")
 
 
+@query
+def split_class_counts(spark, sf_dir):
+    """Rows per class in the training part, the test part and the re-balanced training part."""
+    df = _binary(spark, sf_dir).select("track_id", "genre", "label")
+    train, test = sampling.hash_split(df, ["track_id"], TRAIN_TEST)
+    sample = sampling.stratified_sample(train, "label", DOWNSAMPLE, ["track_id"], salt="sample")
+    parts = [part.withColumn("part", F.lit(name)) for name, part in (("train", train), ("test", test), ("sample", sample))]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy("part", "label", "genre").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def _shared_clean(spark, sf_dir):
     """Cleaned interactions written once for plans that read them in several
     branches (each recomputation would repeat two semi joins)."""
     return physical.materialize(_keyed_clean(spark, sf_dir), "clean")
 
 
-def _clean_split(spark, sf_dir):
-    return sampling.hash_split(_shared_clean(spark, sf_dir), ["row_key"], HOLDOUT)
+def _thin_split(spark, sf_dir):
+    return sampling.hash_split(_shared_clean(spark, sf_dir), ["row_key"], THIN_TRAIN)
 
 
 @query
 def cold_start_users(spark, sf_dir):
-    train, test = _clean_split(spark, sf_dir)
+    train, test = _thin_split(spark, sf_dir)
     return joins.cold_start(test, train, "user_id")
 
 
 @query
 def cold_start_items(spark, sf_dir):
-    train, test = _clean_split(spark, sf_dir)
+    train, test = _thin_split(spark, sf_dir)
     return joins.cold_start(test, train, "song_id")
 
 
@@ -560,7 +587,7 @@ def binary_model_scores(spark, sf_dir):
 
 def _cv(estimator, param_grid, evaluator, spark, sf_dir, score_col="probability"):
     train, test = _binary_sets(spark, sf_dir)
-    best = models.tune(estimator, param_grid, evaluator, train, folds=5)
+    best = models.tune(estimator, param_grid, evaluator, train, folds=5, keys=["track_id"])
     return _scored(best.transform(test), score_col)
 
 
@@ -603,12 +630,18 @@ def lr_multiclass(spark, sf_dir):
     return pred.select("track_id", "genre", "label", "prediction")
 
 
+@query
+def multiclass_model_scores(spark, sf_dir):
+    """Weighted F1, accuracy, precision and recall of the multinomial model on its test rows."""
+    return evaluate.multiclass_scores(lr_multiclass(spark, sf_dir))
+
+
 @query
 def cv_multiclass(spark, sf_dir):
     train, test = _multiclass_sets(spark, sf_dir)
     lr = models.logistic(family="multinomial")
     g = models.grid(lr, **MULTICLASS_GRID)
-    best = models.tune(lr, g, models.multiclass_evaluator("f1"), train, folds=5)
+    best = models.tune(lr, g, models.multiclass_evaluator("f1"), train, folds=5, keys=["track_id"])
     return best.transform(test).select("track_id", "genre", "label", "prediction")
 
 

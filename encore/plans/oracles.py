@@ -188,7 +188,10 @@ ORACLES.update({
         for m, src, c in MEASURES for p in PROBS
     ),
     "quantiles_approx": " UNION ALL ".join(
-        f"SELECT '{m}' AS measure, CAST({p} AS DOUBLE) AS prob, TRUE AS within_bound" for m, _, _ in MEASURES for p in PROBS
+        f"""SELECT '{m}' AS measure, CAST({p} AS DOUBLE) AS prob, MIN(v) FILTER (cum >= CAST({round(max(p - 0.05, 0), 9)} AS DOUBLE) * n) AS lower,
+                   MIN(v) FILTER (cum >= CAST({round(min(p + 0.05, 1), 9)} AS DOUBLE) * n) AS upper, TRUE AS within_bound
+            FROM (SELECT {c} AS v, COUNT(*) OVER (ORDER BY {c}) AS cum, COUNT(*) OVER () AS n FROM ({src}))"""
+        for m, src, c in MEASURES for p in PROBS
     ),
     "correlation_pairs": CORR,
     "correlated_pairs": f"SELECT * FROM ({CORR}) WHERE r > 0.9",
@@ -206,8 +209,11 @@ KEYED_CLEAN = f"""
     WHERE w.user_id IN (SELECT user_id FROM ({USER_ACTIVITY}) WHERE song_count > {MIN_ITEMS})
       AND w.song_id IN (SELECT song_id FROM ({ITEM_ACTIVITY}) WHERE play_count > {MIN_PLAYS})
 """
-TRAIN = f"SELECT * FROM ({KEYED_CLEAN}) WHERE {bucket('row_key')} < {share(0.7)}"
-TEST = f"SELECT * FROM ({KEYED_CLEAN}) WHERE {bucket('row_key')} >= {share(0.7)}"
+TRAIN = f"SELECT * FROM ({KEYED_CLEAN}) WHERE {bucket('row_key')} < {share(0.05)}"
+TEST = f"SELECT * FROM ({KEYED_CLEAN}) WHERE {bucket('row_key')} >= {share(0.05)}"
+IN_TRAIN = f"{bucket('CAST(track_id AS VARCHAR)')} < {share(0.8)}"
+IN_SAMPLE = f"""{bucket("'sample:' || CAST(track_id AS VARCHAR)")}
+    < CASE WHEN label = 0 THEN {share(0.1)} WHEN label = 1 THEN {share(1.0)} ELSE 0 END"""
 
 
 def _index_sql(source: str, col: str) -> str:
@@ -228,6 +234,12 @@ ORACLES.update({
         WHERE {bucket('CAST(track_id AS VARCHAR)')} < {share(0.8)}
           AND {bucket("'sample:' || CAST(track_id AS VARCHAR)")} < CASE WHEN label = 0 THEN {share(0.1)} WHEN label = 1 THEN {share(1.0)} ELSE 0 END
     """,
+    "split_class_counts": f"""
+        SELECT part, label, genre, COUNT(*) AS n_rows FROM (
+          SELECT CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'test' END AS part, label, genre FROM ({BINARY})
+          UNION ALL SELECT 'sample' AS part, label, genre FROM ({BINARY}) WHERE {IN_TRAIN} AND {IN_SAMPLE})
+        GROUP BY part, label, genre
+    """,
     "cold_start_users": f"SELECT t.* FROM ({TEST}) t WHERE NOT EXISTS (SELECT 1 FROM ({TRAIN}) r WHERE r.user_id = t.user_id)",
     "cold_start_items": f"SELECT t.* FROM ({TEST}) t WHERE NOT EXISTS (SELECT 1 FROM ({TRAIN}) r WHERE r.song_id = t.song_id)",
     "string_index": _index_sql("SELECT lang FROM documents", "lang"),
@@ -294,13 +306,12 @@ ORACLES.update({
         FROM ({REC}) GROUP BY user_id
     """,
     "ranked_pairs": f"""
-        WITH rec AS ({REC}), rel AS ({REL}),
+        WITH rec AS MATERIALIZED ({REC}), rel AS MATERIALIZED ({REL}),
+        both_lists AS (SELECT user_id FROM rec INTERSECT SELECT user_id FROM rel),
         j AS (SELECT COALESCE(rec.user_id, rel.user_id) AS user_id, COALESCE(rec.song_id, rel.song_id) AS song_id,
                      rec.position, rel."rank"
               FROM rec FULL OUTER JOIN rel ON rec.user_id = rel.user_id AND rec.song_id = rel.song_id)
-        SELECT * FROM j
-        WHERE EXISTS (SELECT 1 FROM rec WHERE rec.user_id = j.user_id)
-          AND EXISTS (SELECT 1 FROM rel WHERE rel.user_id = j.user_id)
+        SELECT j.* FROM j JOIN both_lists USING (user_id)
     """,
     "predictions_sorted": f"SELECT * FROM ({PAIRS}) ORDER BY user_id, song_id, prediction DESC",
     "ranking_metrics": METRICS,

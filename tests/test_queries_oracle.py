@@ -27,7 +27,7 @@ def test_every_query_is_registered_with_an_oracle_or_listed_as_rows_only():
     assert set(SQL) <= set(E.queries())
     assert set(ROWS_ONLY) == {
         "pca_project", "lr_binary", "svm_binary", "rf_binary", "binary_model_scores", "cv_binary", "cv_svm",
-        "cv_forest", "lr_multiclass", "cv_multiclass", "als_predict", "als_ranking",
+        "cv_forest", "lr_multiclass", "multiclass_model_scores", "cv_multiclass", "als_predict", "als_ranking",
     }
 
 
@@ -49,6 +49,11 @@ def test_rows_only_queries_run(spark, name):
     assert df.count() > 0
 
 
+@pytest.mark.parametrize("name", ["cold_start_users", "cold_start_items"])
+def test_coverage_checks_find_cold_keys(spark, name):
+    assert E.queries()[name](spark, SF_SMALL).count() > 0
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["user_id", "song_id", "plays"]
