@@ -23,23 +23,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bounds for explicit broadcasts: rows of a key list, and rows that make a key hot.
+# Bounds for explicit broadcasts: rows and bytes of a key list. Rows that make a key hot,
+# and the most keys a hot-key list may hold.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20
 HOT_KEY_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, reading no more than
-    ``max_rows + 1`` of them."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes (16 a
+    value, and the text of strings), reading no more than ``max_rows + 1`` rows."""
+    width = F.lit(16 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
+    return size["n"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only when it has at most ``max_rows`` rows.
+    """Hint ``df`` for broadcast only when it has at most ``max_rows`` rows and
+    ``BROADCAST_BYTES`` bytes.
 
     The check reads no more than ``max_rows + 1`` rows (``limit`` stops the
     scan early), so it costs at most one pass over the small side. ``None``
@@ -80,9 +89,10 @@ def split_hot_keys(
     """A semi or anti join of ``df`` with the keys of ``right`` in which every
     hot key is spread over several tasks (salting).
 
-    ``hot`` lists keys of ``df`` with their row count ``_n`` (keys with more
-    than T rows: fewer than ``rows / T`` of them, so broadcasting the list has
-    a proven bound). A hot key with ``n`` rows gets a fan-out of
+    ``hot`` lists keys of ``df`` with their row count ``_n``. Of them the
+    ``MAX_HOT_KEYS`` with most rows are split, so the broadcast list has a
+    constant bound; any other key holds less than ``rows / MAX_HOT_KEYS`` rows.
+    A hot key with ``n`` rows gets a fan-out of
     ``ceil(n / rows_per_task)``: its rows in ``df`` draw a salt in
     ``[0, fan)``, its rows in ``right`` are repeated once per salt, and the
     join runs on ``(key, salt)``, so no task receives more than about
@@ -100,7 +110,8 @@ def split_hot_keys(
         raise ValueError("how must be 'left_semi' or 'left_anti'")
     keys = _keys(key)
     fan = F.ceil(F.col("_n") / F.lit(float(rows_per_task))).cast("int")
-    tag = F.broadcast(hot.select(*keys, fan.alias("_fan")))
+    most = hot.orderBy(F.col("_n").desc(), *keys).limit(MAX_HOT_KEYS)  # keys are unique: the same list each time
+    tag = F.broadcast(most.select(*keys, fan.alias("_fan")))
     row = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns])
     salt = F.when(F.col("_fan").isNull(), F.lit(0)).otherwise(F.pmod(row, F.col("_fan")).cast("int"))
     left = df.join(tag, on=keys, how="left").withColumn("_salt", salt)

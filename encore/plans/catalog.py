@@ -8,6 +8,7 @@ same keys; computed columns carry the same aliases there.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -128,10 +129,7 @@ def retention_report(spark, sf_dir):
 # --- sources ----------------------------------------------------------------
 
 
-DRIVER_TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings "
-    "pages benchmark labels conversations"
-).split()
+DRIVER_TABLES = roles.TABLE_NAMES
 
 
 @query
@@ -181,10 +179,39 @@ def schema_from_attributes(spark, sf_dir):
     return attrs.read_feature_set(spark, f"{root}/attributes", f"{root}/features")
 
 
+# Attribute type of a column: whole and decimal numbers, floating numbers, anything else.
+_ATTRIBUTE_OF = {"tinyint": "NUMERIC", "smallint": "NUMERIC", "int": "NUMERIC", "bigint": "NUMERIC",
+                 "float": "real", "double": "real"}
+
+
 @query
 def attribute_types(spark, sf_dir):
-    root = _feature_set_files(spark, sf_dir)
-    return attrs.attribute_types(attrs.read_attributes(spark, f"{root}/attributes"))
+    """One attribute file per given table, a row for each of its columns; read back and counted."""
+    root = scratch_path(spark, "attributes")
+    paths = []
+    for name in DRIVER_TABLES:
+        rows = [(c, "NUMERIC" if t.startswith("decimal") else _ATTRIBUTE_OF.get(t, "string"))
+                for c, t in roles.table(spark, sf_dir, name).dtypes]
+        paths.append(f"{root}/{name}")
+        spark.createDataFrame(rows, attrs.ATTRIBUTE_SCHEMA).coalesce(1).write.csv(paths[-1])
+    return attrs.attribute_types(attrs.read_attributes(spark, paths))
+
+
+@query
+def spread_scan(spark, sf_dir):
+    """A gzip scan (one task a file) dealt out over all cores by user."""
+    return physical.spread(scan_delimited(spark, sf_dir), "user_id")
+
+
+@query
+def single_file_report(spark, sf_dir):
+    """The item popularity written as one file; read back, one row per file with its items and sums."""
+    path = scratch_path(spark, "popularity-csv")
+    delimited.write_delimited(activity.item_popularity(_without_blocked(spark, sf_dir)), path, single_file=True)
+    back = delimited.read_delimited(spark, path, "song_id bigint, user_count bigint, sum_play_count bigint")
+    per_file = back.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n_items"), F.sum("user_count").alias("user_count"), F.sum("sum_play_count").alias("play_count"))
+    return per_file.drop("file")
 
 
 @query
@@ -566,23 +593,51 @@ def rf_binary(spark, sf_dir):
 def binary_model_scores(spark, sf_dir):
     """Confusion table, accuracy, recall, precision and AUC of the three
     classifiers on the same test rows, as ``(model, metric, value)`` rows."""
-    train, test = _binary_sets(spark, sf_dir)
+    train, test = (physical.materialize(df, "model-set") for df in _binary_sets(spark, sf_dir))
     fitted = {
         "logistic_regression": (models.logistic(), "probability"),
         "linear_svm": (models.svm(), "rawPrediction"),
         "random_forest": (models.forest(), "probability"),
     }
+    return _stacked([part for name, (est, score_col) in fitted.items()
+                     for part in _score_rows(name, _scored(models.fit(est, train).transform(test), score_col))])
+
+
+def _stacked(parts):
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _metric_rows(name, one_row):
+    cells = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in one_row.columns]
+    return one_row.select(F.lit(name).alias("model"), F.explode(F.array(*cells)).alias("m")).select(
+        "model", "m.metric", "m.value")
+
+
+def _score_rows(name, predictions):
+    """Confusion table and AUC of one model's predictions, which are computed once."""
+    pred = physical.materialize(predictions, "predictions")
+    return [_metric_rows(name, evaluate.confusion_metrics(pred)),
+            _metric_rows(name, evaluate.auc(pred, "score", "label").select("auc"))]
+
+
+@query
+def cv_model_scores(spark, sf_dir):
+    """The scores of ``binary_model_scores`` for the tuned classifiers, and the parameters
+    that cross-validation chose with their mean score (``cv_metric``)."""
+    train, test = (physical.materialize(df, "model-set") for df in _binary_sets(spark, sf_dir))
+    lr, svm, rf = models.logistic(), models.svm(), models.forest()
+    tuned = {
+        "logistic_regression": (lr, models.grid(lr, **LR_GRID), "probability"),
+        "linear_svm": (svm, models.grid(svm, **SVM_GRID), "rawPrediction"),
+        "random_forest": (rf, models.grid(rf, **FOREST_GRID), "probability"),
+    }
     parts = []
-    for name, (est, score_col) in fitted.items():
-        pred = _scored(models.fit(est, train).transform(test), score_col)
-        for one_row in (evaluate.confusion_metrics(pred), evaluate.auc(pred, "score", "label").select("auc")):
-            cells = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in one_row.columns]
-            parts.append(one_row.select(F.lit(name).alias("model"), F.explode(F.array(*cells)).alias("m"))
-                         .select("model", "m.metric", "m.value"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    for name, (est, grid, score_col) in tuned.items():
+        best = models.tune(est, grid, models.binary_evaluator(), train, folds=5, keys=["track_id"])
+        parts += _score_rows(name, _scored(best.transform(test), score_col))
+        chosen = [(name, metric, float(value)) for metric, value in models.chosen_params(best).items()]
+        parts.append(spark.createDataFrame(chosen, "model string, metric string, value double"))
+    return _stacked(parts)
 
 
 def _cv(estimator, param_grid, evaluator, spark, sf_dir, score_col="probability"):
@@ -656,7 +711,8 @@ def _als_sets(spark, sf_dir):
     enc = indexing.apply_index(enc, items, "song_id", "item_index", broadcast_rows=bound)
     enc = enc.withColumn("user_index", F.col("user_index").cast("int")).withColumn(
         "item_index", F.col("item_index").cast("int"))
-    return sampling.hash_split(enc, ["row_key"], HOLDOUT)
+    # The training part feeds every iteration, the other one the predictions and the relevant items.
+    return sampling.hash_split(physical.materialize(enc, "encoded"), ["row_key"], HOLDOUT)
 
 
 def _als_predictions(spark, sf_dir):
@@ -677,6 +733,7 @@ def als_ranking(spark, sf_dir):
     """Re-ranked hold-out: each user's test items ordered by the model score,
     scored against the user's most played test items."""
     pred, test = _als_predictions(spark, sf_dir)
+    pred = physical.materialize(pred, "predictions")
     rec = ranking.top_n(pred, "user_id", "prediction", N, ties="break", tie_break=["song_id"], rank_col="position")
     rel = ranking.top_n(test, "user_id", "plays", N, ties="keep")
     return ranking.ranking_metrics(rec, rel, "user_id", "song_id", "position", (5, 10))

@@ -55,7 +55,8 @@ def cleaning_job(
         logs.read_log_lines(spark, accepted_log), logs.ACCEPTED_PREFIX
     )
     block = joins.blocklist(errors, accepted, "song_id")
-    raw = delimited.read_delimited(spark, triplets, TRIPLETS_SCHEMA, sep="\t")
+    # One task reads a gzip file whole, so its rows are dealt out over the cores.
+    raw = physical.spread(delimited.read_delimited(spark, triplets, TRIPLETS_SCHEMA, sep="\t"))
     kept = physical.materialize(
         joins.exclude(raw, block, "song_id", broadcast_rows=joins.DEFAULT_BROADCAST_ROWS,
                       hot_rows=joins.HOT_KEY_ROWS), "triplets"

@@ -10,7 +10,7 @@ on summation order are rounded on both sides.
 from __future__ import annotations
 
 from encore.functions.columns import HASH_RANGE
-from encore.plans.roles import N_FEATURES
+from encore.plans.roles import MIN_ITEMS_PER_USER, MIN_PLAYS_PER_ITEM, N_FEATURES, TABLE_NAMES
 
 # Shared fragments --------------------------------------------------------
 
@@ -47,7 +47,7 @@ ITEM_ACTIVITY = f"""
     FROM ({WITHOUT_BLOCKED}) GROUP BY song_id
 """
 
-MIN_ITEMS, MIN_PLAYS = 30, 650
+MIN_ITEMS, MIN_PLAYS = MIN_ITEMS_PER_USER, MIN_PLAYS_PER_ITEM
 
 CLEANED = f"""
     SELECT w.* FROM ({WITHOUT_BLOCKED}) w
@@ -106,8 +106,6 @@ BROKEN_LINE = f"'<' || {SO} || ' ' || {TR} || '> ' || p_brand || '  -  ' || p_na
 FEATURE_COLS = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(N_FEATURES))
 RAW_COLS = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS _c{i}" for i in range(N_FEATURES))
 QUOTED_ID = "'''TR' || lpad(CAST(vec_id AS VARCHAR), 16, '0') || ''''"
-TABLE_NAMES = ("region nation customer supplier part orders lineitem events documents embeddings "
-               "pages benchmark labels conversations").split()
 
 FEATURES_LABELS = f"""
     SELECT {FEATURE_COLS}, e.vec_id AS track_id, d.lang AS genre
@@ -125,6 +123,12 @@ def bucket(key_sql: str) -> str:
     return f"(CAST('0x' || substr(md5({key_sql}), 1, 7) AS BIGINT))"
 
 
+SCANNED = """
+    SELECT CAST(o.o_custkey AS VARCHAR) AS user_id, CAST(l.l_partkey AS VARCHAR) AS song_id,
+           CAST(l.l_quantity AS INTEGER) AS plays
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
+
 ORACLES.update({
     "parse_log": f"SELECT {PARSED_FIELDS} FROM part WHERE p_type = 'PROMO' AND p_size <> 50",
     "parse_accepted_log": f"SELECT {PARSED_FIELDS} FROM part WHERE p_type = 'PROMO' AND p_size <= 10 AND p_size <> 1",
@@ -133,15 +137,17 @@ ORACLES.update({
         UNION ALL
         SELECT 'accepted' AS log, '< ERROR: ' || {BROKEN_LINE} AS value FROM part WHERE p_type = 'PROMO' AND p_size = 1
     """,
-    "scan_delimited": """
-        SELECT CAST(o.o_custkey AS VARCHAR) AS user_id, CAST(l.l_partkey AS VARCHAR) AS song_id,
-               CAST(l.l_quantity AS INTEGER) AS plays
-        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+    "scan_delimited": SCANNED,
+    "spread_scan": SCANNED,
+    "single_file_report": f"""
+        SELECT COUNT(DISTINCT song_id) AS n_items, COUNT(user_id) AS user_count, CAST(SUM(plays) AS BIGINT) AS play_count
+        FROM ({WITHOUT_BLOCKED})
     """,
     "schema_from_attributes": f"SELECT {FEATURE_COLS}, CAST(vec_id AS VARCHAR) AS TRACK_ID FROM embeddings",
-    "attribute_types": """
-        SELECT CASE WHEN i < 0 THEN 'string' WHEN i % 2 = 0 THEN 'NUMERIC' ELSE 'real' END AS type, COUNT(*) AS n_attributes
-        FROM (SELECT UNNEST(range(-1, MAX(len(embedding)))) AS i FROM embeddings) GROUP BY 1
+    "attribute_types": f"""
+        SELECT CASE WHEN data_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT') OR data_type LIKE 'DECIMAL%' THEN 'NUMERIC'
+                    WHEN data_type IN ('FLOAT', 'DOUBLE') THEN 'real' ELSE 'string' END AS type, COUNT(*) AS n_attributes
+        FROM information_schema.columns WHERE table_name IN ({", ".join(f"'{t}'" for t in TABLE_NAMES)}) GROUP BY 1
     """,
     "log_line_counts": """
         SELECT 'errors' AS log, COUNT(*) AS n_lines FROM part

@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 
 from encore.sources.logs import ACCEPTED_PREFIX, ERROR_PREFIX, SIDE_DELIMITER, compose_log_line
 
+# The given tables.
+TABLE_NAMES = ("region nation customer supplier part orders lineitem events documents embeddings "
+               "pages benchmark labels conversations").split()
+
 # Fixed values of the role mapping.
 N_FEATURES = 64  # all values of an embedding
 MIN_ITEMS_PER_USER = 30

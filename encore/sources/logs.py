@@ -2,7 +2,7 @@
 
 A log line looks like::
 
-    ERROR: <SOUMNSI12AB0182807 TRMMGKQ128F9325E10> Artist  -  Title  !=  Artist  -  Title
+    ERROR: <SO0000000000000042 TR0000000000000077> Artist  -  Title  !=  Artist  -  Title
 
 The prefix (``'ERROR: '`` or ``'< ERROR: '``) selects the lines; the two ids
 sit at fixed offsets behind it and the tail is split on the exact delimiters.

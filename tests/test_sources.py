@@ -15,8 +15,8 @@ from encore.sources import (
 )
 from encore.sources.attributes import UnknownAttributeType
 
-GOOD = ("ERROR: <SOUMNSI12AB0182807 TRMMGKQ128F9325E10> Digital Underground  -  The Way We Swing"
-        "  !=  Linkwood  -  Whats up with the Underground")
+GOOD = ("ERROR: <SO0000000000000042 TR0000000000000077> Paper Lanterns  -  Night Bus Home"
+        "  !=  Gravel Choir  -  Slow River")
 
 
 def _lines(spark, lines):
@@ -28,8 +28,8 @@ def test_parse_well_formed_line(spark):
     assert rejected.count() == 0
     row = parsed.collect()
     assert [tuple(r) for r in row] == [(
-        "SOUMNSI12AB0182807", "Digital Underground", "The Way We Swing",
-        "TRMMGKQ128F9325E10", "Linkwood", "Whats up with the Underground",
+        "SO0000000000000042", "Paper Lanterns", "Night Bus Home",
+        "TR0000000000000077", "Gravel Choir", "Slow River",
     )]
 
 
@@ -37,12 +37,12 @@ def test_accepted_prefix_shifts_offsets(spark):
     line = "< " + GOOD
     parsed, _ = parse_correction_log(_lines(spark, [line, GOOD]), prefix="< ERROR: ")
     rows = parsed.collect()
-    assert len(rows) == 1 and rows[0]["song_id"] == "SOUMNSI12AB0182807"
-    assert rows[0]["track_id"] == "TRMMGKQ128F9325E10" and rows[0]["track_title"].endswith("Underground")
+    assert len(rows) == 1 and rows[0]["song_id"] == "SO0000000000000042"
+    assert rows[0]["track_id"] == "TR0000000000000077" and rows[0]["track_title"].endswith("River")
 
 
 def test_malformed_lines_are_rejected_not_raised(spark):
-    head = "ERROR: <SOUMNSI12AB0182807 TRMMGKQ128F9325E10> "
+    head = "ERROR: <SO0000000000000042 TR0000000000000077> "
     bad = [head + "A  -  B", head + "A  -  B  !=  C  -  D  !=  E  -  F", head, head + "A - B  !=  C  -  D"]
     parsed, rejected = parse_correction_log(_lines(spark, bad + [GOOD]))
     assert parsed.count() == 1
@@ -50,7 +50,7 @@ def test_malformed_lines_are_rejected_not_raised(spark):
 
 
 def test_title_with_single_blank_dash_kept(spark):
-    line = "ERROR: <SOUMNSI12AB0182807 TRMMGKQ128F9325E10> A  -  B - C  !=  D  -  E"
+    line = "ERROR: <SO0000000000000042 TR0000000000000077> A  -  B - C  !=  D  -  E"
     parsed, _ = parse_correction_log(_lines(spark, [line]))
     r = parsed.collect()[0]
     assert (r["song_artist"], r["song_title"], r["track_artist"], r["track_title"]) == ("A", "B - C", "D", "E")
@@ -61,7 +61,7 @@ def test_last_character_is_not_lost(spark, tmp_dir):
     with open(path, "w") as f:
         f.write("header line\n" + GOOD)  # no newline at the end
     parsed, _ = parse_correction_log(read_log_lines(spark, path))
-    assert parsed.collect()[0]["track_title"] == "Whats up with the Underground"
+    assert parsed.collect()[0]["track_title"] == "Slow River"
 
 
 def test_read_delimited_permissive(spark, tmp_dir):
