@@ -1,20 +1,23 @@
-"""Language-model scores from a probabilistic suffix tree.
-
-Symbols are the bytes of a token followed by a space; a document ends with an end symbol
-where a token could begin. The state of the model is the longest retained context: the
-bytes since the token began (its opening space included), up to ``DEPTH`` of them. A
-context is retained when it is frequent enough and its next symbols diverge from those of
-the state that would otherwise serve (the longest retained suffix); its distribution is
-smoothed with that state's. A text's probability is the product over all its symbols, so
-unseen words have a probability too.
-
-All counts come from all training rows: words are counted map-side and summed in one
-shuffle, and the contexts are counted from the distinct words with their counts. The tree
-itself is bounded: contexts must hold ``MIN_SHARE`` of all symbols (at most
-``DEPTH / MIN_SHARE`` of them) and next symbols ``MIN_SHARE / 50``, so it can be sent to
-every task at any corpus size. The unigram base needs the exact count of every word: words
-that hold a millionth of all tokens (at most a million) travel with the tree, the others
-are joined with the word table, once per document that has them.
+"""Language-model scores from a probabilistic suffix tree over whole texts.
+
+Symbols are a document's tokens and an end symbol. The state of the model is the longest
+retained context: up to ``WORD_DEPTH`` preceding tokens, whatever text they stand in (start
+marks before the first). A context is retained when it occurs ``MIN_COUNT`` times and its
+next symbols diverge from those of the state that would otherwise serve (the longest retained
+suffix); its distribution is smoothed with that state's. The root is the distribution of
+words, smoothed with a spelling model: a suffix tree of the same kind over the bytes of a
+word and its closing space (contexts of up to ``DEPTH`` bytes since the word began). So
+unseen words have a probability, too, and all texts' probabilities sum to 1.
+
+All counts come from all training rows, counted in the tasks and summed in one shuffle. There
+are no shares: minimum counts are absolute, so the tree grows with the corpus. It stays a
+distributed table of the windows (context and next symbol) that the texts need, built order by
+order with joins, and texts get their windows' probabilities by a join. Tokens, contexts and
+windows go by 64-bit hashes (a billion of them hold one collision with probability 3 %).
+
+The unigram base needs the exact count of every word: words that hold a millionth of all
+tokens (at most a million) are sent to the tasks, the others are joined with the word table,
+once per document that has them.
 
 Defined results: a null or blank text is only its end token; repeated rows count and are
 scored each for itself; without training rows the counts are 0 and all symbols are equally
@@ -23,6 +26,7 @@ likely; long texts and words are read whole; an empty table gives an empty resul
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -33,11 +37,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import LOWER, checkpointed, map_slices, sliced, text_bytes, words
-from encore.session import scratch_path
+from encore.llm.common import LOWER, checkpointed, sliced, text_bytes, words
 
 DEPTH = 5
-MIN_SHARE = 2e-5
+#: Tokens of context.
+WORD_DEPTH = 2
+#: Occurrences that a context needs: one that was seen once tells nothing about what may follow.
+MIN_COUNT = 2
 #: Nats by which a context must better its suffix over all its occurrences.
 MIN_GAIN = 8.0
 #: Weight of the suffix's distribution, in occurrences.
@@ -47,6 +53,7 @@ COMMON_SHARE = 1e-6
 SPACE, END = 32, 10  # neither byte occurs in a word
 _FLUSH_WORDS = 200_000
 _FLUSH_BYTES = 1_000_000
+_FLUSH_TOKENS = 1_000_000
 CACHE_WORDS = 400_000
 
 
@@ -54,27 +61,37 @@ def tokens_of(data: bytes) -> list[bytes]:
     return words(data.translate(LOWER))
 
 
+def hash_of(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+
+
+#: Hashes of the mark before a text and of its end; neither is a word.
+START_HASH, END_HASH = hash_of(b" "), hash_of(b"\n")
+
+
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word, c) over the string column ``text``; counted in the tasks, then summed."""
+    """(word, id, c) over ``text``: every word of all rows, with its hash and its count in the
+    rows where ``train`` holds; counted in the tasks, then summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
 
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), type=pa.binary()), pa.array(counts.values(), type=pa.int64())], ["word", "c"]
-            )
+            made = [pa.array(counts.keys(), type=pa.binary()), pa.array(map(hash_of, counts), type=pa.int64()), pa.array(counts.values(), type=pa.int64())]
+            return pa.RecordBatch.from_arrays(made, ["word", "id", "c"])
 
         for batch in sliced(batches):
-            for data in text_bytes(batch.column(0)):
-                counts.update(tokens_of(data))
+            for data, train in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                tokens = tokens_of(data)
+                counts.update(tokens if train else dict.fromkeys(tokens, 0))
             if len(counts) >= _FLUSH_WORDS:
                 yield flush()
                 counts = Counter()
         if counts:
             yield flush()
 
-    return texts.select("text").mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+    counted = texts.select("text", "train").mapInArrow(run, "word binary, id bigint, c bigint")
+    return counted.groupBy("word", "id").agg(F.sum("c").alias("c"))
 
 
 def context_keys(vocabulary: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,34 +114,100 @@ def context_keys(vocabulary: list[bytes], counts: np.ndarray) -> tuple[np.ndarra
     return distinct, np.bincount(back, weights, len(distinct)).astype(np.int64)
 
 
-def count_contexts(word_counts: DataFrame) -> DataFrame:
-    """(key, c) of all contexts and next symbols, from distinct words and their counts."""
+def spelling_keys(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each symbol of the words, the word's place in the list and the key (as in
+    ``context_keys``) of the symbol after its longest context."""
+    data = np.frombuffer(b"".join(b" " + w + b" " for w in vocabulary), dtype=np.uint8).astype(np.int64)
+    sizes = np.array([len(w) + 2 for w in vocabulary])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    order = np.minimum(place, DEPTH)
+    context = np.zeros(len(data), dtype=np.int64)
+    for k in range(1, DEPTH + 1):
+        context[k:] |= np.where(order[k:] >= k, data[:-k] << (8 * (k - 1)), 0)
+    at = place >= 1
+    return owner[at], ((order << 56) | (context << 8) | data)[at]
+
+
+def _by_words(word_counts: DataFrame, column: str, make: Callable, schema: str) -> DataFrame:
+    """``make(words, values of column)`` over slices of the word table of about ``_FLUSH_BYTES``."""
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[bytes] = []
-        counts: list[int] = []
+        values: list[int] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            keys, c = context_keys(held, np.array(counts))
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c)], ["key", "c"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in make(held, np.array(values, dtype=np.int64))], names)
 
         for batch in sliced(batches, 4096):
-            for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for w, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 held.append(w)
-                counts.append(c)
+                values.append(x)
                 size += len(w)
                 if size >= _FLUSH_BYTES:
                     yield flush()
-                    held, counts, size = [], [], 0
+                    held, values, size = [], [], 0
         if held:
             yield flush()
 
-    return word_counts.select("word", "c").mapInArrow(run, "key bigint, c bigint").groupBy("key").agg(F.sum("c").alias("c"))
+    return word_counts.select("word", column).mapInArrow(run, schema)
+
+
+def count_contexts(word_counts: DataFrame) -> DataFrame:
+    """(key, c) of all contexts and next symbols, from distinct words and their counts."""
+    return _by_words(word_counts, "c", context_keys, "key bigint, c bigint").groupBy("key").agg(F.sum("c").alias("c"))
+
+
+def climb(windows: DataFrame, lower: DataFrame) -> DataFrame:
+    """(window, lp): log10 probabilities of the windows of one order.
+
+    ``windows`` (window, ctx, below, c): a window, its context, the window of the next lower
+    order, and its count (0 for those that only texts to be scored have); ``lower`` (window,
+    lp): the lower order. Contexts that are not retained pass on the lower order's value.
+    """
+    known = windows.join(lower.select(F.col("window").alias("below"), "lp"), "below")
+    n, c, lp = F.col("n"), F.col("c"), F.col("lp")
+    # The sum of c * ln(c / n / p), as n is the sum of c; c * ln c is 0 for windows not seen.
+    gain = F.sum(F.when(c > 0, c * (F.log(c.cast("double")) - lp * math.log(10)))).alias("gain")
+    states = known.groupBy("ctx").agg(F.sum("c").alias("n"), gain).where((n >= MIN_COUNT) & (F.col("gain") - n * F.log(n.cast("double")) >= MIN_GAIN))
+    # Read back from the folder, so that both sides of the join come from exchanges and
+    # adaptive execution can split a frequent context.
+    states = checkpointed(states.select("ctx", "n"))
+    own = F.when(c > 0, F.log10((c + SMOOTHING * F.pow(F.lit(10.0), lp)) / (n + SMOOTHING))).otherwise(lp + F.log10(SMOOTHING / (n + SMOOTHING)))
+    return known.join(states, "ctx", "left").select("window", F.when(n.isNull(), lp).otherwise(own).alias("lp"))
+
+
+def spelling(word_counts: DataFrame, documents: int) -> DataFrame:
+    """(id, c, spelt): each word's count and the log10 probability of its spelling; and the end's."""
+    spark = word_counts.sparkSession
+    ends = [(END, documents), (1 << 56 | SPACE << 8 | END, documents)]
+    contexts = checkpointed(count_contexts(word_counts).union(spark.createDataFrame(ends, "key bigint, c bigint")))
+    of_order = [contexts.where(F.shiftright("key", 56) == k) for k in range(DEPTH + 1)]
+    total = of_order[0].agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    lower = of_order[0].select(F.col("key").alias("window"), F.log10((F.col("c") + 1) / F.lit(float(total + 256))).alias("lp"))
+    table = None
+    for k in range(1, DEPTH + 1):
+        # The context without its first byte, one order lower.
+        below = F.when(F.lit(k == 1), F.col("key").bitwiseAND(255)).otherwise(F.lit((k - 1) << 56).bitwiseOR(F.col("key").bitwiseAND((1 << 8 * k) - 1)))
+        lower = checkpointed(climb(of_order[k].select(F.col("key").alias("window"), F.shiftright("key", 8).alias("ctx"), below.alias("below"), "c"), lower))
+        table = lower if table is None else table.union(lower)
+
+    def places(held: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        owner, keys = spelling_keys(held)
+        return ids[owner], keys
+
+    needed = _by_words(word_counts, "id", places, "id bigint, window bigint")
+    needed = needed.union(spark.createDataFrame([(END_HASH, 1 << 56 | SPACE << 8 | END)], "id bigint, window bigint"))
+    spelt = needed.join(table, "window").groupBy("id").agg(F.sum("lp").alias("spelt"))
+    known = word_counts.select("id", "c").union(spark.createDataFrame([(END_HASH, documents)], "id bigint, c bigint"))
+    return known.join(spelt, "id")
 
 
 class SuffixTree:
-    """Retained contexts with smoothed log10 probabilities of their next symbols.
+    """The spelling model of a small table of contexts in memory, as ``climb`` defines it but
+    for the minimum count; the tests hold the distributed tables against it.
 
     ``probabilities[key]`` holds those that a context saw; for others a state's ``escape``
     is added and its suffix state asked.
@@ -197,126 +280,172 @@ class SuffixTree:
         return self._next(SPACE, 1, END)
 
 
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def windows_of(ids: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of texts' token hashes, ends included: the contexts of order 1 to WORD_DEPTH of all
+    symbols, one after the other, and the windows of order 0 (the symbols themselves) to WORD_DEPTH."""
+    pad = np.full(WORD_DEPTH, START_HASH, dtype=np.int64)
+    running = np.concatenate([x for text in ids for x in (pad, text)]).view(np.uint64)
+    sizes = np.array([len(text) for text in ids])
+    at = np.arange(sizes.sum()) + np.repeat(WORD_DEPTH * np.arange(1, len(sizes) + 1), sizes)
+    symbol, context = running[at], running[at - 1]
+    contexts, windows = [], [symbol]
+    for k in range(1, WORD_DEPTH + 1):
+        context = context if k == 1 else _mixed(context, running[at - k])
+        contexts.append(context)
+        windows.append(_mixed(_mixed(context, np.full_like(context, k)), symbol))
+    return [x.view(np.int64) for x in contexts], [x.view(np.int64) for x in windows]
+
+
+class Hashes:
+    """Token hashes of texts, with a bounded cache."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+
+    def text(self, tokens: list[bytes]) -> np.ndarray:
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        for w in set(tokens).difference(self.known):
+            self.known[w] = hash_of(w)
+        return np.array([*map(self.known.__getitem__, tokens), END_HASH], dtype=np.int64)
+
+
+def count_windows(texts: DataFrame) -> DataFrame:
+    """(k, window, ctx, below, c): every window of all texts, orders 1 to WORD_DEPTH, with its
+    count in the rows where ``train`` holds; counted in the tasks, then summed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        held: list[np.ndarray] = []
+        trained: list[bool] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            weight = np.repeat(np.array(trained, dtype=np.int64), [len(x) for x in held])
+            contexts, windows = windows_of(held)
+            for k in range(1, WORD_DEPTH + 1):
+                distinct, first, back = np.unique(windows[k], return_index=True, return_inverse=True)
+                c = np.bincount(back, weight, len(distinct)).astype(np.int64)
+                made = [np.full(len(distinct), k, dtype=np.int32), distinct, contexts[k - 1][first], windows[k - 1][first], c]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["k", "window", "ctx", "below", "c"])
+
+        size = 0
+        for batch in sliced(batches):
+            for data, train in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                held.append(hashes.text(tokens_of(data)))
+                trained.append(train)
+                size += len(held[-1])
+                if size >= _FLUSH_TOKENS:
+                    yield from flush()
+                    held, trained, size = [], [], 0
+        if held:
+            yield from flush()
+
+    counted = texts.select("text", "train").mapInArrow(run, "k int, window bigint, ctx bigint, below bigint, c bigint")
+    return counted.groupBy("k", "window", "ctx", "below").agg(F.sum("c").alias("c"))
+
+
 class Model:
-    """What every task needs: the tree, the common words' counts and the corpus totals."""
+    """What the tasks need (the common words' counts and the corpus totals), and the tables:
+    all words' counts, and the log10 probabilities of all windows of the highest order."""
 
-    def __init__(self, tree: SuffixTree, common: dict[bytes, int], n: int, v: int):
-        self.tree, self.common, self.n, self.v = tree, common, n, v
-        self.end_count = 0
+    def __init__(self, common: dict[bytes, int], n: int, v: int, end_count: int, counts: DataFrame, windows: DataFrame):
+        self.common, self.n, self.v, self.end_count = common, n, v, end_count
+        self.counts, self.windows = counts, windows
 
     def base(self, c: int) -> float:
         return math.log10((c + 1) / (self.n + self.v + 1))
 
 
-def fit(training: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
-    """The model of all texts of ``training``, and the table of all word counts."""
-    counts = checkpointed(count_words(training.select(F.col(text).alias("text"))))
-    documents = training.count()
-    tokens, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+def fit(docs: DataFrame, held: Column, text: str = "text") -> Model:
+    """The model of all texts that are not held out, with the windows that any text needs."""
+    texts = docs.select(F.col(text).alias("text"), (~held).alias("train"))
+    counts = checkpointed(count_words(texts))
+    documents = texts.where("train").count()
+    tokens, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     n, v = tokens + documents, kinds + (documents > 0)
-    contexts = checkpointed(count_contexts(counts))
-    # Every document's end symbol follows a token boundary.
-    symbols = contexts.where("shiftright(key, 56) = 0").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0] + documents
-    totals = contexts.groupBy(F.expr("shiftright(key, 8)").alias("state")).agg(F.sum("c").alias("n"))
-    frequent = totals.where(F.col("n") >= MIN_SHARE * symbols).select("state")
-    kept = (
-        contexts.where(F.col("c") >= MIN_SHARE / 50 * symbols)
-        .withColumn("state", F.expr("shiftright(key, 8)"))
-        .join(frequent, "state", "left_semi")
-        .select("key", "c")
-        .toArrow()  # bounded: DEPTH * 50 / MIN_SHARE rows at most
-    )
-    keys = kept.column("key").to_numpy().astype(np.int64)
-    weights = kept.column("c").to_numpy().astype(np.int64)
-    if documents:
-        keys = np.concatenate([keys, [END, 1 << 56 | SPACE << 8 | END]])
-        weights = np.concatenate([weights, [documents, documents]])
-    common = counts.where(F.col("c") >= COMMON_SHARE * n).toArrow()  # bounded: 1 / COMMON_SHARE rows at most
-    model = Model(SuffixTree(keys, weights), dict(zip(common.column("word").to_pylist(), common.column("c").to_pylist(), strict=True)), n, v)
-    model.end_count = documents
-    return model, counts
-
-
-_WORKER: dict[int, dict[bytes, float]] = {}
-
-_SCORED = (
-    "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, "
-    "rare array<struct<word:binary,m:int>>"
-)
-
-
-def score_documents(docs: DataFrame, model: Model, counts: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
+    c, spelt = F.col("c"), F.col("spelt")
+    root = F.when(c > 0, F.log10((c + SMOOTHING * F.pow(F.lit(10.0), spelt)) / F.lit(n + SMOOTHING)))
+    root = root.otherwise(spelt + math.log10(SMOOTHING / (n + SMOOTHING)))
+    lower = checkpointed(spelling(counts, documents).select(F.col("id").alias("window"), root.alias("lp")))
+    windows = checkpointed(count_windows(texts))
+    for k in range(1, WORD_DEPTH + 1):
+        lower = climb(windows.where(F.col("k") == k).drop("k"), lower)
+    common = counts.where((F.col("c") > 0) & (F.col("c") >= COMMON_SHARE * n)).select("word", "c").toArrow()  # at most 1 / COMMON_SHARE rows
+    common = dict(zip(common.column("word").to_pylist(), common.column("c").to_pylist(), strict=True))
+    return Model(common, n, v, documents, counts, lower)
+
+
+_NEEDED = "row bigint, key bigint, m int, rare int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double"
+
+
+def score_documents(docs: DataFrame, model: Model, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score per document.
 
-    Scores come from one pass over the texts, written to the checkpoint folder; only words
-    that are not common are then joined with their counts, and their sums with the rows.
+    One pass over the texts gives each document's distinct windows (``m``: how often), its
+    words that are not common (``rare``), and one row with its other columns; they are joined
+    with the tables of windows and words, and summed by row.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
-    stamp = int(np.random.default_rng().integers(1 << 62))
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("m", pa.int32())]))
-
-    def make():
-        model = sent.value
-        if stamp not in _WORKER:
-            _WORKER.clear()
-            _WORKER[stamp] = {}
-        known, tree, common = _WORKER[stamp], model.tree, model.common
-        base_of = {c: model.base(c) for c in set(common.values()) | {model.end_count}}
-        end, row = tree.end(), TaskContext.get().partitionId() << 40
-
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            nonlocal row
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            out: list[list] = [[] for _ in range(6)]
+    sent = docs.sparkSession.sparkContext.broadcast((model.common, {c: model.base(c) for c in {*model.common.values(), model.end_count}}, model.end_count))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, base_of, end_count = sent.value
+        hashes, row = Hashes(), TaskContext.get().partitionId() << 40
+        schema = pa.schema([(n, t) for n, t in zip([x.split()[0] for x in _NEEDED.split(", ")], _TYPES, strict=True)])
+        for batch in sliced(batches, 64):
+            keys, times, rares, sizes, heads = [], [], [], [], []
             for data in text_bytes(batch.column(2)):
                 tokens = tokens_of(data)
-                base, seen, score, rare = base_of[model.end_count], int(model.end_count > 0), end, []
+                ids = hashes.text(tokens)
+                base, seen, rare = base_of[end_count], int(end_count > 0), []
                 for w, m in Counter(tokens).items():
-                    p = known.get(w)
-                    if p is None:
-                        p = known[w] = tree.word(w)
-                    score += m * p
                     c = common.get(w)
                     if c is None:
-                        rare.append({"word": w, "m": m})
+                        rare.append((hashes.known[w], m))
                     else:
                         seen += m
                         base += m * base_of[c]
-                for column, value in zip(out, (row, len(tokens) + 1, seen, base, score, rare), strict=True):
-                    column.append(value)
-                row += 1
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare_type]
-            made = [pa.array(x, type=t) for x, t in zip(out, types, strict=True)]
-            names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"]
-            return pa.RecordBatch.from_arrays([made[0], batch.column(0), batch.column(1), *made[1:]], names)
-
-        return step
+                windows, m = np.unique(windows_of([ids])[1][WORD_DEPTH], return_counts=True)
+                # The row with the other columns has a key of its own, which fits nothing.
+                words_, m_rare = np.array(rare, dtype=np.int64).reshape(-1, 2).T
+                keys += [windows, words_, [hash_of(b" row %d" % (row + len(heads)))]]
+                times += [m, np.zeros(len(rare) + 1, dtype=np.int64)]
+                rares += [np.zeros(len(m), dtype=np.int64), m_rare, [0]]
+                sizes.append(len(m) + len(rare) + 1)
+                heads.append((len(tokens) + 1, seen, base))
+            total, at = sum(sizes), np.cumsum(sizes) - 1
+            place = np.full(total, -1)
+            place[at] = np.arange(len(heads))
+            place = pa.array(place, mask=place < 0)
+            other = [batch.column(0), batch.column(1), *(pa.array(x) for x in zip(*heads, strict=True))]
+            made = [np.repeat(np.arange(row, row + len(heads)), sizes), *(np.concatenate(x) for x in (keys, times, rares))]
+            yield pa.RecordBatch.from_arrays([pa.array(x).cast(t) for x, t in zip(made, _TYPES, strict=False)] + [x.take(place) for x in other], schema=schema)
+            row += len(heads)
 
     source = docs.select(F.col(key).cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("text"))
-    path = scratch_path(spark, "lm-scores")
-    map_slices(source, make, _SCORED).write.parquet(path)
-    scored = spark.read.schema(_SCORED).parquet(path)
-    rare = scored.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.m")
-    # Words without a count are rare, too: each contributes as a word with count 0.
-    found = rare.join(counts, "word", "left")
-    c = F.coalesce("c", F.lit(0))
+    c = F.lit(None).cast("bigint").alias("c")
+    table = model.windows.select(F.col("window").alias("key"), "lp", c).union(model.counts.select("id", F.lit(None).cast("double"), "c"))
+    found = source.mapInArrow(run, _NEEDED).join(table, "key", "left")
+    # Words that no training row has contribute as words with count 0.
+    rare_base = F.when(F.col("rare") > 0, F.col("rare") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(model.n + model.v + 1)))).otherwise(0.0)
+    rare_known = F.when(F.col("c") > 0, F.col("rare")).otherwise(0)
     sums = found.groupBy("row").agg(
-        F.sum(F.col("m") * F.log10((c + 1) / F.lit(float(model.n + model.v + 1)))).alias("rare_base"),
-        F.sum(F.when(c > 0, F.col("m")).otherwise(0)).alias("rare_known"),
-    )
-    return scored.drop("rare").join(sums, "row", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(model.n).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
+        (F.max("n_known") + F.sum(rare_known)).alias("n_known"), (F.max("base_score") + F.sum(rare_base)).alias("base_score"),
+        F.sum(F.col("m") * F.coalesce("lp", F.lit(0.0))).alias("score"),
     )
+    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+_TYPES = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64())
 
 
 def score_corpus(docs: DataFrame, held_out: Callable[[], Column], key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fit on the rows that are not held out, score all rows."""
     held = F.coalesce(held_out(), F.lit(False))
-    model, counts = fit(docs.where(~held), text)
-    return score_documents(docs, model, counts, held, key, text)
+    return score_documents(docs, fit(docs, held, text), held, key, text)

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -437,6 +438,18 @@ def test_suffix_tree_is_a_distribution_and_beats_the_root():
         (k, k << 56 | int.from_bytes(a, "big") << 8 | b): m for (k, a, b), m in plain.items()}
 
 
+def test_language_model_knows_word_order_and_phrases(spark):
+    rng = np.random.default_rng(9)
+    lines = ["the quick brown fox jumps over the lazy dog", "seven wizards make toxic brew for the evil queen", "日本 の 言葉 は 長い"]
+    train = [" ".join(lines[k] for k in rng.integers(0, 3, 6)) for _ in range(60)]
+    texts = [" ".join(lines)] + [" ".join(rng.permutation(" ".join(lines).split())) for _ in range(10)]
+    rows = [(i, t) for i, t in enumerate(train + texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in lm_scoring.score_corpus(docs, lambda: F.col("doc_id") >= len(train)).collect()}
+    ordered, *shuffled = (got[len(train) + i] for i in range(len(texts)))
+    assert all(ordered["base_score"] == pytest.approx(r["base_score"]) and ordered["score"] > r["score"] + 5 for r in shuffled)
+
+
 def test_language_model_on_empty_input(spark, empty, odd):
     assert lm_scoring.score_corpus(empty, lambda: id_bucket(7) == 2).count() == 0
     rows = lm_scoring.score_corpus(odd, lambda: id_bucket(1) == 0).collect()  # nothing to learn from
