@@ -450,6 +450,55 @@ def test_language_model_knows_word_order_and_phrases(spark):
     assert all(ordered["base_score"] == pytest.approx(r["base_score"]) and ordered["score"] > r["score"] + 5 for r in shuffled)
 
 
+def test_language_model_matches_brute_force(spark, texts):
+    """Spelling as in the suffix tree in memory, contexts of words as in plain dictionaries; a
+    context is kept from two occurrences on, however small its share."""
+    rows = [(i, t) for i, t in list(texts.items())[:60]] + [(-1, "rare pair"), (-2, "rare pair rare pair"), (-3, "")]
+    held = {i for i, _ in rows[::5]}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score_corpus(docs, lambda: F.col("doc_id").isin(sorted(held))).collect()}
+    split = {i: [w.encode() for w in lower_words(t)] for i, t in rows}
+    c = Counter(w for i, d in split.items() if i not in held for w in d)
+    n_docs = len(rows) - len(held)
+    keys, weights = lm_scoring.context_keys(list(c), np.array(list(c.values())))
+    ends = [lm_scoring.END, 1 << 56 | lm_scoring.SPACE << 8 | lm_scoring.END]
+    tree = lm_scoring.SuffixTree(np.concatenate([keys, ends]), np.concatenate([weights, [n_docs, n_docs]]))
+    c[None] = n_docs
+    n, s = sum(c.values()), lm_scoring.SMOOTHING
+    grams = Counter()
+    for i, d in split.items():
+        if i not in held:
+            run = ["", "", *d, None]
+            grams.update((tuple(run[p - k : p]), run[p]) for p in range(2, len(run)) for k in (1, 2))
+    after = {}
+    for (ctx, w), m in grams.items():
+        after.setdefault(ctx, {})[w] = m
+
+    def spelt(w):
+        return tree.end() if w is None else tree.word(w)
+
+    def p(ctx, w):
+        if not ctx:
+            return (c[w] + s * 10 ** spelt(w)) / (n + s)
+        if ctx not in kept:
+            return p(ctx[1:], w)
+        return (after[ctx].get(w, 0) + s * p(ctx[1:], w)) / (sum(after[ctx].values()) + s)
+
+    kept = set()
+    for k in (1, 2):
+        for ctx in [x for x in after if len(x) == k]:
+            total = sum(after[ctx].values())
+            gain = sum(m * math.log(m / total / p(ctx[1:], w)) for w, m in after[ctx].items())
+            if total >= lm_scoring.MIN_COUNT and gain >= lm_scoring.MIN_GAIN:
+                kept.add(ctx)
+    assert any(len(x) == 2 for x in kept) and (b"rare",) in kept
+    for i, d in split.items():
+        run = ["", "", *d, None]
+        want = sum(math.log10(p(tuple(run[q - 2 : q]), run[q])) for q in range(2, len(run)))
+        # The tree in memory keeps contexts that were seen once; they may differ on unseen spellings.
+        assert got[i] == pytest.approx(want, rel=2e-3, abs=1e-6)
+
+
 def test_language_model_on_empty_input(spark, empty, odd):
     assert lm_scoring.score_corpus(empty, lambda: id_bucket(7) == 2).count() == 0
     rows = lm_scoring.score_corpus(odd, lambda: id_bucket(1) == 0).collect()  # nothing to learn from
