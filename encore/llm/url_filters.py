@@ -2,8 +2,8 @@
 
 A rule (``host/path``) fits its host and all subdomains where the url's path starts with
 the rule's path; the longest fitting rule decides. Urls that no rule fits follow their
-aliases: redirect (``meta refresh``) and canonical-link targets in the page, and the url
-without scheme, tracking parameters and fragment, are edges of a graph; a block of any
+aliases: redirect (``meta refresh``) and canonical-link targets in the page (relative ones
+resolved against the page's url or its ``base``), and the url without scheme, tracking parameters and fragment, are edges of a graph; a block of any
 member reaches the whole connected component, unless a member is explicitly allowed.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule and
@@ -29,6 +29,7 @@ _A, _Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid|sessionid)(=|$)"
 #: Targets of links that name the same page.
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+BASE = r"""(?is)<base\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?\s*[0-9.]*\s*[;,]?\s*url\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -66,15 +67,29 @@ def alias_key(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.concat(bare, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments."""
+    up = lambda done: F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+    step = lambda done, x: F.when(x == ".", done).when(x == "..", up(done)).otherwise(F.concat(done, F.array(x)))
+    return F.array_join(F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step), "/")
+
+
 def _target(link: Column, url: Column) -> Column:
-    """Absolute form of a link found on ``url``."""
+    """Absolute form of a link found on ``url``. A scheme counts at the start of the link only;
+    null for schemes without a host (``mailto:``)."""
     origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    folder = F.regexp_extract(F.concat(F.lit("/"), path_of(url)), r"(?s)^/(.*/|)", 1)
     link = F.regexp_replace(link, "&amp;", "&")
-    return (
-        F.when(F.contains(link, F.lit("://")), link)
+    whole = (
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
         .when(F.startswith(link, F.lit("//")), F.concat(F.lit("http:"), link))
         .when(F.startswith(link, F.lit("/")), F.concat(origin, link))
+        .when(F.startswith(link, F.lit("?")), F.concat(origin, path_of(url), link))
+        .when(F.startswith(link, F.lit("#")), F.concat(F.regexp_replace(url, "(?s)#.*", ""), link))
+        .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), link))
     )
+    return F.concat(F.regexp_extract(whole, r"(?s)^(.*?://[^/?#]*)", 1), _without_dots(path_of(whole)), F.regexp_extract(whole, r"(?s)^[^?#]*(.*)$", 1))
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -83,9 +98,11 @@ def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     links = F.concat(F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(1)), F.regexp_extract_all(html, F.lit(REFRESH), F.lit(1)))
     # The markers are looked for first: the patterns run on pages that have one.
     marked = pages.where(F.contains(F.lower(html), F.lit("canonical")) | F.contains(F.lower(html), F.lit("http-equiv")))
-    found = marked.select(F.col(url).alias("url"), F.explode(links).alias("link"))
+    base = F.regexp_extract(html, BASE, 1)
+    base = F.when(base != "", _target(base, F.col(url)))
+    found = marked.select(F.col(url).alias("url"), F.coalesce(base, F.col(url)).alias("base"), F.explode(links).alias("link"))
     return (
-        found.select(alias_key(F.col("url")).alias("a"), alias_key(_target(F.col("link"), F.col("url"))).alias("b"))
+        found.select(alias_key(F.col("url")).alias("a"), alias_key(_target(F.col("link"), F.col("base"))).alias("b"))
         .where("a is not null and b is not null and a <> b")
         .distinct()
     )

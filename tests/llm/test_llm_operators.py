@@ -343,6 +343,25 @@ def test_url_rules_and_aliases(spark):
     assert url_filters.judge_urls(df).count() == 18 and url_filters.judge_urls(df.where("false")).count() == 0
 
 
+def test_url_links_resolve_against_the_page(spark):
+    link, base = '<link rel="canonical" href="%s">', '<base href="%s">'
+    refresh = '<meta http-equiv="refresh" content="0; url=%s">'
+    at = "http://a.info/d/e/p.html?k=1"
+    cases = {
+        link % "page.html": "a.info/d/e/page.html", refresh % "next.html": "a.info/d/e/next.html", link % "?id=2": "a.info/d/e/p.html?id=2",
+        link % "./x/../y": "a.info/d/e/y", link % "../../../z": "a.info/z", link % "/login?next=http://bad.net/": "a.info/login?next=http://bad.net/",
+        link % "go?u=http://bad.net/": "a.info/d/e/go?u=http://bad.net/", link % "//b.org/q": "b.org/q", link % "HTTP://B.org/q/./r": "b.org/q/r",
+        link % "mailto:x@bad.net": None, link % "#top": None, base % "/new/" + link % "page": "a.info/new/page", base % "http://c.org/u/v" + link % "w": "c.org/u/w",
+    }
+    pages = [(f"{at}{i}", page) for i, page in enumerate(cases)]
+    got = url_filters.alias_edges(spark.createDataFrame(pages, "url string, html string")).collect()
+    want = {(f"a.info/d/e/p.html?k=1{i}", b) for i, b in enumerate(cases.values()) if b}
+    assert {(r["a"], r["b"]) for r in got} == want and len(got) == len(want)
+    rows = [(1, "http://w.info", refresh % "go.html"), (2, "http://bad.net/x", link % "http://w.info/go.html"), (3, "http://v.info/", link % "/login?next=http://bad.net/x")]
+    got = {r["page_id"]: r["verdict"] for r in url_filters.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow"}
+
+
 # -- 8 -------------------------------------------------------------------------------------
 
 
