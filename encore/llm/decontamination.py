@@ -12,7 +12,7 @@ fingerprinted. Words are compared without case and ASCII punctuation. Items and
 similarity 0.75 lie within the radius with a probability of about 0.99995.
 
 The items are the stated queries of this search: they are sent to the tasks in passes of at
-most ``ITEMS_PER_PASS``, each pass over all documents.
+most about ``ITEMS_PER_PASS``, each pass over all documents; only one pass's items are held at a time.
 
 Defined results: null or blank texts match nothing; an item with fewer words than a shingle
 is one shingle and is found only as a whole document of those words; a document shorter
@@ -23,15 +23,18 @@ results; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from encore.llm.common import fresh, map_slices, text_bytes
 from encore.llm.shingles import ALNUM, mix, shingles
+from encore.session import scratch_path
 
 THRESHOLD = 0.75
 RADIUS = 23
@@ -153,55 +156,71 @@ _FOUND = T.ArrayType(
 )
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", name: str = "found") -> DataFrame:
-    """``docs`` with the array column ``name`` of matching items. Map-only: the documents are
-    not shuffled; each pass over them has at most ITEMS_PER_PASS items."""
+def _found_in(docs: DataFrame, sent: Broadcast, text: str, name: str) -> DataFrame:
+    """``docs`` with the array column ``name`` of the matching items of one pass. Map-only."""
+    struct = pa.struct([("item_id", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("similarity", pa.float64()), ("distance", pa.int32())])
+
+    def make():
+        bench = sent.value
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets, _ = shingles(text_bytes(batch.column(text)), ALNUM)
+            cuts = np.cumsum([0, *map(len, sets)])
+            at = bench.held(np.concatenate(sets)) if sets and len(bench.ids) else np.zeros(0, dtype=np.int64)
+            owner = np.searchsorted(cuts, at, side="right") - 1
+            found: list[list] = [[] for _ in sets]
+            for d in np.unique(owner).tolist():
+                found[d] = [
+                    {"item_id": bench.ids[i], "first_word": a, "n_words": int(bench.words[i]), "similarity": s, "distance": h}
+                    for i, a, s, h in bench.search(sets[d], at[owner == d] - cuts[d])
+                ]
+            made = pa.array(found, type=pa.list_(struct))
+            return pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, name])
+
+        return step
+
+    return map_slices(docs, make, T.StructType([*docs.schema.fields, T.StructField(name, _FOUND)]))
+
+
+def _passed(docs: DataFrame, benchmark: DataFrame, text: str, item: str, name: str, kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``kept`` of the documents with their finds, over all items.
+
+    Up to ITEMS_PER_PASS items are one step of the caller's plan. More items are taken in
+    passes, one after the other: a pass writes its result to the checkpoint folder, and its
+    items and their broadcast are released before the next.
+    """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item).cast("bigint").alias("id"), F.col("text"))
     passes = max(1, -(-items.count() // ITEMS_PER_PASS) * 2 - 1)  # hashed parts vary in size
-    out = docs
-    row = [f"`{c}`" for c in docs.columns]
-    struct = pa.struct([("item_id", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("similarity", pa.float64()), ("distance", pa.int32())])
+    root = scratch_path(spark, "decontamination")
     for k in range(passes):
         part = items if passes == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == k)
         rows = part.collect()
         sent = spark.sparkContext.broadcast(Benchmark([r["id"] for r in rows], [(r["text"] or "").encode() for r in rows]))
-        column = name if k == 0 else f"{name}_{k}"
-
-        def make(sent=sent, column=column):
-            bench = sent.value
-
-            def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-                sets, _ = shingles(text_bytes(batch.column(text)), ALNUM)
-                cuts = np.cumsum([0, *map(len, sets)])
-                at = bench.held(np.concatenate(sets)) if sets and len(bench.ids) else np.zeros(0, dtype=np.int64)
-                owner = np.searchsorted(cuts, at, side="right") - 1
-                found: list[list] = [[] for _ in sets]
-                for d in np.unique(owner).tolist():
-                    found[d] = [
-                        {"item_id": bench.ids[i], "first_word": a, "n_words": int(bench.words[i]), "similarity": s, "distance": h}
-                        for i, a, s, h in bench.search(sets[d], at[owner == d] - cuts[d])
-                    ]
-                made = pa.array(found, type=pa.list_(struct))
-                return pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, column])
-
-            return step
-
-        out = map_slices(out, make, T.StructType([*out.schema.fields, T.StructField(column, _FOUND)]))
-    if passes > 1:
-        out = out.select(*row, F.concat(*[name if k == 0 else f"{name}_{k}" for k in range(passes)]).alias(name))
-    return out
+        out = kept(_found_in(docs, sent, text, name))
+        if passes == 1:
+            return out
+        out.write.parquet(f"{root}/{k}")
+        sent.destroy()
+    return spark.read.schema(out.schema).parquet(*[f"{root}/{k}" for k in range(passes)])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
     """One row per document and matching item: doc_id, item_id, the best window's first word
     and length, its similarity and its Hamming distance."""
     source = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    found = find(source, benchmark, "text", item)
-    return found.where(F.size("found") > 0).select("doc_id", F.inline("found"))
+    return _passed(
+        source, benchmark, "text", item, "found", lambda found: found.where(F.size("found") > 0).select("doc_id", F.inline("found"))
+    )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id") -> DataFrame:
     """The documents (all columns) that hold no benchmark item."""
     name = fresh(docs, "_found")
-    return find(docs, benchmark, text, item, name).where(F.size(name) == 0).drop(name)
+    if benchmark.count() <= ITEMS_PER_PASS:
+        return _passed(docs, benchmark, text, item, name, lambda found: found.where(F.size(name) == 0).drop(name))
+    # What a document holds depends on its text alone: passes write the digests of texts with finds.
+    digest = F.sha2(F.col(f"`{text}`").cast("binary"), 256)
+    source = docs.select(F.col(f"`{text}`").alias("text"))
+    leaks = _passed(source, benchmark, "text", item, "found", lambda found: found.where(F.size("found") > 0).select(F.sha2(F.col("text").cast("binary"), 256).alias(name)))
+    return docs.withColumn(name, digest).join(leaks, name, "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -404,6 +404,22 @@ def test_benchmark_in_several_passes(spark, monkeypatch):
     assert Counter(map(tuple, decontamination.matches(docs, items).collect())) == want
 
 
+def test_decontamination_passes_hold_one_part_of_the_items(spark, odd, monkeypatch):
+    docs = odd.unionByName(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text"), allowMissingColumns=True)
+    items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    want, kept = (Counter(map(tuple, f(docs, items).collect())) for f in (decontamination.matches, decontamination.clean))
+    made, released = [], []
+    broadcast, destroy = type(spark.sparkContext).broadcast, decontamination.Broadcast.destroy
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, x: made.append(len(made) - len(released)) or broadcast(self, x))
+    monkeypatch.setattr(decontamination.Broadcast, "destroy", lambda self, *a: released.append(1) or destroy(self, *a))
+    monkeypatch.setattr(decontamination, "ITEMS_PER_PASS", 15)
+    for f, rows in ((decontamination.matches, want), (decontamination.clean, kept)):
+        made.clear(), released.clear()
+        out = f(docs, items)
+        assert len(made) > 1 and not any(made)  # none is alive when the next is made
+        assert Counter(map(tuple, out.collect())) == rows and "MapInArrow" not in out._jdf.queryExecution().toString()
+
+
 def test_block_index_finds_all_within_the_radius():
     rng = np.random.default_rng(4)
     prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
