@@ -4,8 +4,9 @@ Large-star links every larger neighbour of a node to the smallest node around it
 small-star does the same for the node itself and its smaller neighbours. The edges keep
 the components and shrink to stars around each component's smallest node in a few rounds
 (logarithmically many in practice). Neighbour minima are partially aggregated before their
-shuffle, so a hub never gathers its neighbours in one place; the join of a hub's edges with
-its single minimum can be split by adaptive execution, as both sides come from exchanges.
+shuffle, so no aggregate gathers a hub's neighbours. The join of a hub's edges with its single
+minimum does: the minima are already dealt by node, with no exchange directly below the join,
+so adaptive execution cannot split it, and a hub's edges are read by one task.
 """
 
 from __future__ import annotations

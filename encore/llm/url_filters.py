@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import fresh
+from encore.llm.common import checkpointed, fresh
 from encore.llm.components import components
 
 # The rules of the query.
@@ -119,7 +119,8 @@ def judge_urls(
 
     Shuffles: the edges (pages with links only), and one partial aggregate of decisions per
     component, joined back by component. A component may hold a third of all pages: its
-    decisions are counted map-side, and the join back can be split by adaptive execution.
+    decisions are counted map-side and read back from the checkpoint folder, so that both sides
+    of the join come from exchanges and adaptive execution can split the component's pages.
     """
     packed = fresh(pages, "_page")
     rest = [c for c in pages.columns if c != html]
@@ -136,6 +137,8 @@ def judge_urls(
         .groupBy("component")
         .agg(F.max(F.col("own.verdict") == "allow").alias("allowed"), F.max(F.col("own.verdict") == "block").alias("blocked"))
     )
+    # An aggregate below the join would already be dealt by component, with no exchange to split.
+    decided = checkpointed(decided)
     spread = F.when(F.col("blocked") & ~F.col("allowed"), "block").otherwise("allow")
     out = base.join(decided, "component", "left")
     names = {"host", "path", "rule", "verdict", "component"}

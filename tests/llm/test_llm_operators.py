@@ -362,6 +362,29 @@ def test_url_links_resolve_against_the_page(spark):
     assert got == {1: "block", 2: "block", 3: "allow"}
 
 
+def test_url_component_of_many_pages_is_split(spark, tmp_path):
+    """One component holds almost all pages: its join back must not be one task."""
+    url = F.concat(F.lit("http://x.info/p?sessionid="), F.col("id").cast("string"))
+    pages = spark.range(60_000).select(F.col("id").alias("page_id"), url.alias("url"), F.lit(None).cast("string").alias("html"))
+    pages.union(spark.createDataFrame([(-1, "http://bad.net/a", '<link rel="canonical" href="http://x.info/p">')], pages.schema)).write.parquet(f"{tmp_path}/pages")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.files.maxPartitionBytes": "128k",
+        "spark.sql.files.openCostInBytes": "16k", "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = url_filters.judge_urls(spark.read.parquet(f"{tmp_path}/pages"))
+        rows = out.collect()
+        assert len(rows) == 60_001 and all(r["verdict"] == "block" for r in rows)
+        assert re.search(r"SortMergeJoin\(skew=true\) \[component", out._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 # -- 8 -------------------------------------------------------------------------------------
 
 
