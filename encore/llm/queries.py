@@ -17,6 +17,7 @@ from encore.llm import (
     quality_classifier,
     quality_rules,
     sentencepiece_codec,
+    token_alignment,
     token_shards,
     toxicity,
     url_filters,
@@ -91,6 +92,12 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_conversations(turns.unionByName(extra))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    aligned = token_alignment.align_documents(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return token_alignment.digests(aligned)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sentencepiece": op2_sentencepiece,
@@ -103,6 +110,7 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_license_scan": op10_license_scan,
     "op12_chat_format": op12_chat_format,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # The line rules in DuckDB, with the same parameters.
