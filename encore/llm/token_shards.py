@@ -9,34 +9,30 @@ unpacking all of them runs the planes backwards. A shard is one self-contained b
 lost executors and repeated tasks leave no half-written shards behind.
 
 Defined results: a null or empty text has no ids but its end id; repeated ids of documents
-each keep their own tokens; null ids of documents come first; documents of any length stay
+each keep their own tokens, in the order of a hash of their texts; null ids of documents come first; documents of any length stay
 whole in one shard; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from encore.llm.byte_bpe import encoder_for
 from encore.llm.common import sliced
+from encore.llm.parts import text_slices
 from encore.session import scratch_path
 
 SHARD_TOKENS = 1 << 20
 END_ID = 0
-CACHE_WORDS = 600_000
 _MAGIC = b"WVM1"
 _BLOCK = 64  # bytes of a plane between two rank samples
 
@@ -180,76 +176,6 @@ def read_shard(blob: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix
     return [i if k else None for i, k in zip(ids, known, strict=True)], np.frombuffer(sections[2], dtype="<i8"), matrix
 
 
-class WordEncoder:
-    """The library's encoder, with words kept between texts.
-
-    The byte-level pattern never joins text across a single space between two other
-    characters (the space begins the next token), so texts are cut there and pieces that
-    were seen before are not encoded again. Cuts next to other white space are not made.
-    """
-
-    _CUT = re.compile(r"(?<=\S) (?=\S)")
-    # Fixed value: the pre-tokenizer's pattern.
-    _PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
-    def __init__(self, path: str):
-        self.library = Tokenizer.from_file(path)
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        # Bytes that print stand for themselves, the others for code points from 256 on.
-        prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in prints]
-        self.spelled = {b: b for b in prints} | {b: 256 + k for k, b in enumerate(others)}
-
-    def _learn(self, known: dict[str, bytes], parts: list[str], space: str) -> None:
-        """Encodes new pieces from their pre-tokens: the byte-level pattern cuts a piece, and
-        the library's model encodes each run that was not seen yet, spelled as its vocabulary
-        spells bytes. (The library's whole pipeline takes twice the time for the same ids.)"""
-        runs, cut = self.runs, self._PATTERN.findall
-        split = [[space + p] if "<|" in p else cut(space + p) for p in parts]
-        if len(runs) > CACHE_WORDS:
-            self.older, self.runs = runs, {}
-            runs = self.runs
-        tokenize, spelled, older = self.library.model.tokenize, self.spelled, self.older
-        for run in {r for ps in split for r in ps if r not in runs}:
-            if (ids := older.get(run)) is None:
-                if "<|" in run:  # may hold a special token
-                    found = self.library.encode(run, add_special_tokens=False).ids
-                else:
-                    found = [t.id for t in tokenize(run.encode().decode("latin-1").translate(spelled))]
-                ids = array("I", found).tobytes()
-            runs[run] = ids
-        known.update(zip(parts, [b"".join([runs[r] for r in ps]) for ps in split], strict=True))
-
-    def _cut(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        # Exact unless a cut touches more white space; then only the single spaces count.
-        return parts if "" not in parts and list(map(str.strip, parts)) == parts else self._CUT.split(text)
-
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.first) + len(self.later) > CACHE_WORDS:
-            self.first.clear()
-            self.later.clear()
-        parts = [self._cut(t) for t in texts]
-        heads = [p.pop(0) for p in parts]
-        first, later = self.first, self.later
-        if new := [h for h in set(heads) if h not in first]:
-            self._learn(first, new, "")
-        found = [list(map(later.get, p)) for p in parts]
-        new = {w for p, f in zip(parts, found, strict=True) if None in f for w, x in zip(p, f, strict=True) if x is None}
-        if new:
-            self._learn(later, list(new), " ")
-            found = [list(map(later.get, p)) if None in f else f for p, f in zip(parts, found, strict=True)]
-        return [np.frombuffer(first[h] + b"".join(f), dtype="<u4") for h, f in zip(heads, found, strict=True)]
-
-
-@lru_cache(maxsize=1)
-def encoder_for(path: str) -> WordEncoder:
-    return WordEncoder(path)
-
-
 SHARD_SCHEMA = "part int, seq int, before bigint, n_docs bigint, n_tokens bigint, shard binary"
 _SHARD_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
@@ -268,33 +194,43 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, key: str = "do
         encoder = encoder_for(tokenizer_path)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         ids: list[int | None] = []
+        sizes: list[int] = []
         tokens: list[np.ndarray] = []
-        held = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal seq, before, held, ids, tokens
-            sizes = [len(t) for t in tokens]
+            nonlocal seq, before, ids, sizes, tokens
+            held = sum(sizes)
             row = [part, seq, before, len(ids), held, pack_shard(ids, sizes, np.concatenate(tokens))]
-            seq, before, held, ids, tokens = seq + 1, before + held, 0, [], []
+            seq, before, ids, sizes, tokens = seq + 1, before + held, [], [], []
             arrays = [pa.array([v], type=t) for v, t in zip(row, _SHARD_TYPES, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in SHARD_SCHEMA.split(", ")])
 
-        end = np.array([end_id], dtype="<u4")
-        for batch in sliced(batches):
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for i, t in zip(batch.column(0).to_pylist(), encoder.encode_all(texts), strict=True):
-                ids.append(i)
-                tokens.append(np.concatenate([t, end]))
-                held += len(t) + 1
+        for batch in text_slices(batches, 1):
+            found, each = encoder.encode(batch.column(1), end=end_id)
+            ends, at, held = np.cumsum(each), 0, sum(sizes)
+            while at < batch.num_rows:
+                # The documents up to the one that fills the shard.
+                base = int(ends[at - 1]) if at else 0
+                stop = min(int(np.searchsorted(ends, base + SHARD_TOKENS - held)) + 1, batch.num_rows)
+                ids += batch.column(0)[at:stop].to_pylist()
+                sizes += each[at:stop].tolist()
+                tokens.append(found[base : ends[stop - 1]])
+                held += int(ends[stop - 1]) - base
                 if held >= SHARD_TOKENS:
                     yield flush()
+                    held = 0
+                at = stop
         if ids:
             yield flush()
 
+    # Rows with one id may be many: the hash of the text deals them out and orders them.
+    keys = [F.col("doc_id").asc_nulls_first(), F.col("mixed").asc()]
     ordered = (
         docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-        .repartitionByRange(ranges, F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+        .withColumn("mixed", F.xxhash64("text"))
+        .repartitionByRange(ranges, *keys)
+        .sortWithinPartitions(*keys, "text")
+        .select("doc_id", "text")
     )
     # The sections are compressed already.
     ordered.mapInArrow(run, SHARD_SCHEMA).write.option("compression", "uncompressed").parquet(path)

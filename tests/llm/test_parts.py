@@ -42,14 +42,17 @@ def test_ids_are_the_library_s(plain):
     library.encode_special_tokens = plain
     texts = hard_texts()
     encoder = ByteEncoder(path, plain)
-    encoder.later.limit = 40  # generations change
+    encoder.runs.limit = 40  # generations change
     for at in range(0, len(texts), 50):
         some = texts[at : at + 50]
-        ids, sizes = encoder.encode(pa.array(some, pa.string()), 7)
+        ids, sizes = encoder.encode(pa.array(some, pa.string()), end=7)
         ends = np.cumsum(sizes)
         for k, t in enumerate(some):
             assert ids[ends[k] - sizes[k] : ends[k]].tolist() == [*library.encode(t or "", add_special_tokens=False).ids, 7]
     assert encoder.encode(pa.array([], pa.string()))[0].tolist() == []
+    ids, sizes = encoder.encode(pa.array(texts, pa.string()), lead=" ")
+    assert np.split(ids, np.cumsum(sizes)[:-1])[7].tolist() == library.encode(" " + texts[7], add_special_tokens=False).ids
+    assert ids.tolist() == [i for t in texts for i in library.encode(" " + (t or ""), add_special_tokens=False).ids]
     vocabulary = encoder.vocabulary()
     for t in texts[3:60]:
         assert b"".join(vocabulary[i] for i in library.encode(t or "", add_special_tokens=False).ids) == (t or "").encode()
