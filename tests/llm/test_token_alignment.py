@@ -5,6 +5,7 @@ import json
 from collections import Counter
 from itertools import accumulate
 
+import numpy as np
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -73,13 +74,17 @@ def test_very_long_text_and_empty_table(spark):
     assert row.groups.count(";") + 1 == row.n_groups == row.n_links and row.n_a > 120_000
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert token_alignment.align_documents(empty, A, B).collect() == []
-    assert token_alignment.pair_counts(empty, A, B).collect() == []
+    assert token_alignment.pair_counts(token_alignment.encode_tokens(empty, A, B), A, B).collect() == []
 
 
-def test_groups_of_tokens_without_bytes():
-    found = token_alignment.groups_of([1, 2, 3], [2, 2, 5], [7, 8], [2, 5])
-    assert found == [([1, 2], [7], [(1, 7), (2, 7)]), ([3], [8], [(3, 8)])]
-    assert token_alignment.groups_of([1], [3], [2, 3], [1, 3]) == [([1], [2, 3], [(1, 3)])]
+def test_aligned_and_written():
+    common, i, j = token_alignment.aligned(np.array([1, 2, 3, 2]), np.array([3, 1, 2, 2]))
+    assert common.tolist() == [3, 6, 8] and i.tolist() == [1, 2, 3] and j.tolist() == [0, 2, 3]
+    ids = [np.array([5, 10, 0, 44]), np.array([7, 99, 100, 3])]
+    found = token_alignment.written(ids, [i, j], [np.array([0, 3, 0, 1, 0]), np.array([0, 3, 0, 1, 0])])
+    assert found.to_pylist() == ["", "5,10|7;0|99,100", "", "44|3", ""]
+    none = np.zeros(0, dtype=np.int64)
+    assert token_alignment.written([none, none], [none, none], [np.array([0]), np.array([0])]).to_pylist() == [""]
 
 
 def test_query(spark):
