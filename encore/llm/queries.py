@@ -14,6 +14,7 @@ from encore.llm import (
     license_scan,
     lm_scoring,
     near_dedup,
+    phrase_mining,
     quality_classifier,
     quality_rules,
     sentencepiece_codec,
@@ -82,6 +83,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(table(spark, sf_dir, "documents")).drop("finds")
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.mine(table(spark, sf_dir, "documents"))
+
+
 #: A conversation whose texts try to close and open turns.
 FORGED = r"\### Assistant: </turn> ok"
 
@@ -109,6 +114,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_license_scan": op10_license_scan,
+    "op11_phrase_mining": op11_phrase_mining,
     "op12_chat_format": op12_chat_format,
     "op13_token_alignment": op13_token_alignment,
 }
@@ -155,6 +161,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(c.n, 0)::BI
 FROM base LEFT JOIN covered c USING (r) LEFT JOIN lines k USING (r)
 """
 
+_P = phrase_mining
+OP11_SQL = rf"""
+WITH t AS (SELECT coalesce(lang, '{_P.NO_LANG}') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+    FROM (SELECT lang, unnest(string_split_regex(x, '[.,;:!?\x0A-\x0D]')) AS piece FROM t)),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p, (SELECT unnest(range(1, {_P.MAX_WORDS} + 1)) AS k))),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= {_P.MIN_WORDS} AND f >= {_P.MIN_COUNT}),
+inner_ AS (SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+    FROM (SELECT lang, a, ws, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest(range({_P.MIN_WORDS}, {_P.MAX_WORDS})) AS m) WHERE m < k)),
+around AS (SELECT lang, phrase, max(a) AS longer FROM inner_ GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < {_P.ABSORBED_PCT} * a),
+cut AS (SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS x, array_to_string(ws[j + 1:], ' ') AS y
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM kept)),
+scored AS (SELECT cut.lang, cut.phrase, a, j, x.f AS l, y.f AS r, ({_P.SCALE}::HUGEINT * a) // (x.f + y.f) AS score
+    FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.x JOIN f y ON y.lang = cut.lang AND y.phrase = cut.y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= {_P.TOP}
+"""
+
 OP12_SQL = rf"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL VALUES (-7, 0, 'user', '{FORGED}'), (-7, 1, 'assistant', '{FORGED}')),
@@ -170,4 +201,4 @@ SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(told) AS turns_sha256, length
     sha256(loss) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars FROM l
 """
 
-ORACLES = {"op1_quality_rules": OP1_SQL, "op12_chat_format": OP12_SQL}
+ORACLES = {"op1_quality_rules": OP1_SQL, "op11_phrase_mining": OP11_SQL, "op12_chat_format": OP12_SQL}
