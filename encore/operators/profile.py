@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.operators.gram import pair_statistics
 from encore.operators.ordering import running_sums
 
 DEFAULT_PROBS = (0.0, 0.25, 0.5, 0.75, 1.0)
@@ -186,23 +186,16 @@ def approx_quantiles_checked(
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair, ``(feature_x, feature_y, r)``.
 
-    One aggregate pass computes all pair statistics. ``r`` is the sample
-    covariance over the product of sample deviations, with a null where a
-    column is constant (plain ``corr`` fails there under ANSI mode). The
-    number of aggregates grows with the square of the column count; for
-    hundreds of columns use :func:`correlation_matrix`.
+    One scan through :func:`encore.operators.gram.pair_statistics`; the plan is the same for
+    any number of columns. A pair is correlated over the rows that hold both values; ``r`` is
+    null where a column is constant there and NaN where a value is not finite.
     """
-    pairs = list(combinations(columns, 2))
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        # Both deviations over the rows where both values are present, as the covariance.
-        sx, sy = F.stddev_samp(F.when(y.isNotNull(), x)), F.stddev_samp(F.when(x.isNotNull(), y))
-        aggs.append(F.try_divide(F.covar_samp(x, y), sx * sy).alias(f"r{i}"))
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(f"r{i}").alias("r"))
-               for i, (a, b) in enumerate(pairs)]
-    return wide.select(_rows(*structs).alias("s")).select("s.*")
+    pairs = pair_statistics(df, columns).where("x < y")
+    r = F.col("co") / F.sqrt(F.col("ss_x")) / F.sqrt(F.col("ss_y"))
+    r = F.when((F.col("ss_x") > 0) & (F.col("ss_y") > 0), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
+    r = F.when(F.col("odd") > 0, F.lit(float("nan"))).otherwise(r)
+    names = F.array(*[F.lit(c) for c in columns])
+    return pairs.select(F.get(names, F.col("x")).alias("feature_x"), F.get(names, F.col("y")).alias("feature_y"), r.alias("r"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.functions import columns as C
-from encore.operators import activity, evaluate, indexing, joins, models, physical, profile, ranking, sampling
+from encore.operators import activity, certify, evaluate, indexing, joins, models, physical, profile, ranking, sampling, sketches
 from encore.operators import features as feat
 from encore.plans import roles
 from encore.session import scratch_path
@@ -179,22 +179,13 @@ def schema_from_attributes(spark, sf_dir):
     return attrs.read_feature_set(spark, f"{root}/attributes", f"{root}/features")
 
 
-# Attribute type of a column: whole and decimal numbers, floating numbers, anything else.
-_ATTRIBUTE_OF = {"tinyint": "NUMERIC", "smallint": "NUMERIC", "int": "NUMERIC", "bigint": "NUMERIC",
-                 "float": "real", "double": "real"}
-
-
 @query
 def attribute_types(spark, sf_dir):
-    """One attribute file per given table, a row for each of its columns; read back and counted."""
-    root = scratch_path(spark, "attributes")
-    paths = []
-    for name in DRIVER_TABLES:
-        rows = [(c, "NUMERIC" if t.startswith("decimal") else _ATTRIBUTE_OF.get(t, "string"))
-                for c, t in roles.table(spark, sf_dir, name).dtypes]
-        paths.append(f"{root}/{name}")
-        spark.createDataFrame(rows, attrs.ATTRIBUTE_SCHEMA).coalesce(1).write.csv(paths[-1])
-    return attrs.attribute_types(attrs.read_attributes(spark, paths))
+    """Every column of the given tables typed by its values; the attribute rows written, read back and counted."""
+    found = _stacked([attrs.column_types(roles.table(spark, sf_dir, name)) for name in DRIVER_TABLES])
+    path = scratch_path(spark, "attributes")
+    found.write.csv(path)
+    return attrs.attribute_types(attrs.read_attributes(spark, path))
 
 
 @query
@@ -203,15 +194,29 @@ def spread_scan(spark, sf_dir):
     return physical.spread(scan_delimited(spark, sf_dir), "user_id")
 
 
+POPULARITY = "song_id bigint, user_count bigint, sum_play_count bigint"
+
+
+def _ordered_popularity(spark, sf_dir):
+    path = scratch_path(spark, "popularity-csv")
+    popularity = activity.item_popularity(_without_blocked(spark, sf_dir))
+    manifest = physical.materialize(delimited.write_ordered(popularity, path, [F.col("user_count").desc(), "song_id"]), "manifest")
+    return manifest, delimited.read_ordered(spark, path, manifest, POPULARITY)
+
+
+@query
+def ordered_export(spark, sf_dir):
+    """The item popularity written in order by many tasks; read back with each row's place in the whole."""
+    return _ordered_popularity(spark, sf_dir)[1]
+
+
 @query
 def single_file_report(spark, sf_dir):
-    """The item popularity written as one file; read back, one row per file with its items and sums."""
-    path = scratch_path(spark, "popularity-csv")
-    delimited.write_delimited(activity.item_popularity(_without_blocked(spark, sf_dir)), path, single_file=True)
-    back = delimited.read_delimited(spark, path, "song_id bigint, user_count bigint, sum_play_count bigint")
-    per_file = back.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.count(F.lit(1)).alias("n_items"), F.sum("user_count").alias("user_count"), F.sum("sum_play_count").alias("play_count"))
-    return per_file.drop("file")
+    """What one file of the ordered item popularity would hold: the manifest's rows, the last place, and the sums of the rows read back."""
+    manifest, rows = _ordered_popularity(spark, sf_dir)
+    sums = rows.agg(F.max("row_no").alias("last_row"), F.sum("user_count").alias("user_count"), F.sum("sum_play_count").alias("play_count"))
+    # One row each.
+    return manifest.agg(F.sum("n_rows").alias("n_items")).join(sums, F.col("n_items") == F.col("last_row")).drop("last_row")
 
 
 @query
@@ -358,6 +363,25 @@ def correlated_pairs(spark, sf_dir):
     return profile.correlated_pairs(_corr(spark, sf_dir), 0.9)
 
 
+@query
+def correlation_features(spark, sf_dir):
+    """All pairs of all features, from one scan."""
+    r = profile.correlation(roles.features(spark, sf_dir), FEATURES)
+    return r.select("feature_x", "feature_y", F.round("r", STAT_DIGITS).alias("r"))
+
+
+@query
+def quantile_sketches(spark, sf_dir):
+    """Event values sketched by type and day, the stored sketches merged by type, and the
+    ranks of the merged quantiles counted among the rows."""
+    events = roles.table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    stored = sketches.stored_sketches(events, "value", ["event_type", "day"], scratch_path(spark, "sketches"))
+    merged = sketches.merged_quantiles(stored, profile.DEFAULT_PROBS, ["event_type"])
+    days = stored.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_sketches"))
+    checked = sketches.rank_bounds(events, "value", merged, "event_type")
+    return checked.join(days, "event_type").select("event_type", "prob", "n", "n_sketches", "within_bound")
+
+
 # --- splits, sampling, indexing ----------------------------------------------------
 
 
@@ -667,6 +691,29 @@ def cv_forest(spark, sf_dir):
     return _cv(rf, g, models.binary_evaluator(), spark, sf_dir)
 
 
+def _judged(name, certificate):
+    return certificate.groupBy().agg(
+        F.lit(name).alias("model"), F.max("n").alias("n_rows"), F.count(F.lit(1)).alias("n_coefficients"), F.count_if("violated").alias("violated"))
+
+
+@query
+def logistic_certificate(spark, sf_dir):
+    """Optimality of the fitted logistic models (plain, elastic net, multinomial) over their training rows."""
+    train = physical.materialize(_binary_sets(spark, sf_dir)[0], "model-set")
+    many = physical.materialize(_multiclass_sets(spark, sf_dir)[0], "model-set")
+    fits = [("plain", models.logistic(), train), ("elastic_net", models.logistic(regParam=0.01, elasticNetParam=0.5), train),
+            ("multinomial", models.logistic(family="multinomial"), many)]
+    return _stacked([_judged(name, certify.logistic_certificate(models.fit(est, rows), rows)) for name, est, rows in fits])
+
+
+@query
+def pca_certificate(spark, sf_dir):
+    """The components of ``pca_project`` against a covariance aggregated by itself."""
+    df = roles.features(spark, sf_dir)
+    _, scaler, pca = feat.feature_pipeline(FEATURES, k=PCA_K).fit(df).stages
+    return certify.pca_certificate(df, FEATURES, scaler.std.toArray(), pca.pc.toArray(), pca.explainedVariance.toArray())
+
+
 def _multiclass_sets(spark, sf_dir):
     df = _features_labels(spark, sf_dir)
     labels = indexing.index_values(df, "genre", "index")
@@ -728,6 +775,15 @@ def als_predict(spark, sf_dir):
     return pred.select("user_id", "song_id", "plays", "user_index", "item_index", "prediction")
 
 
+@query
+def als_certificate(spark, sf_dir):
+    """The users' normal equations of the fitted factors over the training rows."""
+    train, _ = _als_sets(spark, sf_dir)
+    est = models.als("user_index", "item_index", "plays", blocks=max(10, physical.default_parallelism(spark)))
+    judged = certify.als_certificate(est.fit(train), train, "user_index", "item_index", "plays", est.getRegParam())
+    return judged.agg(F.count(F.lit(1)).alias("n_users"), F.sum("n").alias("n_rows"), F.count_if("violated").alias("violated"))
+
+
 @query
 def als_ranking(spark, sf_dir):
     """Re-ranked hold-out: each user's test items ordered by the model score,

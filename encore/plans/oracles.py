@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from encore.functions.columns import HASH_RANGE
 from encore.plans.roles import MIN_ITEMS_PER_USER, MIN_PLAYS_PER_ITEM, N_FEATURES, TABLE_NAMES
+from encore.sources.attributes import NUMBER, WHOLE, WIDTHS
 
 # Shared fragments --------------------------------------------------------
 
@@ -129,6 +130,15 @@ SCANNED = """
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
+# The widest value of each column (see ``sources.attributes``).
+_TYPE_NAMES = str(list(WIDTHS))
+_WIDTHS_SQL = " UNION ALL ".join(
+    f"""SELECT name, width FROM (UNPIVOT (SELECT MAX(CASE WHEN COLUMNS(*) IS NULL THEN 0
+            WHEN regexp_matches(CAST(COLUMNS(*) AS VARCHAR), '{WHOLE}') THEN 1
+            WHEN regexp_matches(CAST(COLUMNS(*) AS VARCHAR), '{NUMBER}') THEN 2 ELSE 3 END) FROM {t}) ON COLUMNS(*) INTO NAME name VALUE width)"""
+    for t in TABLE_NAMES
+)
+
 ORACLES.update({
     "parse_log": f"SELECT {PARSED_FIELDS} FROM part WHERE p_type = 'PROMO' AND p_size <> 50",
     "parse_accepted_log": f"SELECT {PARSED_FIELDS} FROM part WHERE p_type = 'PROMO' AND p_size <= 10 AND p_size <> 1",
@@ -143,11 +153,13 @@ ORACLES.update({
         SELECT COUNT(DISTINCT song_id) AS n_items, COUNT(user_id) AS user_count, CAST(SUM(plays) AS BIGINT) AS play_count
         FROM ({WITHOUT_BLOCKED})
     """,
+    "ordered_export": f"""
+        SELECT *, row_number() OVER (ORDER BY user_count DESC, song_id) AS row_no
+        FROM (SELECT song_id, COUNT(user_id) AS user_count, CAST(SUM(plays) AS BIGINT) AS sum_play_count FROM ({WITHOUT_BLOCKED}) GROUP BY song_id)
+    """,
     "schema_from_attributes": f"SELECT {FEATURE_COLS}, CAST(vec_id AS VARCHAR) AS TRACK_ID FROM embeddings",
     "attribute_types": f"""
-        SELECT CASE WHEN data_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT') OR data_type LIKE 'DECIMAL%' THEN 'NUMERIC'
-                    WHEN data_type IN ('FLOAT', 'DOUBLE') THEN 'real' ELSE 'string' END AS type, COUNT(*) AS n_attributes
-        FROM information_schema.columns WHERE table_name IN ({", ".join(f"'{t}'" for t in TABLE_NAMES)}) GROUP BY 1
+        SELECT {_TYPE_NAMES}[width + 1] AS type, COUNT(*) AS n_attributes FROM ({_WIDTHS_SQL}) GROUP BY 1
     """,
     "log_line_counts": """
         SELECT 'errors' AS log, COUNT(*) AS n_lines FROM part
@@ -200,6 +212,16 @@ ORACLES.update({
         for m, src, c in MEASURES for p in PROBS
     ),
     "correlation_pairs": CORR,
+    "correlation_features": f"""
+        WITH v AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS x FROM embeddings, (SELECT unnest(range({N_FEATURES})) AS i))
+        SELECT 'f' || a.i AS feature_x, 'f' || b.i AS feature_y, ROUND(corr(a.x, b.x), 9) AS r
+        FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i
+    """,
+    "quantile_sketches": f"""
+        SELECT event_type, prob, n, n_sketches, TRUE AS within_bound
+        FROM (SELECT event_type, COUNT(value) AS n, COUNT(DISTINCT CAST(ts AS DATE)) FILTER (value IS NOT NULL) AS n_sketches FROM events GROUP BY event_type),
+             (SELECT CAST(unnest({list(PROBS)}) AS DOUBLE) AS prob)
+    """,
     "correlated_pairs": f"SELECT * FROM ({CORR}) WHERE r > 0.9",
 })
 
@@ -311,13 +333,14 @@ ORACLES.update({
         SELECT user_id, string_agg(CAST(song_id AS VARCHAR), ',' ORDER BY position) AS items
         FROM ({REC}) GROUP BY user_id
     """,
+    # Both lists come from the same pairs, so each pair's two ranks stand in one row.
     "ranked_pairs": f"""
-        WITH rec AS MATERIALIZED ({REC}), rel AS MATERIALIZED ({REL}),
-        both_lists AS (SELECT user_id FROM rec INTERSECT SELECT user_id FROM rel),
-        j AS (SELECT COALESCE(rec.user_id, rel.user_id) AS user_id, COALESCE(rec.song_id, rel.song_id) AS song_id,
-                     rec.position, rel."rank"
-              FROM rec FULL OUTER JOIN rel ON rec.user_id = rel.user_id AND rec.song_id = rel.song_id)
-        SELECT j.* FROM j JOIN both_lists USING (user_id)
+        SELECT user_id, song_id, CASE WHEN position <= 10 THEN position END AS position, CASE WHEN "rank" <= 10 THEN "rank" END AS "rank"
+        FROM (SELECT user_id, song_id,
+                     CAST(row_number() OVER (PARTITION BY user_id ORDER BY prediction DESC, song_id) AS INTEGER) AS position,
+                     CAST(rank() OVER (PARTITION BY user_id ORDER BY plays DESC) AS INTEGER) AS "rank"
+              FROM ({PAIRS}))
+        WHERE position <= 10 OR "rank" <= 10
     """,
     "predictions_sorted": f"SELECT * FROM ({PAIRS}) ORDER BY user_id, song_id, prediction DESC",
     "ranking_metrics": METRICS,
@@ -386,3 +409,28 @@ ORACLES.update({
         f"ROUND(f{i} / STDDEV_SAMP(f{i}) OVER (), 9) AS s{i}" for i in range(N_FEATURES)
     ) + f" FROM (SELECT {FEATURE_COLS}, vec_id AS track_id FROM embeddings)",
 })
+
+
+# --- certificates of fitted models: the rows they cover, and no violation --------------------------
+
+ORACLES.update({
+    "logistic_certificate": f"""
+        WITH sampled AS (SELECT COUNT(*) AS n FROM ({BINARY}) WHERE {IN_TRAIN} AND {IN_SAMPLE}),
+        trained AS (SELECT COUNT(*) AS n FROM ({BINARY}) WHERE {IN_TRAIN}),
+        classes AS (SELECT COUNT(DISTINCT genre) AS c FROM ({BINARY}) WHERE genre IS NOT NULL)
+        SELECT model, n AS n_rows, CAST(6 AS BIGINT) AS n_coefficients, CAST(0 AS BIGINT) AS violated
+        FROM sampled, (SELECT unnest(['plain', 'elastic_net']) AS model)
+        UNION ALL SELECT 'multinomial', n, 6 * c, 0 FROM trained, classes
+    """,
+    "pca_certificate": f"""
+        WITH v AS (SELECT i, CAST(embedding[i + 1] AS DOUBLE) AS x FROM embeddings, (SELECT unnest(range({N_FEATURES})) AS i)),
+        s AS (SELECT i, x, stddev_samp(x) OVER (PARTITION BY i) AS sd FROM v),
+        c AS (SELECT i, var_samp(x / sd) AS spread FROM s WHERE sd > 0 GROUP BY i)
+        SELECT (SELECT COUNT(*) FROM embeddings) AS n, 5 AS components, ROUND(SUM(spread), 6) AS total_variance,
+               0 AS not_eigen, 0 AS not_orthonormal, 0 AS not_leading FROM c
+    """,
+    "als_certificate": f"""
+        SELECT COUNT(DISTINCT user_id) AS n_users, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS violated
+        FROM ({KEYED_CLEAN}) WHERE {bucket('row_key')} < {share(0.7)}
+    """,
+})

@@ -126,6 +126,9 @@ def accepted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``f0 .. f63`` doubles and ``track_id`` (last, as in the feature files)."""
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    # A wider vector would lose values unnoticed: that is an error.
+    wide = F.raise_error(F.lit(f"an embedding has more than {N_FEATURES} values")).cast("array<float>")
+    emb = emb.withColumn("embedding", F.when(F.size("embedding") > N_FEATURES, wide).otherwise(F.col("embedding")))
     return emb.select(
         *[F.get(F.col("embedding"), i).cast("double").alias(f"f{i}") for i in range(N_FEATURES)],
         F.col("vec_id").alias("track_id"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,6 +90,38 @@ def read_feature_sets(
     }
 
 
+# Text forms of whole and of other numbers.
+WHOLE, NUMBER = r"^[+-]?[0-9]+$", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+#: The attribute type of a column, by the widest value in it: none, whole, other number, text.
+WIDTHS = ("empty", "NUMERIC", "real", "string")
+
+
+def _width(df: DataFrame, column: str) -> Column:
+    """The place in ``WIDTHS`` of the text form of one value."""
+    x, kind = F.col(f"`{column}`"), df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        width = F.lit(1)
+    elif isinstance(kind, T.StringType):
+        width = F.when(x.rlike(WHOLE), 1).when(x.rlike(NUMBER), 2).otherwise(3)
+    elif isinstance(kind, (T.FractionalType, T.DecimalType)):
+        # Their text has a point or an exponent, but for values that are no numbers.
+        width = F.when(x.cast("string").rlike(NUMBER), 2).otherwise(3)
+        if isinstance(kind, T.DecimalType) and kind.scale == 0:
+            width = F.lit(1)
+    else:
+        width = F.lit(3)
+    return F.when(x.isNull(), 0).otherwise(width)
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """``(name, type)`` of every column, found in its values: one partially aggregated scan
+    for the widest value of each. Text that spells numbers counts as numbers."""
+    widest = df.agg(*[F.coalesce(F.max(_width(df, c)), F.lit(0)).alias(f"w{i}") for i, c in enumerate(df.columns)])
+    types = F.array(*[F.lit(t) for t in WIDTHS])
+    cells = [F.struct(F.lit(c).alias("name"), F.get(types, F.col(f"w{i}")).alias("type")) for i, c in enumerate(df.columns)]
+    return widest.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+
 def attribute_types(attributes: DataFrame) -> DataFrame:
     """Distinct type names (case kept) with the number of attributes of each."""
     return attributes.groupBy("type").agg(F.count(F.lit(1)).alias("n_attributes"))

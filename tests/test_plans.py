@@ -41,12 +41,14 @@ def test_pushed_filter_reaches_parquet(spark):
     assert "PushedFilters: [IsNotNull(p_type), EqualTo(p_type,PROMO)]" in plan
 
 
-def test_profile_and_correlation_are_single_aggregates(spark):
+def test_profile_is_one_aggregate_and_correlation_one_scan(spark):
     df = roles.features(spark, SF_SMALL)
     cols = [f"f{i}" for i in range(roles.N_FEATURES)]
-    for out in (profile.profile(df, cols), profile.correlation(df, cols)):
-        plan = _plan(out)
-        assert len(re.findall(r"HashAggregate|ObjectHashAggregate|SortAggregate", plan)) <= 2, plan
+    plan = _plan(profile.profile(df, cols))
+    assert len(re.findall(r"HashAggregate|ObjectHashAggregate|SortAggregate", plan)) <= 2, plan
+    few, all_ = _plan(profile.correlation(df, cols[:8])), _plan(profile.correlation(df, cols))
+    operators = [re.findall(r"[+:-] ?[*]?(?:\(\d+\) )?(\w+)", p) for p in (few, all_)]
+    assert operators[0] == operators[1] and all_.count("FileScan") == 1
 
 
 def test_activity_aggregates_partially_before_exchange(spark):
