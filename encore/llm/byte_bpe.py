@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-from encore.llm.parts import Memory, gather
+from encore.llm.parts import CACHE_PARTS, Memory, gather
 
 # The pre-tokenizer's pattern, and its spelling of bytes: those that print
 # stand for themselves, the others for code points from 256 on.
@@ -38,13 +38,14 @@ _MARK = "\x00"  # not a usual character
 
 
 class ByteEncoder:
-    """Encoder of one tokenizer file. ``plain`` makes special tokens' strings ordinary text."""
+    """Encoder of one tokenizer file. ``plain`` makes special tokens' strings ordinary text;
+    ``kept`` is how many runs a generation of its memory holds."""
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str, plain: bool = False, kept: int = CACHE_PARTS):
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = plain
         self.path, self.plain = path, plain
-        self.runs = Memory(self._learn)
+        self.runs = Memory(self._learn, kept)
         self.apart = rf"[^{_USUAL}]|[{_BLANK}][{_BLANK}]" + ("" if plain else r"|<\|")
 
     def _learn(self, runs: list[str]) -> list[bytes]:
@@ -99,6 +100,6 @@ class ByteEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder_for(path: str, plain: bool = False) -> ByteEncoder:
+def encoder_for(path: str, plain: bool = False, kept: int = CACHE_PARTS) -> ByteEncoder:
     """The worker's encoder; a worker process serves many tasks and keeps what it has learned."""
-    return ByteEncoder(path, plain)
+    return ByteEncoder(path, plain, kept)

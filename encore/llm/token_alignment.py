@@ -38,14 +38,16 @@ from encore.session import scratch_path
 
 SPACE = "▁"
 #: Distinct pairs held by a counting task before they are merged, and bytes of ids aligned together.
-_HELD_PAIRS, _ID_BYTES = 2_000_000, 4 << 20
+_HELD_PAIRS, _ID_BYTES = 1_000_000, 2 << 20
+#: Bytes of text encoded together, and runs and parts kept per generation of the two memories.
+_TEXT_BYTES, _KEPT = 4 << 20, 150_000
 
 
 class Encoders:
     """A byte-level BPE file (a) and a SentencePiece model file (b), and the bytes of their tokens."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.a = encoder_for(a_path, True)
+        self.a = encoder_for(a_path, True, _KEPT)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
@@ -56,7 +58,7 @@ class Encoders:
             raise ValueError("pieces that hold a space mark behind other text cannot be encoded by parts")
         if not {bytes([x]) for x in range(256)}.issubset(a_bytes) or min(self.a_size.min(), self.b_size.min()) < 1:
             raise ValueError("the first vocabulary must spell every byte, and every token must have bytes")
-        self.parts = Memory(self._learn)
+        self.parts = Memory(self._learn, _KEPT)
 
     def _learn(self, parts: list[str]) -> list[bytes]:
         """Packed ids of b, none for a part that they do not give back."""
@@ -99,7 +101,7 @@ def encode_tokens(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = encoders_for(a_path, b_path)
-        for batch in text_slices(batches, 1):
+        for batch in text_slices(batches, 1, _TEXT_BYTES):
             columns = [_lists(*found) for found in encoders.encode(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "a", "b"])
 
