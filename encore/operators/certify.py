@@ -21,6 +21,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.operators.batched import Tuned
 from encore.operators.gram import pair_statistics
 
 
@@ -29,12 +30,16 @@ def gradient(model: LogisticRegressionModel, train: DataFrame) -> DataFrame:
     the rows for every coefficient (the last position is the intercept), and each feature's
     mean and sample variance. Tasks multiply batches of residuals with features and send
     one row per coefficient."""
-    classes = model.numClasses
     scored = model.transform(train).select(
         vector_to_array(model.getFeaturesCol()).alias("x"), vector_to_array(model.getProbabilityCol()).alias("p"),
         F.col(model.getLabelCol()).cast("int").alias("y"),
     )
-    width = model.numFeatures + 1
+    return _gradient(scored, model.numClasses, model.numFeatures)
+
+
+def _gradient(scored: DataFrame, classes: int, features: int) -> DataFrame:
+    """The same from (x, p, y): features and class probabilities as arrays, and the class."""
+    width = features + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, mean, ss, g = 0, np.zeros(width), np.zeros(width), np.zeros((classes, width))
@@ -74,21 +79,39 @@ def logistic_certificate(model: LogisticRegressionModel, train: DataFrame, toler
     """``(class, position, n, coefficient, gap, violated)``: by how much each coefficient fails
     the optimality conditions of the elastic-net objective, in units of the standardised
     features (as the fit penalises them). A binary model is judged by its class 1."""
-    reg, alpha, std = model.getRegParam(), model.getElasticNetParam(), model.getStandardization()
     matrix, intercept = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    penalty = model.getRegParam(), model.getElasticNetParam(), model.getStandardization()
+    return _conditions(gradient(model, train), matrix, intercept, *penalty, tolerance)
+
+
+def tuned_certificate(tuned: Tuned, train: DataFrame, features: str = "features", label: str = "label", tolerance: float = 1e-6) -> DataFrame:
+    """The same for the chosen model of :func:`encore.operators.batched.tune_logistic`; the
+    probabilities are array expressions over its coefficients."""
+    x = vector_to_array(features)
+    rows = [F.array(*[F.lit(float(v)) for v in w]) for w in tuned.coefficients]
+    logits = [F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(float(b)), lambda s, t: s + t) for w, b in zip(rows, tuned.intercepts, strict=True)]
+    z = F.array(*([F.lit(0.0)] if len(logits) == 1 else []), *logits)
+    shifted = train.select(x.alias("x"), F.col(label).cast("int").alias("y"), z.alias("z"))
+    shifted = shifted.withColumn("e", F.transform("z", lambda v: F.exp(v - F.array_max("z"))))
+    total = F.aggregate("e", F.lit(0.0), lambda s, v: s + v)
+    scored = shifted.select("x", F.transform("e", lambda v: v / total).alias("p"), "y")
+    matrix = np.asarray(tuned.coefficients)
+    point = tuned.points[tuned.best]
+    found = _gradient(scored, max(len(matrix), 2), matrix.shape[1])
+    return _conditions(found, matrix, np.asarray(tuned.intercepts), point.reg, point.alpha, True, tolerance)
+
+
+def _conditions(found: DataFrame, matrix: np.ndarray, intercept: np.ndarray, reg: float, alpha: float, std: bool, tolerance: float) -> DataFrame:
     binary = matrix.shape[0] == 1
     rows = [(1 if binary else c, j, float(v)) for c in range(matrix.shape[0]) for j, v in enumerate([*matrix[c], intercept[c]])]
-    coefficients = train.sparkSession.createDataFrame(rows, "class int, position int, coefficient double")  # classes x features
-    found = gradient(model, train).join(coefficients, ["class", "position"])
-    last = F.col("position") == model.numFeatures
+    coefficients = found.sparkSession.createDataFrame(rows, "class int, position int, coefficient double")  # classes x features
+    found = found.join(coefficients, ["class", "position"])
+    last = F.col("position") == matrix.shape[1]
     scale = F.when(last | (F.col("variance") <= 0), 1.0).otherwise(F.sqrt("variance"))
-    g = F.col("gradient") / scale
+    g = F.col("gradient") / scale if std else F.col("gradient")
     b = F.col("coefficient") * (scale if std else F.lit(1.0))
-    if not std:
-        g = F.col("gradient")
-    smooth = g + reg * (1 - alpha) * b
     gap = F.when(last, F.abs(g)).when(b == 0, F.greatest(F.abs(g) - reg * alpha, F.lit(0.0)))
-    gap = gap.otherwise(F.abs(smooth + reg * alpha * F.signum(b)))
+    gap = gap.otherwise(F.abs(g + reg * (1 - alpha) * b + reg * alpha * F.signum(b)))
     # A constant feature has no say: the fit leaves its coefficient at 0.
     gap = F.when(~last & (F.col("variance") <= 0), F.abs("coefficient")).otherwise(gap)
     return found.select("class", "position", "n", "coefficient", gap.alias("gap"), (gap > tolerance).alias("violated"))

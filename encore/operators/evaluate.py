@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +58,22 @@ def auc(df: DataFrame, score: str = "score", label: str = "label", partitions: i
     )
 
 
+def grouped_auc(df: DataFrame, keys: Sequence[str], score: str = "score", label: str = "label", partitions: int | None = None) -> DataFrame:
+    """:func:`auc` of every group of ``keys``: ``(keys, auc, n_positive, n_negative)``. One pass of
+    running sums serves all groups: a group's own sum is the one over all rows less that of
+    the groups before it."""
+    per_score = df.where(F.col(score).isNotNull()).groupBy(*keys, score).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
+    cum = running_sums(per_score, [*keys, score], {"neg": F.col("_neg")}, partitions)
+    start = cum.groupBy(*keys).agg(F.min("neg_before").alias("_start"), F.sum("_pos").alias("n_positive"), F.sum("_neg").alias("n_negative"))
+    # Wins counted from the first group's start; the start's share is taken off per group.
+    wins = F.col("_pos").cast("double") * (F.col("neg_before").cast("double") + 0.5 * F.col("_neg"))
+    summed = cum.groupBy(*keys).agg(F.sum(wins).alias("_wins"))
+    joined = summed.join(start, list(keys))
+    own = F.col("_wins") - F.col("n_positive").cast("double") * F.col("_start")
+    return joined.select(*keys, F.try_divide(own, F.col("n_positive").cast("double") * F.col("n_negative")).alias("auc"), "n_positive", "n_negative")
+
+
 def multiclass_scores(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row: weighted F1 (the default metric of Spark's multi-class
     evaluator), accuracy, weighted precision and weighted recall.

@@ -13,7 +13,7 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomFores
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.session import default_parallelism
@@ -48,6 +48,11 @@ def grid(estimator: Estimator, **values) -> list:
     return builder.build()
 
 
+def fold_of(keys: Sequence[str], folds: int = 5, seed: int = SEED) -> Column:
+    """A row's fold from a hash of its keys: the same on any partitioning and after a repeated task."""
+    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(folds)).cast("int")
+
+
 def tune(
     estimator: Estimator,
     param_grid: list,
@@ -69,7 +74,7 @@ def tune(
     if parallelism is None:
         parallelism = max(1, min(len(param_grid), default_parallelism(train.sparkSession)))
     if keys:
-        train = train.withColumn(FOLD, F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(folds)).cast("int"))
+        train = train.withColumn(FOLD, fold_of(keys, folds, seed))
     cv = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=param_grid,

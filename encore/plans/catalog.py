@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.functions import columns as C
-from encore.operators import activity, certify, evaluate, indexing, joins, models, physical, profile, ranking, sampling, sketches
+from encore.operators import activity, batched, certify, evaluate, forests, indexing, joins, models, physical, profile, ranking, sampling, sketches
 from encore.operators import features as feat
 from encore.plans import roles
 from encore.session import scratch_path
@@ -37,6 +37,8 @@ LR_GRID = {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.1, 0.5]}
 SVM_GRID = {"regParam": [0.0, 0.01, 0.1]}
 FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [2, 4], "maxBins": [16, 32]}
 MULTICLASS_GRID = {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 0.1, 0.2]}
+LR_POINTS, MULTICLASS_POINTS = (
+    [batched.Point(reg, alpha) for reg in g["regParam"] for alpha in g["elasticNetParam"]] for g in (LR_GRID, MULTICLASS_GRID))
 
 
 def query(fn: Query) -> Query:
@@ -649,21 +651,31 @@ def cv_model_scores(spark, sf_dir):
     """The scores of ``binary_model_scores`` for the tuned classifiers, and the parameters
     that cross-validation chose with their mean score (``cv_metric``)."""
     train, test = (physical.materialize(df, "model-set") for df in _binary_sets(spark, sf_dir))
-    lr, svm, rf = models.logistic(), models.svm(), models.forest()
+    best = _tuned_logistic(train, LR_POINTS, "auc")
+    point = best.points[best.best]
+    parts = _score_rows("logistic_regression", batched.predict(test, best).select(*PREDICTION_COLS))
+    parts.append(_params(spark, "logistic_regression", {"regParam": point.reg, "elasticNetParam": point.alpha, "cv_metric": best.scores[best.best]}))
+    svm, rf = models.svm(), models.forest()
     tuned = {
-        "logistic_regression": (lr, models.grid(lr, **LR_GRID), "probability"),
         "linear_svm": (svm, models.grid(svm, **SVM_GRID), "rawPrediction"),
         "random_forest": (rf, models.grid(rf, **FOREST_GRID), "probability"),
     }
-    parts = []
     for name, (est, grid, score_col) in tuned.items():
-        best = models.tune(est, grid, models.binary_evaluator(), train, folds=5, keys=["track_id"])
-        parts += _score_rows(name, _scored(best.transform(test), score_col))
-        chosen = [(name, metric, float(value)) for metric, value in models.chosen_params(best).items()]
-        parts.append(spark.createDataFrame(chosen, "model string, metric string, value double"))
+        found = models.tune(est, grid, models.binary_evaluator(), train, folds=5, keys=["track_id"])
+        parts += _score_rows(name, _scored(found.transform(test), score_col))
+        parts.append(_params(spark, name, models.chosen_params(found)))
     return _stacked(parts)
 
 
+def _params(spark, name, chosen):
+    return spark.createDataFrame([(name, metric, float(value)) for metric, value in chosen.items()], "model string, metric string, value double")
+
+
+def _tuned_logistic(train, points, metric):
+    """All grid points and folds of a logistic regression in one scan per iteration."""
+    return batched.tune_logistic(train, points, models.fold_of(["track_id"]), 5, metric)
+
+
 def _cv(estimator, param_grid, evaluator, spark, sf_dir, score_col="probability"):
     train, test = _binary_sets(spark, sf_dir)
     best = models.tune(estimator, param_grid, evaluator, train, folds=5, keys=["track_id"])
@@ -672,9 +684,8 @@ def _cv(estimator, param_grid, evaluator, spark, sf_dir, score_col="probability"
 
 @query
 def cv_binary(spark, sf_dir):
-    lr = models.logistic()
-    g = models.grid(lr, **LR_GRID)
-    return _cv(lr, g, models.binary_evaluator(), spark, sf_dir)
+    train, test = _binary_sets(spark, sf_dir)
+    return batched.predict(test, _tuned_logistic(train, LR_POINTS, "auc")).select(*PREDICTION_COLS)
 
 
 @query
@@ -741,10 +752,37 @@ def multiclass_model_scores(spark, sf_dir):
 @query
 def cv_multiclass(spark, sf_dir):
     train, test = _multiclass_sets(spark, sf_dir)
-    lr = models.logistic(family="multinomial")
-    g = models.grid(lr, **MULTICLASS_GRID)
-    best = models.tune(lr, g, models.multiclass_evaluator("f1"), train, folds=5, keys=["track_id"])
-    return best.transform(test).select("track_id", "genre", "label", "prediction")
+    best = _tuned_logistic(train, MULTICLASS_POINTS, "f1")
+    return batched.predict(test, best).select("track_id", "genre", "label", "prediction")
+
+
+@query
+def grid_certificate(spark, sf_dir):
+    """Optimality of the models that the batched grids chose, over their training rows."""
+    train = physical.materialize(_binary_sets(spark, sf_dir)[0], "model-set")
+    many = physical.materialize(_multiclass_sets(spark, sf_dir)[0], "model-set")
+    sets = [("binary_grid", train, LR_POINTS, "auc"), ("multinomial_grid", many, MULTICLASS_POINTS, "f1")]
+    return _stacked([_judged(name, certify.tuned_certificate(_tuned_logistic(rows, points, metric), rows)) for name, rows, points, metric in sets])
+
+
+@query
+def forest_table(spark, sf_dir):
+    """A fitted forest as a table of nodes: every test row routed through every tree by joins.
+    The rows at the roots and at the leaves, and the rows on which the votes differ from the model's prediction."""
+    train, test = (physical.materialize(df, "model-set") for df in _binary_sets(spark, sf_dir))
+    model = models.fit(models.forest(), train)
+    nodes = forests.forest_nodes(spark, model, scratch_path(spark, "forest"))
+    rows = test.select("track_id", vector_to_array("features").alias("x"))
+    routed = physical.materialize(forests.route(rows, nodes, "track_id", "x", model.getNumTrees, max(t.depth for t in model.trees)), "routed")
+    counted = forests.populations(routed).join(nodes, ["tree", "node"])
+    told = model.transform(test).select("track_id", F.col("prediction").alias("told"), vector_to_array("probability")[1].alias("p"))
+    votes = forests.forest_votes(routed, "track_id", model.numClasses).join(told, "track_id")
+    differs = (F.col("prediction") != F.col("told")) | (F.abs(F.get("probability", F.lit(1)) - F.col("p")) > 1e-9)
+    sums = counted.agg(
+        F.countDistinct("tree").alias("n_trees"), F.sum(F.when(F.col("node") == 0, F.col("n"))).alias("at_roots"),
+        F.sum(F.when(F.col("left").isNull(), F.col("n"))).alias("at_leaves"))
+    both = votes.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(differs).alias("mismatches"))
+    return both.join(sums, F.col("n_rows") * F.col("n_trees") == F.col("at_roots"))  # one row each
 
 
 def _als_sets(spark, sf_dir):

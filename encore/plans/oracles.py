@@ -422,6 +422,18 @@ ORACLES.update({
         FROM sampled, (SELECT unnest(['plain', 'elastic_net']) AS model)
         UNION ALL SELECT 'multinomial', n, 6 * c, 0 FROM trained, classes
     """,
+    "grid_certificate": f"""
+        WITH sampled AS (SELECT COUNT(*) AS n FROM ({BINARY}) WHERE {IN_TRAIN} AND {IN_SAMPLE}),
+        trained AS (SELECT COUNT(*) AS n FROM ({BINARY}) WHERE {IN_TRAIN}),
+        classes AS (SELECT COUNT(DISTINCT genre) AS c FROM ({BINARY}) WHERE genre IS NOT NULL)
+        SELECT 'binary_grid' AS model, n AS n_rows, CAST(6 AS BIGINT) AS n_coefficients, CAST(0 AS BIGINT) AS violated FROM sampled
+        UNION ALL SELECT 'multinomial_grid', n, 6 * c, 0 FROM trained, classes
+    """,
+    "forest_table": f"""
+        SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS mismatches, CAST(20 AS BIGINT) AS n_trees,
+               20 * COUNT(*) AS at_roots, 20 * COUNT(*) AS at_leaves
+        FROM ({BINARY}) WHERE NOT ({IN_TRAIN})
+    """,
     "pca_certificate": f"""
         WITH v AS (SELECT i, CAST(embedding[i + 1] AS DOUBLE) AS x FROM embeddings, (SELECT unnest(range({N_FEATURES})) AS i)),
         s AS (SELECT i, x, stddev_samp(x) OVER (PARTITION BY i) AS sd FROM v),
