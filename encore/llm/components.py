@@ -4,9 +4,9 @@ Large-star links every larger neighbour of a node to the smallest node around it
 small-star does the same for the node itself and its smaller neighbours. The edges keep
 the components and shrink to stars around each component's smallest node in a few rounds
 (logarithmically many in practice). Neighbour minima are partially aggregated before their
-shuffle, so no aggregate gathers a hub's neighbours. The join of a hub's edges with its single
-minimum does: the minima are already dealt by node, with no exchange directly below the join,
-so adaptive execution cannot split it, and a hub's edges are read by one task.
+shuffle, so no aggregate gathers a hub's neighbours. They are written to the checkpoint
+folder before the edges join them: then both sides of the join come from exchanges, and
+adaptive execution splits the edges of a hub over several tasks.
 """
 
 from __future__ import annotations
@@ -32,10 +32,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     for _ in range(MAX_ROUNDS):
         # Large-star: for each node the least of itself and its neighbours takes its larger neighbours.
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = checkpointed(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = checkpointed(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # Small-star: on edges from larger (u) to smaller (v) nodes.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
         joined = large.join(least, "u")
         small = joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = checkpointed(small.distinct())

@@ -292,27 +292,25 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     document that it reaches over links, itself included) and ``kept``."""
     sk = _stored(sketches(docs, key, text), "sketches")
     known = sk.where("content is not null and doc_id is not null")
-    classes = checkpointed(known.groupBy("content").agg(F.min("doc_id").alias("rep")))
+    classes = _stored(known.groupBy("content").agg(F.min("doc_id").alias("rep")), "classes")
     reps = _stored(
         known.join(classes.select("content", F.col("rep").alias("doc_id")), ["content", "doc_id"], "left_semi")
         .dropDuplicates(["content", "doc_id"])
         .drop("content"),
         "representatives",
     )
-    # Buckets with several documents, each with its leader: the least by a hash of the id.
+    # Buckets with several documents, each with its leader: the least of its ids.
     rows = reps.select(F.explode(band_keys(F.col("registers"))).alias("key"), "doc_id")
-    leader = F.min(F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("lead")))
-    shared = rows.groupBy("key").agg(leader.alias("l"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = _stored(rows.join(checkpointed(shared), "key"), "members")
+    shared = rows.groupBy("key").agg(F.min("doc_id").alias("lead"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = _stored(rows.join(_stored(shared, "buckets"), "key"), "members")
 
     # The ids go to every task where they are few; elsewhere the texts are shuffled to them.
-    needed = broadcast_if_small(checkpointed(members.select("doc_id").distinct()), BROADCAST_IDS)
+    needed = broadcast_if_small(_stored(members.select("doc_id").distinct(), "needed"), BROADCAST_IDS)
     source = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     sets = _stored(shingle_sets(source.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])), "sets")
 
     # Stars: every document with the leader that comes first among those of its buckets.
-    best = members.where("doc_id <> l.lead").groupBy("doc_id").agg(F.min("l").alias("l"))
-    pairs = best.select(F.col("doc_id").alias("a"), F.col("l.lead").alias("b"))
+    pairs = members.where("doc_id <> lead").groupBy(F.col("doc_id").alias("a")).agg(F.min("lead").alias("b"))
     links = checkpointed(verify(screen(pairs, reps), sets))
     joined = components(links)
 
@@ -324,9 +322,9 @@ def group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("blocks")).cast("int")
     parts = "transform(sequence(0, blocks - 1), j -> least(own, j) * blocks + greatest(own, j))"
-    open_rows = checkpointed(
+    open_rows = _stored(
         tagged.join(mixed, "key").withColumn("blocks", blocks).withColumn("own", own)
-        .select("key", F.explode(F.expr(parts)).alias("part"), "doc_id", "component")
+        .select("key", F.explode(F.expr(parts)).alias("part"), "doc_id", "component"), "open-rows"
     )
     size = F.unhex(F.regexp_replace(F.lpad(F.hex("n_shingles"), 16, "0"), "(..)(..)(..)(..)(..)(..)(..)(..)", "$8$7$6$5$4$3$2$1"))
     payload = reps.select("doc_id", F.concat(size, "registers").alias("payload"))
