@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from encore.operators import batched
 from encore.plans import jobs, roles
 from encore.sources import write_delimited
 from tests.conftest import SF_SMALL
@@ -59,6 +60,30 @@ def test_classification_job(spark, files):
     assert out["correlation"].count() == 64 * 63 // 2
 
 
+def test_tuning_job(spark, files):
+    points = [batched.Point(0.0, 0.0), batched.Point(0.1, 0.5)]
+    out = jobs.tuning_job(spark, f"{files}/features", f"{files}/genres", positive="es", folds=3, lr_points=points,
+                          svm_grid={"regParam": [0.01, 0.1]}, forest_grid={"numTrees": [5], "maxDepth": [2, 3]})
+    chosen = {(r["model"], r["parameter"]): r["value"] for r in out["chosen"].collect()}
+    assert chosen["logistic_regression", "regParam"] in (0.0, 0.1) and chosen["random_forest", "maxDepth"] in (2, 3)
+    assert all(0 <= chosen[m, "cv_metric"] <= 1 for m in ("logistic_regression", "linear_svm", "random_forest"))
+    totals = {out[f"{m}_confusion"].first()["total"] for m in ("logistic_regression", "linear_svm", "random_forest")}
+    assert len(totals) == 1 and totals.pop() > 0
+
+
+def test_multiclass_job(spark, files):
+    out = jobs.multiclass_job(spark, f"{files}/features", f"{files}/genres", folds=3, points=[batched.Point(0.0, 0.0), batched.Point(0.01, 0.1)])
+    genres = out["genre_index"].count()
+    for kind in ("plain", "tuned"):
+        rows = out[f"{kind}_predictions"].collect()
+        assert rows and {r["prediction"] for r in rows} <= set(map(float, range(genres)))
+        assert 0 < out[f"{kind}_scores"].first()["f1"] <= 1
+    # Without a penalty both are the same optimum.
+    if dict(map(tuple, out["chosen"].collect()))["regParam"] == 0.0:
+        both = out["plain_predictions"].join(out["tuned_predictions"].select("track_id", F.col("prediction").alias("tuned")), "track_id")
+        assert both.where("prediction <> tuned").count() == 0
+
+
 def test_recommendation_job(spark, files):
     cleaned = jobs.cleaning_job(spark, f"{files}/errors", f"{files}/accepted", f"{files}/triplets", 30, 650)["cleaned"]
     out = jobs.recommendation_job(spark, cleaned)
