@@ -1,97 +1,80 @@
 """Language-model scores from a probabilistic suffix tree over whole texts.
 
 Symbols are a document's tokens and an end symbol. The state of the model is the longest
-retained context: up to ``WORD_DEPTH`` preceding tokens, whatever text they stand in (start
-marks before the first). A context is retained when it occurs ``MIN_COUNT`` times and its
-next symbols diverge from those of the state that would otherwise serve (the longest retained
+retained context: up to two preceding tokens, whatever text they stand in (start marks
+before the first). A context is retained when it occurs ``MIN_COUNT`` times and its next
+symbols diverge from those of the state that would otherwise serve (the longest retained
 suffix); its distribution is smoothed with that state's. The root is the distribution of
 words, smoothed with a spelling model: a suffix tree of the same kind over the bytes of a
 word and its closing space (contexts of up to ``DEPTH`` bytes since the word began). So
 unseen words have a probability, too, and all texts' probabilities sum to 1.
 
-All counts come from all training rows, counted in the tasks and summed in one shuffle. There
-are no shares: minimum counts are absolute, so the tree grows with the corpus. It stays a
-distributed table of the windows (context and next symbol) that the texts need, built order by
-order with joins, and texts get their windows' probabilities by a join. Tokens, contexts and
-windows go by 64-bit hashes (a billion of them hold one collision with probability 3 %).
-
-The unigram base needs the exact count of every word: words that hold a millionth of all
-tokens (at most a million) are sent to the tasks, the others are joined with the word table,
-once per document that has them.
+All counts come from all training rows. There are no shares: minimum counts are absolute, so
+the tree grows with the corpus. Texts are written once as blocks (some megabytes of text as
+word codes), bucketed by their number, so that no later step moves them. What a block has to
+know of the corpus it asks for by key: it sends its distinct words, windows (context and
+next symbol) or contexts as sorted 64-bit hashes with their own counts, in ranges of the hash;
+tasks sum a range over all blocks and send the sums back in the order of the keys. Such
+rounds give the words' counts; the counts of windows of one token of context; of two tokens,
+and which contexts of one are retained; which of two are; then every block scores its own
+texts. Windows whose
+context occurs less than ``MIN_COUNT`` times are never sent: they pass on to the lower order
+by definition. Words go by 64-bit hashes (a billion of them hold one collision with
+probability 3 %); windows by as many bits as keep the share of windows that collide near a
+millionth, whatever the size of the corpus (``KEY_BITS`` more than tokens have).
+
+The spelling model is a table of byte windows; up to ``SPELLING_ROWS`` rows it is sent to the
+tasks, beyond that it is joined with the distinct words.
 
 Defined results: a null or blank text is only its end token; repeated rows count and are
 scored each for itself; without training rows the counts are 0 and all symbols are equally
-likely; long texts and words are read whole; an empty table gives an empty result.
+likely; long texts and words are read whole; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
-from collections import Counter
+import uuid
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
+import xxhash
+import zstandard
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import LOWER, checkpointed, sliced, text_bytes, words
+from encore.llm.common import checkpointed
+from encore.llm.parts import text_slices
+from encore.llm.phrase_mining import mixed, pack, pack_sorted, range_of, unpack, unpack_sorted
+from encore.session import scratch_path
 
 DEPTH = 5
-#: Tokens of context.
-WORD_DEPTH = 2
 #: Occurrences that a context needs: one that was seen once tells nothing about what may follow.
 MIN_COUNT = 2
 #: Nats by which a context must better its suffix over all its occurrences.
 MIN_GAIN = 8.0
 #: Weight of the suffix's distribution, in occurrences.
 SMOOTHING = 4.0
-#: Share of all tokens that a word must hold to travel with the model.
-COMMON_SHARE = 1e-6
 SPACE, END = 32, 10  # neither byte occurs in a word
-_FLUSH_WORDS = 200_000
-_FLUSH_BYTES = 1_000_000
-_FLUSH_TOKENS = 1_000_000
-CACHE_WORDS = 400_000
-
-
-def tokens_of(data: bytes) -> list[bytes]:
-    return words(data.translate(LOWER))
+#: Rows (16 bytes each) of the spelling model that are sent to every task.
+SPELLING_ROWS = 4_000_000
+#: Bytes of text in a block, and keys that one summing task holds at a time.
+BLOCK_BYTES, RANGE_KEYS = 6 << 20, 4_000_000
+#: Bits of a window's key beyond those that number the corpus' tokens.
+KEY_BITS = 20
 
 
 def hash_of(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
-
-
-#: Hashes of the mark before a text and of its end; neither is a word.
-START_HASH, END_HASH = hash_of(b" "), hash_of(b"\n")
-
-
-def count_words(texts: DataFrame) -> DataFrame:
-    """(word, id, c) over ``text``: every word of all rows, with its hash and its count in the
-    rows where ``train`` holds; counted in the tasks, then summed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            made = [pa.array(counts.keys(), type=pa.binary()), pa.array(map(hash_of, counts), type=pa.int64()), pa.array(counts.values(), type=pa.int64())]
-            return pa.RecordBatch.from_arrays(made, ["word", "id", "c"])
+    return xxhash.xxh3_64_intdigest(word)
 
-        for batch in sliced(batches):
-            for data, train in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                tokens = tokens_of(data)
-                counts.update(tokens if train else dict.fromkeys(tokens, 0))
-            if len(counts) >= _FLUSH_WORDS:
-                yield flush()
-                counts = Counter()
-        if counts:
-            yield flush()
 
-    counted = texts.select("text", "train").mapInArrow(run, "word binary, id bigint, c bigint")
-    return counted.groupBy("word", "id").agg(F.sum("c").alias("c"))
+#: Keys of the mark before a text, of its end, and of two marks; none is a word.
+START_KEY, END_KEY, STARTS_KEY = (np.uint64(hash_of(x)) for x in (b" ", b"\n", b"  "))
 
 
 def context_keys(vocabulary: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,8 +93,8 @@ def context_keys(vocabulary: list[bytes], counts: np.ndarray) -> tuple[np.ndarra
         keys.append((k << 56) | (context[at] << 8) | data[at])
         weights.append(weight[at])
     keys, weights = np.concatenate(keys), np.concatenate(weights)
-    distinct, back = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(back, weights, len(distinct)).astype(np.int64)
+    known, _, back = distinct(keys)
+    return known, np.bincount(back, weights, len(known)).astype(np.int64)
 
 
 def spelling_keys(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,37 +112,6 @@ def spelling_keys(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return owner[at], ((order << 56) | (context << 8) | data)[at]
 
 
-def _by_words(word_counts: DataFrame, column: str, make: Callable, schema: str) -> DataFrame:
-    """``make(words, values of column)`` over slices of the word table of about ``_FLUSH_BYTES``."""
-    names = [part.split()[0] for part in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[bytes] = []
-        values: list[int] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in make(held, np.array(values, dtype=np.int64))], names)
-
-        for batch in sliced(batches, 4096):
-            for w, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.append(w)
-                values.append(x)
-                size += len(w)
-                if size >= _FLUSH_BYTES:
-                    yield flush()
-                    held, values, size = [], [], 0
-        if held:
-            yield flush()
-
-    return word_counts.select("word", column).mapInArrow(run, schema)
-
-
-def count_contexts(word_counts: DataFrame) -> DataFrame:
-    """(key, c) of all contexts and next symbols, from distinct words and their counts."""
-    return _by_words(word_counts, "c", context_keys, "key bigint, c bigint").groupBy("key").agg(F.sum("c").alias("c"))
-
-
 def climb(windows: DataFrame, lower: DataFrame) -> DataFrame:
     """(window, lp): log10 probabilities of the windows of one order.
 
@@ -179,11 +131,15 @@ def climb(windows: DataFrame, lower: DataFrame) -> DataFrame:
     return known.join(states, "ctx", "left").select("window", F.when(n.isNull(), lp).otherwise(own).alias("lp"))
 
 
-def spelling(word_counts: DataFrame, documents: int) -> DataFrame:
-    """(id, c, spelt): each word's count and the log10 probability of its spelling; and the end's."""
-    spark = word_counts.sparkSession
+
+# -- the spelling model ------------------------------------------------------------------------
+
+
+def spelling_table(contexts: DataFrame, documents: int) -> DataFrame:
+    """(window, lp): the log10 probabilities of all byte windows, from (key, c) of all words'
+    contexts and next symbols, and the ends of ``documents`` texts."""
     ends = [(END, documents), (1 << 56 | SPACE << 8 | END, documents)]
-    contexts = checkpointed(count_contexts(word_counts).union(spark.createDataFrame(ends, "key bigint, c bigint")))
+    contexts = checkpointed(contexts.union(contexts.sparkSession.createDataFrame(ends, "key bigint, c bigint")))
     of_order = [contexts.where(F.shiftright("key", 56) == k) for k in range(DEPTH + 1)]
     total = of_order[0].agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     lower = of_order[0].select(F.col("key").alias("window"), F.log10((F.col("c") + 1) / F.lit(float(total + 256))).alias("lp"))
@@ -193,16 +149,7 @@ def spelling(word_counts: DataFrame, documents: int) -> DataFrame:
         below = F.when(F.lit(k == 1), F.col("key").bitwiseAND(255)).otherwise(F.lit((k - 1) << 56).bitwiseOR(F.col("key").bitwiseAND((1 << 8 * k) - 1)))
         lower = checkpointed(climb(of_order[k].select(F.col("key").alias("window"), F.shiftright("key", 8).alias("ctx"), below.alias("below"), "c"), lower))
         table = lower if table is None else table.union(lower)
-
-    def places(held: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        owner, keys = spelling_keys(held)
-        return ids[owner], keys
-
-    needed = _by_words(word_counts, "id", places, "id bigint, window bigint")
-    needed = needed.union(spark.createDataFrame([(END_HASH, 1 << 56 | SPACE << 8 | END)], "id bigint, window bigint"))
-    spelt = needed.join(table, "window").groupBy("id").agg(F.sum("lp").alias("spelt"))
-    known = word_counts.select("id", "c").union(spark.createDataFrame([(END_HASH, documents)], "id bigint, c bigint"))
-    return known.join(spelt, "id")
+    return table
 
 
 class SuffixTree:
@@ -280,172 +227,431 @@ class SuffixTree:
         return self._next(SPACE, 1, END)
 
 
-def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = a * np.uint64(0x9E3779B97F4A7C15) + b
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
+# -- blocks --------------------------------------------------------------------------------------
 
 
-def windows_of(ids: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Of texts' token hashes, ends included: the contexts of order 1 to WORD_DEPTH of all
-    symbols, one after the other, and the windows of order 0 (the symbols themselves) to WORD_DEPTH."""
-    pad = np.full(WORD_DEPTH, START_HASH, dtype=np.int64)
-    running = np.concatenate([x for text in ids for x in (pad, text)]).view(np.uint64)
-    sizes = np.array([len(text) for text in ids])
-    at = np.arange(sizes.sum()) + np.repeat(WORD_DEPTH * np.arange(1, len(sizes) + 1), sizes)
-    symbol, context = running[at], running[at - 1]
-    contexts, windows = [], [symbol]
-    for k in range(1, WORD_DEPTH + 1):
-        context = context if k == 1 else _mixed(context, running[at - k])
-        contexts.append(context)
-        windows.append(_mixed(_mixed(context, np.full_like(context, k)), symbol))
-    return [x.view(np.int64) for x in contexts], [x.view(np.int64) for x in windows]
+def words_of(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Word codes of all texts (the most frequent word is 0), the words, and each text's count."""
+    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), ""))
+    lists = pc.split_pattern(pc.replace_substring_regex(texts, "[\\x09-\\x0D]", " "), " ")
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    offsets -= offsets[0]
+    coded = lists.flatten().dictionary_encode()
+    known, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+    full = np.array([bool(w) for w in known], dtype=bool)[codes]
+    sizes = np.diff(np.concatenate([[0], np.cumsum(full)])[offsets])
+    codes = codes[full]
+    counts = np.bincount(codes, minlength=len(known))
+    order = np.argsort(-counts, kind="stable")[: int((counts > 0).sum())]
+    rank = np.zeros(max(len(known), 1), dtype=np.int32)
+    rank[order] = np.arange(len(order))
+    return rank[codes].astype("<i4"), [known[k] for k in order.tolist()], sizes
 
 
-class Hashes:
-    """Token hashes of texts, with a bounded cache."""
+BLOCK_SCHEMA = "block bigint, codes binary, words binary, sizes binary, doc_ids array<bigint>, held array<boolean>, n bigint, documents bigint"
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
 
-    def text(self, tokens: list[bytes]) -> np.ndarray:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        for w in set(tokens).difference(self.known):
-            self.known[w] = hash_of(w)
-        return np.array([*map(self.known.__getitem__, tokens), END_HASH], dtype=np.int64)
-
-
-def count_windows(texts: DataFrame) -> DataFrame:
-    """(k, window, ctx, below, c): every window of all texts, orders 1 to WORD_DEPTH, with its
-    count in the rows where ``train`` holds; counted in the tasks, then summed."""
+def write_blocks(docs: DataFrame, held_out: Column, path: str, table: str, key: str, text: str) -> None:
+    """The blocks of all texts as a table bucketed by block, with each block's training tokens
+    and documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-        held: list[np.ndarray] = []
-        trained: list[bool] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            weight = np.repeat(np.array(trained, dtype=np.int64), [len(x) for x in held])
-            contexts, windows = windows_of(held)
-            for k in range(1, WORD_DEPTH + 1):
-                distinct, first, back = np.unique(windows[k], return_index=True, return_inverse=True)
-                c = np.bincount(back, weight, len(distinct)).astype(np.int64)
-                made = [np.full(len(distinct), k, dtype=np.int32), distinct, contexts[k - 1][first], windows[k - 1][first], c]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["k", "window", "ctx", "below", "c"])
-
-        size = 0
-        for batch in sliced(batches):
-            for data, train in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                held.append(hashes.text(tokens_of(data)))
-                trained.append(train)
-                size += len(held[-1])
-                if size >= _FLUSH_TOKENS:
-                    yield from flush()
-                    held, trained, size = [], [], 0
-        if held:
-            yield from flush()
-
-    counted = texts.select("text", "train").mapInArrow(run, "k int, window bigint, ctx bigint, below bigint, c bigint")
-    return counted.groupBy("k", "window", "ctx", "below").agg(F.sum("c").alias("c"))
-
-
-class Model:
-    """What the tasks need (the common words' counts and the corpus totals), and the tables:
-    all words' counts, and the log10 probabilities of all windows of the highest order."""
-
-    def __init__(self, common: dict[bytes, int], n: int, v: int, end_count: int, counts: DataFrame, windows: DataFrame):
-        self.common, self.n, self.v, self.end_count = common, n, v, end_count
-        self.counts, self.windows = counts, windows
-
-    def base(self, c: int) -> float:
-        return math.log10((c + 1) / (self.n + self.v + 1))
-
-
-def fit(docs: DataFrame, held: Column, text: str = "text") -> Model:
-    """The model of all texts that are not held out, with the windows that any text needs."""
-    texts = docs.select(F.col(text).alias("text"), (~held).alias("train"))
-    counts = checkpointed(count_words(texts))
-    documents = texts.where("train").count()
-    tokens, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    n, v = tokens + documents, kinds + (documents > 0)
-    c, spelt = F.col("c"), F.col("spelt")
-    root = F.when(c > 0, F.log10((c + SMOOTHING * F.pow(F.lit(10.0), spelt)) / F.lit(n + SMOOTHING)))
-    root = root.otherwise(spelt + math.log10(SMOOTHING / (n + SMOOTHING)))
-    lower = checkpointed(spelling(counts, documents).select(F.col("id").alias("window"), root.alias("lp")))
-    windows = checkpointed(count_windows(texts))
-    for k in range(1, WORD_DEPTH + 1):
-        lower = climb(windows.where(F.col("k") == k).drop("k"), lower)
-    common = counts.where((F.col("c") > 0) & (F.col("c") >= COMMON_SHARE * n)).select("word", "c").toArrow()  # at most 1 / COMMON_SHARE rows
-    common = dict(zip(common.column("word").to_pylist(), common.column("c").to_pylist(), strict=True))
-    return Model(common, n, v, documents, counts, lower)
-
-
-_NEEDED = "row bigint, key bigint, m int, rare int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double"
-
-
-def score_documents(docs: DataFrame, model: Model, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score per document.
-
-    One pass over the texts gives each document's distinct windows (``m``: how often), its
-    words that are not common (``rare``), and one row with its other columns; they are joined
-    with the tables of windows and words, and summed by row.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast((model.common, {c: model.base(c) for c in {*model.common.values(), model.end_count}}, model.end_count))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, base_of, end_count = sent.value
-        hashes, row = Hashes(), TaskContext.get().partitionId() << 40
-        schema = pa.schema([(n, t) for n, t in zip([x.split()[0] for x in _NEEDED.split(", ")], _TYPES, strict=True)])
-        for batch in sliced(batches, 64):
-            keys, times, rares, sizes, heads = [], [], [], [], []
-            for data in text_bytes(batch.column(2)):
-                tokens = tokens_of(data)
-                ids = hashes.text(tokens)
-                base, seen, rare = base_of[end_count], int(end_count > 0), []
-                for w, m in Counter(tokens).items():
-                    c = common.get(w)
-                    if c is None:
-                        rare.append((hashes.known[w], m))
-                    else:
-                        seen += m
-                        base += m * base_of[c]
-                windows, m = np.unique(windows_of([ids])[1][WORD_DEPTH], return_counts=True)
-                # The row with the other columns has a key of its own, which fits nothing.
-                words_, m_rare = np.array(rare, dtype=np.int64).reshape(-1, 2).T
-                keys += [windows, words_, [hash_of(b" row %d" % (row + len(heads)))]]
-                times += [m, np.zeros(len(rare) + 1, dtype=np.int64)]
-                rares += [np.zeros(len(m), dtype=np.int64), m_rare, [0]]
-                sizes.append(len(m) + len(rare) + 1)
-                heads.append((len(tokens) + 1, seen, base))
-            total, at = sum(sizes), np.cumsum(sizes) - 1
-            place = np.full(total, -1)
-            place[at] = np.arange(len(heads))
-            place = pa.array(place, mask=place < 0)
-            other = [batch.column(0), batch.column(1), *(pa.array(x) for x in zip(*heads, strict=True))]
-            made = [np.repeat(np.arange(row, row + len(heads)), sizes), *(np.concatenate(x) for x in (keys, times, rares))]
-            yield pa.RecordBatch.from_arrays([pa.array(x).cast(t) for x, t in zip(made, _TYPES, strict=False)] + [x.take(place) for x in other], schema=schema)
-            row += len(heads)
+        block = TaskContext.get().partitionId() << 32
+        for batch in text_slices(batches, 2, BLOCK_BYTES):
+            codes, words, sizes = words_of(batch.column(2))
+            held = batch.column(1).to_pylist()
+            train = ~np.array(held, dtype=bool)
+            blob = zstandard.ZstdCompressor(level=1).compress("\n".join(words).encode())
+            row = [block, pack(codes), blob, pack(sizes.astype("<i8")), batch.column(0).to_pylist(), held, int((sizes + 1)[train].sum()), int(train.sum())]
+            types = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.int64(), pa.int64()]
+            names = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(row, types, strict=True)], names)
+            block += 1
 
     source = docs.select(F.col(key).cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("text"))
-    c = F.lit(None).cast("bigint").alias("c")
-    table = model.windows.select(F.col("window").alias("key"), "lp", c).union(model.counts.select("id", F.lit(None).cast("double"), "c"))
-    found = source.mapInArrow(run, _NEEDED).join(table, "key", "left")
-    # Words that no training row has contribute as words with count 0.
-    rare_base = F.when(F.col("rare") > 0, F.col("rare") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(model.n + model.v + 1)))).otherwise(0.0)
-    rare_known = F.when(F.col("c") > 0, F.col("rare")).otherwise(0)
-    sums = found.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("n_known") + F.sum(rare_known)).alias("n_known"), (F.max("base_score") + F.sum(rare_base)).alias("base_score"),
-        F.sum(F.col("m") * F.coalesce("lp", F.lit(0.0))).alias("score"),
-    )
-    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
-
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A task writes a file for each bucket that its few blocks fall in. The blobs are compressed already.
+    source.mapInArrow(run, BLOCK_SCHEMA).write.bucketBy(buckets, "block").option("path", path).option("compression", "uncompressed").saveAsTable(table)
+
+
+class Corpus(NamedTuple):
+    """What the tasks know of the whole corpus: training tokens, distinct training tokens (0 in
+    the first round), training documents, ranges of the hash, bits of a window's key, and the
+    sent spelling model."""
+
+    n: int
+    v: int
+    documents: int
+    ranges: int
+    bits: int
+    spelling: Broadcast | None
+
+
+class Asked(NamedTuple):
+    """Distinct sorted keys of a block, and what it sends with each."""
+
+    keys: np.ndarray
+    values: tuple[np.ndarray, ...]
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct keys, a place of each, and the index of every key among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    heads = np.empty(len(keys), dtype=bool)
+    heads[:1] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=heads[1:])
+    back = np.empty(len(keys), dtype=np.int32)
+    back[order] = np.cumsum(heads, dtype=np.int32) - 1
+    return ordered[heads], order[heads], back
+
+
+class Windows:
+    """The windows of one order in a block: contexts (as codes, with all codes' keys) of the
+    symbols at ``open``, where the context occurs often enough."""
+
+    def __init__(self, block: Block, order: int, open_: np.ndarray, occurs: np.ndarray, code: np.ndarray, keys: np.ndarray):
+        self.open, self.occurs, self.code, self.context_keys = open_, occurs, code, keys
+        window = mixed(mixed(keys[code], np.full(1, order, dtype=np.uint64)), block.key[block.symbol[open_]])
+        self.keys, self.first, self.back = distinct(window >> np.uint64(64 - block.corpus.bits) << np.uint64(64 - block.corpus.bits))
+        self.counts = np.bincount(self.back, block.weight[open_], len(self.keys)).astype(np.int64)
+        self.seen = self.speaks = None
+
+    def know(self, answer: tuple[np.ndarray, np.ndarray]) -> Windows:
+        self.seen, self.speaks = answer
+        return self
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys of the contexts, how often they occur, and each window place's context."""
+        n = np.zeros(len(self.context_keys), dtype=np.int64)
+        n[self.code] = self.occurs
+        present = np.flatnonzero(n)
+        order = np.argsort(self.context_keys[present], kind="stable")
+        place = np.empty(len(n), dtype=np.int32)
+        place[present[order]] = np.arange(len(present), dtype=np.int32)
+        return self.context_keys[present[order]], n[present[order]], place[self.code]
+
+
+class Block:
+    """The texts of one block, and what it asks in the rounds. ``answers`` holds, by round, what
+    came back for the keys it sent, in their order, and which keys it speaks for alone."""
+
+    def __init__(self, row: dict, corpus: Corpus):
+        self.corpus = corpus
+        self.codes, self.sizes = unpack(row["codes"], "<i4"), unpack(row["sizes"], "<i8")
+        self.words = zstandard.ZstdDecompressor().decompress(row["words"]).split(b"\n") if len(self.codes) else []
+        self.held = np.array(row["held"], dtype=bool)
+        self.doc_ids = row["doc_ids"]
+        self.packed: dict[str, list[tuple[int, bytes, bytes]]] = {}
+        for m in row["answers"] or []:
+            self.packed.setdefault(m["round"], []).append((m["range"], m["value"], m["owned"]))
+        v, total = len(self.words), len(self.sizes)
+        # Codes v and v + 1: the end and the mark before a text.
+        self.key = np.empty(v + 2, dtype=np.uint64)
+        self.key[:v] = np.fromiter(map(hash_of, self.words), dtype=np.uint64, count=v)
+        self.key[v:] = END_KEY, START_KEY
+        self.by_key = np.argsort(self.key[:-1])
+        self.starts = np.cumsum(self.sizes + 1) - self.sizes - 1
+        self.symbol = np.insert(self.codes, np.cumsum(self.sizes), v) if total else np.zeros(0, dtype=np.int32)
+        self.weight = np.repeat(~self.held, self.sizes + 1)
+        self._known: dict[str, object] = {}
+
+    def answer(self, name: str, keys: np.ndarray, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+        edges = np.searchsorted(range_of(keys, self.corpus.ranges), np.arange(self.corpus.ranges + 1))
+        values, owned = np.zeros(len(keys), dtype=dtype), np.zeros(len(keys), dtype=bool)
+        for r, value, mask in self.packed[name] if len(keys) else []:
+            a, b = edges[r], edges[r + 1]
+            values[a:b] = unpack(value, dtype)
+            owned[a:b] = np.unpackbits(np.frombuffer(mask, dtype=np.uint8), count=b - a).astype(bool)
+        return values, owned
+
+    def _once(self, name: str, make: Callable):
+        if name not in self._known:
+            self._known[name] = make()
+        return self._known[name]
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Training counts of all words and the end, and which of them the block speaks for."""
+
+        def make() -> tuple[np.ndarray, np.ndarray]:
+            count, owned = np.empty(len(self.by_key), dtype=np.int64), np.empty(len(self.by_key), dtype=bool)
+            count[self.by_key], owned[self.by_key] = self.answer("words", self.key[:-1][self.by_key], "<i8")
+            return count, owned
+
+        return self._once("words", make)
+
+    def pairs(self) -> Windows:
+        """Windows of one token of context."""
+
+        def make() -> Windows:
+            before = np.empty_like(self.symbol)
+            before[1:] = self.symbol[:-1]
+            before[self.starts] = len(self.words) + 1
+            # A word stands before a symbol each time it occurs, the mark once a text.
+            occurs = np.concatenate([self.counts()[0][:-1], [0, self.corpus.documents]])[before]
+            at = np.flatnonzero(occurs >= MIN_COUNT)
+            return Windows(self, 1, at, occurs[at], before[at], self.key)
+
+        return self._once("pairs", make)
+
+    def triples(self) -> Windows:
+        """Windows of two tokens of context, which is the window one symbol earlier."""
+
+        def make() -> Windows:
+            pairs = self.known_pairs()
+            window = np.full(len(self.symbol) + 1, -1, dtype=np.int32)
+            window[pairs.open + 1] = pairs.back
+            window = window[:-1]
+            window[self.starts] = len(pairs.keys)
+            seen = np.concatenate([pairs.seen, [self.corpus.documents, 0]])  # the last one for no window
+            occurs = seen[window]
+            at = np.flatnonzero(occurs >= MIN_COUNT)
+            return Windows(self, 2, at, occurs[at], window[at], np.append(pairs.keys, STARTS_KEY))
+
+        return self._once("triples", make)
+
+    def known_pairs(self) -> Windows:
+        return self._once("known pairs", lambda: (w := self.pairs()).know(self.answer("pairs", w.keys, "<i8")))
+
+    def known_triples(self) -> Windows:
+        return self._once("known triples", lambda: (w := self.triples()).know(self.answer("triples", w.keys, "<i8")))
+
+    def root(self) -> np.ndarray:
+        """The log10 probability of every symbol by the distribution of words."""
+
+        def make() -> np.ndarray:
+            n, c = self.corpus.n, self.counts()[0]
+            if self.corpus.spelling is not None:
+                spelt = spellings(self.words, *self.corpus.spelling.value)
+            else:
+                spelt = np.empty(len(c))
+                spelt[self.by_key] = self.answer("spelling", self.key[:-1][self.by_key], "<f8")[0]
+            seen = np.log10((np.maximum(c, 1) + SMOOTHING * np.power(10.0, spelt)) / (n + SMOOTHING))
+            return np.where(c > 0, seen, spelt + math.log10(SMOOTHING / (n + SMOOTHING)))[self.symbol]
+
+        return self._once("root", make)
+
+    def gains(self, windows: Windows, lp: np.ndarray) -> Asked:
+        """The block's share of the contexts' gain over their suffixes (from the windows it
+        speaks for), and how often the contexts occur."""
+        keys, n, context = windows.contexts()
+        mine = np.flatnonzero(windows.speaks & (windows.seen > 0))
+        c, at = windows.seen[mine], windows.first[mine]
+        gain = np.bincount(context[at], c * (np.log(c) - lp[windows.open[at]] * math.log(10)), len(keys))
+        return Asked(keys, (gain.astype("<f4"), n))
+
+    def after(self, windows: Windows, name: str, lp: np.ndarray) -> np.ndarray:
+        """The symbols' probabilities after the contexts of one order."""
+        keys, _, context = windows.contexts()
+        kept = self.answer(name, keys, "u1")[0].astype(bool)[context]
+        at = windows.open[kept]
+        c, n, below = windows.seen[windows.back[kept]], windows.occurs[kept], lp[at]
+        out = lp.copy()
+        out[at] = np.log10((c + SMOOTHING * np.power(10.0, below)) / (n + SMOOTHING))
+        unseen = at[c == 0]
+        out[unseen] = lp[unseen] + np.log10(SMOOTHING / (n[c == 0] + SMOOTHING))
+        return out
+
+    def ask(self, name: str) -> Asked:
+        """What the block asks in a round."""
+        if name == "words":
+            own = np.bincount(self.symbol, self.weight, len(self.words) + 1).astype(np.int64)
+            return Asked(self.key[:-1][self.by_key], (own[self.by_key],))
+        if name == "spelling":  # only where the model is too large to be sent
+            return Asked(self.key[:-1][self.by_key], (np.zeros(len(self.by_key)),))
+        if name in ("pairs", "triples"):
+            windows = self.pairs() if name == "pairs" else self.triples()
+            return Asked(windows.keys, (windows.counts,))
+        if name == "kept1":
+            return self.gains(self.known_pairs(), self.root())
+        return self.gains(self.known_triples(), self.after(self.known_pairs(), "kept1", self.root()))
+
+    def scores(self) -> tuple[np.ndarray, ...]:
+        """n_tokens, n_known, base_score and score of the block's texts."""
+        count = self.counts()[0]
+        base = np.log10((count + 1) / (self.corpus.n + self.corpus.v + 1))
+        lp = self.after(self.known_triples(), "kept2", self.after(self.known_pairs(), "kept1", self.root()))
+        of_symbol = [(count > 0).astype(np.int64)[self.symbol], base[self.symbol], lp]
+        return (self.sizes + 1, *(np.add.reduceat(x, self.starts) if len(self.starts) else x for x in of_symbol))
+
+
+def spellings(words: list[bytes], windows: np.ndarray, lp: np.ndarray) -> np.ndarray:
+    """The log10 probabilities of the words' spellings, and of the end."""
+    end = lp[np.searchsorted(windows, 1 << 56 | SPACE << 8 | END)]
+    if not words:
+        return np.array([end])
+    owner, keys = spelling_keys(words)
+    asked, _, back = distinct(keys)
+    return np.append(np.bincount(owner, lp[np.searchsorted(windows, asked)][back], len(words)), end)
+
+
+# -- rounds --------------------------------------------------------------------------------------
+
+
+def _blocks(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
+    """The blocks with all answers so far. The answers move to the blocks' buckets, not the blocks."""
+    if not answers:
+        return blocks.withColumn("answers", F.lit(None).cast("array<struct<round:string,range:bigint,value:binary,owned:binary>>"))
+    rows = answers[0]
+    for other in answers[1:]:
+        rows = rows.unionByName(other)
+    listed = rows.groupBy("block").agg(F.collect_list(F.struct("round", "range", "value", "owned")).alias("answers"))
+    return blocks.join(listed, "block", "left")
+
+
+def _each(blocks: DataFrame, corpus: Corpus, make: Callable[[int, Block], Iterator[tuple]], schema: str) -> DataFrame:
+    """``make`` over all blocks; it yields tuples of columns."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
-_TYPES = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                for columns in make(row["block"], Block(row, corpus)):
+                    yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
+
+    return blocks.select("block", "codes", "words", "sizes", "doc_ids", "held", "answers").mapInArrow(run, schema)
+
+
+ASKED_SCHEMA = "round string, range bigint, block bigint, keys binary, first binary, second binary"
+ANSWER_SCHEMA = "round string, range bigint, block bigint, value binary, owned binary, positive bigint"
+#: What the tasks do with the numbers of a round: add up counts or values, or decide on contexts.
+KINDS = {"words": "count", "pairs": "count", "triples": "count", "spelling": "value", "kept1": "gain", "kept2": "gain"}
+
+
+def _in_ranges(name: str, block: int, asked: Asked, ranges: int) -> tuple:
+    """Rows of ``ASKED_SCHEMA``, one for each range of the hash that has keys."""
+    edges = np.searchsorted(range_of(asked.keys, ranges), np.arange(ranges + 1)).tolist()
+    some = [r for r in range(ranges) if edges[r] < edges[r + 1]]
+    spans = [(edges[r], edges[r + 1]) for r in some]
+    packed = [[pack(v[a:b]) for a, b in spans] for v in asked.values]
+    second = packed[1] if len(packed) > 1 else [None] * len(some)
+    keys = [pack_sorted(asked.keys[a:b]) for a, b in spans]
+    return pa.array([name] * len(some), pa.string()), pa.array(some, pa.int64()), pa.array([block] * len(some), pa.int64()), *(pa.array(x, pa.binary()) for x in (keys, packed[0], second))
+
+
+def summed(rows: DataFrame) -> DataFrame:
+    """What all blocks together say of each key, sent back to every block that asked: the sum, or
+    whether a context is kept."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        kind = KINDS[table.column("round")[0].as_py()]
+        dtype = {"count": "<i8", "value": "<f8", "gain": "<f4"}[kind]
+        table = table.sort_by("block")  # the same sums and speakers in every run
+        keys = [unpack_sorted(x.as_py()) for x in table.column("keys")]
+        first = np.concatenate([unpack(x.as_py(), dtype) for x in table.column("first")])
+        ends = np.cumsum([len(x) for x in keys])
+        whole = np.concatenate(keys)
+        order = np.argsort(whole, kind="stable")
+        whole = whole[order]
+        heads = np.flatnonzero(np.r_[True, whole[1:] != whole[:-1]])
+        total = np.add.reduceat(first[order].astype("<i8" if kind == "count" else "<f8"), heads)
+        positive = int((total > 0).sum())
+        if kind == "gain":
+            n = np.concatenate([unpack(x.as_py(), "<i8") for x in table.column("second")])[order[heads]]
+            total = ((n >= MIN_COUNT) & (total - n * np.log(n) >= MIN_GAIN)).astype("u1")
+        value, owned = np.empty(len(whole), dtype=total.dtype), np.zeros(len(whole), dtype=bool)
+        value[order] = np.repeat(total, np.diff(np.r_[heads, len(whole)]))
+        owned[order[heads]] = True
+        spans = list(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+        columns = [
+            table.column("round"), table.column("range"), table.column("block"), pa.array([pack(value[a:b]) for a, b in spans], pa.binary()),
+            pa.array([np.packbits(owned[a:b]).tobytes() for a, b in spans], pa.binary()),
+            pa.array([positive, *[0] * (len(spans) - 1)], pa.int64()),
+        ]
+        return pa.table(columns, names=["round", "range", "block", "value", "owned", "positive"])
+
+    return rows.groupBy("round", "range").applyInArrow(answer, ANSWER_SCHEMA)
+
+
+def _round(blocks: DataFrame, answers: list[DataFrame], corpus: Corpus, *names: str, also: DataFrame | None = None) -> None:
+    """Asks, sums, and adds the written answers (with rows ``also`` said by no block)."""
+    spark = blocks.sparkSession
+    rows = _each(_blocks(blocks, answers), corpus, lambda k, block: (_in_ranges(x, k, block.ask(x), corpus.ranges) for x in names), ASKED_SCHEMA)
+    path = scratch_path(spark, f"answers-{names[0]}")
+    summed(rows if also is None else rows.union(also)).write.parquet(path)
+    answers.append(spark.read.parquet(path).where("block >= 0"))
+
+
+def _contexts(blocks: DataFrame, answers: list[DataFrame], corpus: Corpus) -> DataFrame:
+    """(key, c) of all byte contexts and next symbols of the distinct words, each word from
+    the block that speaks for it."""
+
+    def contexts(_: int, block: Block) -> Iterator[tuple]:
+        count, speaks = block.counts()
+        mine = np.flatnonzero(speaks[:-1]).tolist()
+        if mine:
+            yield context_keys([block.words[k] for k in mine], count[mine])
+
+    return _each(_blocks(blocks, answers), corpus, contexts, "key bigint, c bigint").groupBy("key").agg(F.sum("c").alias("c"))
+
+
+def _joined_spelling(blocks: DataFrame, answers: list[DataFrame], corpus: Corpus, table: DataFrame) -> DataFrame:
+    """The spellings' log10 probabilities as rows of ``ASKED_SCHEMA``, from a join of the
+    distinct words' byte windows with the spelling model."""
+
+    def needed(_: int, block: Block) -> Iterator[tuple]:
+        speaks = block.counts()[1]
+        mine = np.flatnonzero(speaks[:-1])
+        if len(mine):
+            owner, keys = spelling_keys([block.words[k] for k in mine.tolist()])
+            yield block.key[mine][owner].view(np.int64), keys
+        if speaks[-1]:
+            yield np.array([END_KEY]).view(np.int64), np.array([1 << 56 | SPACE << 8 | END])
+
+    asked = _each(_blocks(blocks, answers), corpus, needed, "id bigint, window bigint")
+    spelt = asked.join(table, "window").groupBy("id").agg(F.sum("lp").alias("spelt"))
+    ranges = corpus.ranges
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            where = range_of(batch.column(0).to_numpy().view(np.uint64), ranges).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(where), *batch.columns], ["range", "id", "spelt"])
+
+    def packed(rows: pa.Table) -> pa.Table:
+        keys = rows.column("id").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        asked = Asked(keys[order], (rows.column("spelt").to_numpy()[order],))
+        return pa.table(list(_in_ranges("spelling", -1, asked, ranges)), names=[c.split()[0] for c in ASKED_SCHEMA.split(", ")])
+
+    return spelt.mapInArrow(place, "range bigint, id bigint, spelt double").groupBy("range").applyInArrow(packed, ASKED_SCHEMA)
+
+
+SCORE_SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
 def score_corpus(docs: DataFrame, held_out: Callable[[], Column], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fit on the rows that are not held out, score all rows."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of all rows, by
+    the model of the rows that are not held out."""
+    spark = docs.sparkSession
     held = F.coalesce(held_out(), F.lit(False))
-    return score_documents(docs, fit(docs, held, text), held, key, text)
+    table = f"encore_lm_{uuid.uuid4().hex}"
+    write_blocks(docs, held, scratch_path(spark, "lm-blocks"), table, key, text)
+    try:
+        blocks = spark.table(table)
+        n, documents = blocks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("documents"), F.lit(0))).first()
+        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // RANGE_KEYS + 1)
+        bits = min(64, int(n).bit_length() + KEY_BITS)
+        corpus, answers = Corpus(n, 0, documents, ranges, bits, None), []
+        _round(blocks, answers, corpus, "words")
+        corpus = corpus._replace(v=answers[0].agg(F.coalesce(F.sum("positive"), F.lit(0))).first()[0])
+        model = spelling_table(_contexts(blocks, answers, corpus), documents)
+        if len(model.select("window").limit(SPELLING_ROWS + 1).toArrow()) <= SPELLING_ROWS:
+            known = model.toArrow()
+            order = np.argsort(windows := known.column("window").to_numpy())
+            corpus = corpus._replace(spelling=spark.sparkContext.broadcast((windows[order], known.column("lp").to_numpy()[order])))
+        else:
+            _round(blocks, answers, corpus, "spelling", also=_joined_spelling(blocks, answers, corpus, model))
+        for names in (("pairs",), ("kept1", "triples"), ("kept2",)):
+            _round(blocks, answers, corpus, *names)
+
+        def score(_: int, block: Block) -> Iterator[tuple]:
+            tokens, known, base, total = block.scores()
+            ids = pa.array(block.doc_ids, pa.int64())
+            yield ids, block.held, tokens, known, np.full(len(tokens), n, dtype=np.int64), base, total
+
+        path = scratch_path(spark, "lm-scores")
+        _each(_blocks(blocks, answers), corpus, score, SCORE_SCHEMA).write.parquet(path)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return spark.read.schema(SCORE_SCHEMA).parquet(path)
