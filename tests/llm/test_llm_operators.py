@@ -3,6 +3,8 @@
 import hashlib
 import math
 import re
+import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -443,6 +445,56 @@ def test_decontamination_passes_hold_one_part_of_the_items(spark, odd, monkeypat
         assert Counter(map(tuple, out.collect())) == rows and "MapInArrow" not in out._jdf.queryExecution().toString()
 
 
+def test_very_long_texts_of_one_passage_are_searched_in_pieces():
+    """20 MB of an item's passage, and of a near copy, within a minute and in bounded memory."""
+    words = [f"word{k}" for k in range(300)]
+    item, near = " ".join(words[:60]), " ".join(words[:56] + words[200:202])
+    bench = decontamination.Benchmark([1, 2], [item.encode(), " ".join(words[100:140]).encode()])
+    for passage, expect in ((item, 1.0), (near, None)):
+        text = ((passage + " ") * (20_000_000 // len(passage))).encode()
+        (hashes,), _ = decontamination.shingles([text], decontamination.ALNUM)
+        tracemalloc.start()
+        began = time.monotonic()
+        (found,) = bench.search(hashes, *bench.held(hashes))
+        took, (_, peak) = time.monotonic() - began, tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert took < 60 and peak < 500 << 20
+        size = len(bench.sets[0])
+        best = max(decontamination.similarity(Counter(hashes[a : a + size].tolist()), Counter(bench.sets[0].tolist())) for a in range(120))
+        assert found[0] == 0 and found[2] == pytest.approx(best) and (expect is None or found[2] == expect)
+
+
+def test_recall_at_the_threshold():
+    """Windows at a similarity from 0.75 on, made by changing words: none of 2,000 is missed, as
+    the radius promises all but about one in 20,000."""
+    rng = np.random.default_rng(12)
+    missed = near = 0
+    for k in range(2000):
+        words = [f"v{x}" for x in rng.integers(0, 5000, int(rng.integers(30, 120)))]
+        changed = list(words)
+        for j in rng.choice(len(words), max(1, len(words) // 60), replace=False):
+            changed[j] = "other"
+        bench = decontamination.Benchmark([0], [" ".join(words).encode()])
+        (hashes,), _ = decontamination.shingles([" ".join(["x"] * 9 + changed + ["y"] * 9).encode()], decontamination.ALNUM)
+        size = int(bench.lengths[0])
+        best = max(decontamination.similarity(Counter(hashes[a : a + size].tolist()), Counter(bench.sets[0].tolist())) for a in (8, 9, 10))
+        found = bench.search(hashes, *bench.held(hashes))
+        if best >= 0.75:
+            near += best < 0.85
+            missed += not found or found[0][2] < best - 1e-12
+        else:
+            assert not found or found[0][2] >= 0.75
+    assert near > 100 and missed == 0
+
+
+def test_equal_items_and_items_without_id(spark):
+    text = " ".join(f"w{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, f"so {text} then"), (2, "nothing")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(4, text), (5, text), (None, text), (6, None), (7, "")], "item_id bigint, text string")
+    got = Counter((r["doc_id"], r["item_id"]) for r in decontamination.matches(docs, items).collect())
+    assert got == Counter([(1, 4), (1, 5), (1, None)])
+
+
 def test_block_index_finds_all_within_the_radius():
     rng = np.random.default_rng(4)
     prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
@@ -458,24 +510,27 @@ def test_block_index_finds_all_within_the_radius():
 # -- 9 -------------------------------------------------------------------------------------
 
 
-def test_language_model_base_matches_brute_force(spark, odd, texts):
+def test_language_model_base_matches_brute_force(spark, odd, texts, monkeypatch):
     rows = [(r[0], r[1]) for r in odd_rows() if r[0] is not None] + [(100 + i, t) for i, t in list(texts.items())[:80]]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     out = Counter()
     train = [lower_words(t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
     c = Counter(w for d in train for w in [*d, None])
     n, v = sum(c.values()), len(c)
-    want = []
+    want, scores = [], []
     for i, t in rows:
         d = [*lower_words(t), None]
         base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in d)
         want.append((i, zlib.crc32(str(i).encode()) % 7 == 2, len(d), sum(c[w] > 0 for w in d), n, round(base, 5)))
-    for share in (lm_scoring.COMMON_SHARE, 0.001):  # all words common, and most of them joined
-        lm_scoring.COMMON_SHARE, before = share, lm_scoring.COMMON_SHARE
+    # One block with the spelling model sent along; many blocks with the model joined.
+    for block_bytes, rows_sent in ((lm_scoring.BLOCK_BYTES, lm_scoring.SPELLING_ROWS), (9000, 0)):
+        monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", block_bytes)
+        monkeypatch.setattr(lm_scoring, "SPELLING_ROWS", rows_sent)
         out = lm_scoring.score_corpus(docs, lambda: id_bucket(7) == 2).collect()
-        lm_scoring.COMMON_SHARE = before
+        scores.append({(r["doc_id"], r["n_tokens"]): r["score"] for r in out})
         assert Counter((*tuple(r)[:5], round(r["base_score"], 5)) for r in out) == Counter(want)
         assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in out)
+    assert scores[0].keys() == scores[1].keys() and all(scores[1][k] == pytest.approx(x, rel=1e-9) for k, x in scores[0].items())
 
 
 def test_suffix_tree_is_a_distribution_and_beats_the_root():
