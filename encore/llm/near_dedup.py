@@ -67,7 +67,7 @@ def sketch(values: np.ndarray) -> np.ndarray:
 
 
 def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The sketch of the union of two sets."""
+    """The sketch of the union of two sets (for callers that keep sketches; grouping needs none)."""
     return np.maximum(a, b)
 
 

@@ -1,6 +1,6 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax.
 
-A word's vector is the mean of the vectors of its character n-grams (3 to 5, with word
+A word's vector is the mean of the vectors of its character n-grams (3 to 6, with word
 marks) and of the word itself, all hashed into one table; a window of words averages its
 word vectors; a softmax over two classes reads that average. Table and softmax are trained
 jointly in numpy, so a misspelling that was never seen shares most of its n-grams, and

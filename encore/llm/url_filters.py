@@ -33,10 +33,6 @@ BASE = r"""(?is)<base\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?\s*[0-9.]*\s*[;,]?\s*url\s*=\s*["']?([^"'\s>]+)"""
 
 
-def _after_scheme(url: Column) -> Column:
-    return F.when(F.contains(url, F.lit("://")), F.substring_index(F.regexp_replace(url, r"^(?s).*?://", "://"), "://", -1))
-
-
 def host_of(url: Column) -> Column:
     """What stands between the first ``://`` and the next ``/``, ``?`` or ``#``, A-Z lower-cased."""
     return F.coalesce(F.translate(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), _A, _Z), F.lit(""))
