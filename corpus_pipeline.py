@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.llm import decontamination, near_dedup, quality_rules, sentencepiece_codec, toxicity
-from encore.llm.common import fresh, id_bucket, table
+from encore.llm.common import checkpointed, fresh, id_bucket, table
 from encore.llm.queries import tokenizer_path
 from encore.session import scratch_path
 
@@ -33,9 +33,14 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without words are in no group and stay; so do documents without id."""
-    gone = near_dedup.group(docs).where(~F.col("kept")).select("doc_id").distinct()
-    # Of repeated rows of one kept document one stays.
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).dropDuplicates()
+    gone = checkpointed(near_dedup.group(docs).where(~F.col("kept")).select("doc_id").distinct())
+    # Of repeated rows of one document one stays. Only ids that occur again (and rows without
+    # id) are compared whole; the others' texts are not shuffled for it.
+    again = checkpointed(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
+    known = docs.where("doc_id is not null")
+    once = known.join(gone.union(again), "doc_id", "left_anti").select(*docs.columns)
+    more = known.join(again.join(gone, "doc_id", "left_anti"), "doc_id", "left_semi").select(*docs.columns)
+    return once.union(more.union(docs.where("doc_id is null")).dropDuplicates())
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
