@@ -16,21 +16,25 @@ from __future__ import annotations
 import re
 import struct
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import map_slices, text_bytes
+from encore.llm.parts import Memory, cut, gather, text_slices
 
 SPACE = "▁"
 _SPACE_BYTES = SPACE.encode()
 #: Segmented words kept per worker process.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
+#: Bytes of text encoded together.
+TEXT_BYTES = 4 << 20
 
 
 def _fields(message: bytes) -> list[tuple[int, int, int, int | bytes]]:
@@ -122,6 +126,11 @@ class Codec:
         #: Whether words can be segmented one by one.
         self.by_word = self.dummy_prefix and not self.literal and not trainer.get(24) and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
         self.cache: dict[str, bytes] = {}  # (id, bytes covered) pairs of a word's pieces
+        #: Whether texts need no map, so that their parts can be looked up in Arrow.
+        self.direct = self.by_word and not self.charsmap.units and not self.squeeze
+        self.parts = Memory(self._pairs, CACHE_WORDS)
+        # Space marks stand for one byte of a text that holds none itself.
+        self.source_size_of = [n - 2 * p.count(SPACE) for n, p in zip(self.size_of, pieces, strict=True)]
 
     # -- normalisation ---------------------------------------------------------------
 
@@ -230,6 +239,56 @@ class Codec:
             out.append(self._spans(pairs[:, 0], pairs[:, 1], align))
         return out
 
+    def _pairs(self, parts: list[str]) -> list[bytes]:
+        """Packed (id, original bytes covered) pairs of parts, the space before them included."""
+        size_of, special, out = self.source_size_of, self.bytes_or_unknown, []
+        # A part's own spaces and the one before it become marks.
+        marked = [SPACE + p.replace(" ", SPACE) for p in parts]
+        for full, ids in zip(marked, self.segmenter.encode(marked, num_threads=1), strict=True):
+            if special.isdisjoint(ids):
+                sizes = [size_of[i] for i in ids]
+            else:
+                sizes = [n - (self.size_of[i] - size_of[i]) if n else 0 for i, n in zip(ids, self._sizes(full, ids), strict=True)]
+            out.append(array("i", chain.from_iterable(zip(ids, sizes, strict=True))).tobytes())
+        return out
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, begins and ends of all texts one after the other, and how many each text has."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        # Texts that hold the space mark themselves go one by one, as all do where a map is needed.
+        alone = pc.match_substring(texts, SPACE) if self.direct else pa.array([True] * len(texts), pa.bool_())
+        together = pc.if_else(alone, "", texts)
+        parts, codes, offsets = cut(together)
+        pairs, each = gather(self.parts.look(parts), codes, "<i4,<i4")
+        counts = np.add.reduceat(each, offsets[:-1]) if len(texts) else np.zeros(0, dtype=np.int64)
+        counts[pc.equal(together, "").to_numpy(zero_copy_only=False)] = 0
+        if not len(pairs):
+            ids = ends = np.zeros(0, dtype=np.int32)
+        else:
+            kept = np.repeat(counts > 0, np.add.reduceat(each, offsets[:-1]))
+            ids, ends = pairs["f0"][kept], np.cumsum(pairs["f1"][kept], dtype=np.int64)
+        starts = np.cumsum(counts) - counts
+        filled = counts > 0
+        # Ends count from each text's begin; the first mark stands for no byte.
+        before = np.zeros(len(counts), dtype=np.int64)
+        before[filled] = np.concatenate([[0], ends])[starts[filled]]
+        ends = ends - np.repeat(before + 1, counts)
+        begins = np.empty_like(ends)
+        begins[1:] = ends[:-1]
+        begins[starts[filled]] = 0
+        found = [ids.astype(np.int32), begins.astype(np.int32), ends.astype(np.int32)]
+        rows = np.flatnonzero(alone.to_numpy(zero_copy_only=False))
+        if not len(rows):
+            return *found, counts
+        own = self.encode_all([t.encode() for t in texts.take(pa.array(rows)).to_pylist()])
+        pieces: list[list[np.ndarray]] = [[], [], []]
+        at = 0
+        for row, triple in zip(rows.tolist(), own, strict=True):
+            for k in range(3):
+                pieces[k] += [found[k][at : starts[row]], triple[k]]
+            at, counts[row] = starts[row], len(triple[0])
+        return *(np.concatenate([*p, f[at:]]).astype(np.int32) for p, f in zip(pieces, found, strict=True)), counts
+
     @staticmethod
     def _parts(text: str) -> list[str]:
         """The words of normalised text, each without its own space mark but with those before it."""
@@ -265,24 +324,18 @@ def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text
     ``model_path`` is read in each task, so it must exist on every executor.
     """
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_for(model_path)
-
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = codec.encode_all(text_bytes(batch.column(1)))
-            offsets = np.cumsum([0, *(len(r[0]) for r in rows)]).astype(np.int32)
-            lists = []
-            for k in range(3):
-                flat = np.concatenate([r[k] for r in rows]) if rows else np.zeros(0, dtype=np.int32)
-                lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.int32())))
-            flat = lists[0].values.to_pylist()
+        for batch in text_slices(batches, 1, TEXT_BYTES):
+            *columns, counts = codec.encode_batch(batch.column(1))
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(c, type=pa.int32())) for c in columns]
+            flat = columns[0].tolist()
             decoded = pa.array([codec.decode(flat[a:b]) for a, b in pairwise(offsets.tolist())], type=pa.string())
-            return pa.RecordBatch.from_arrays([batch.column(0), *lists, decoded], ["doc_id", "ids", "begins", "ends", "decoded"])
-
-        return step
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists, decoded], ["doc_id", "ids", "begins", "ends", "decoded"])
 
     source = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return map_slices(source, make, SCHEMA)
+    return source.mapInArrow(run, SCHEMA)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from encore.llm import token_shards
 from encore.llm.byte_bpe import ByteEncoder
 from encore.llm.parts import Memory, cut, gather, text_slices
 from encore.llm.queries import tokenizer_path
+from encore.llm.sentencepiece_codec import Codec
 
 PIECES = [" ", "  ", "\n", "\t", "a", "word", "Word.", "don't", "'s", "é", "ßü", "漢字", "😀", "1234", "<|endoftext|>", "<|", "\x00", "\x1c", "\x85", " ",
           "　", "▁", "...", "x,y;z", "<s>", "ﬁ", "é", "A" * 200, "ɐ", " "]
@@ -80,3 +81,19 @@ def test_order_of_repeated_ids_is_fixed(spark):
         got = token_shards.encode_documents(docs, tokenizer_path("byte_bpe_50k.json")).collect()
         found.append(sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in got))
     assert found[0] == found[1] and len(found[0]) == 102
+
+
+def test_pieces_and_spans_of_batches_are_those_of_single_texts():
+    codec = Codec(tokenizer_path("piece_bpe_32k.model"))
+    assert codec.direct
+    codec.parts.limit = 50  # generations change
+    texts = hard_texts(400)
+    for some in (texts, texts[:1], texts[4:9], ["▁"], ["a▁ b", "", "c", "x ▁"], []):
+        ids, begins, ends, counts = codec.encode_batch(pa.array(some, pa.string()))
+        at = np.cumsum([0, *counts.tolist()])
+        assert at[-1] == len(ids) == len(begins) == len(ends) and len(counts) == len(some)
+        for k, t in enumerate(some):
+            want = codec.encode((t or "").encode())
+            own = slice(at[k], at[k + 1])
+            assert all(x[own].tolist() == y.tolist() for x, y in zip((ids, begins, ends), want, strict=True)), t
+            assert ids[own].tolist() == codec.library.encode(t or "")
