@@ -64,7 +64,9 @@ SPACE, END = 32, 10  # neither byte occurs in a word
 #: Rows (16 bytes each) of the spelling model that are sent to every task.
 SPELLING_ROWS = 4_000_000
 #: Bytes of text in a block, and keys that one summing task holds at a time.
-BLOCK_BYTES, RANGE_KEYS = 6 << 20, 4_000_000
+BLOCK_BYTES, RANGE_KEYS = 5 << 20, 4_000_000
+#: Byte contexts that a task adds up before it sends them on.
+HELD_CONTEXTS = 1_500_000
 #: Bits of a window's key beyond those that number the corpus' tokens.
 KEY_BITS = 20
 
@@ -77,39 +79,54 @@ def hash_of(word: bytes) -> int:
 START_KEY, END_KEY, STARTS_KEY = (np.uint64(hash_of(x)) for x in (b" ", b"\n", b"  "))
 
 
-def context_keys(vocabulary: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (order, context, next symbol) keys of words and their weighted counts. A key
-    packs the order, up to DEPTH context bytes and the symbol, from the high to the low bits."""
-    data = np.frombuffer(b"".join(b" " + w + b" " for w in vocabulary), dtype=np.uint8).astype(np.int64)
-    sizes = np.array([len(w) + 2 for w in vocabulary])
-    weight = np.repeat(np.asarray(counts, dtype=np.float64), sizes)
-    place = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    keys, weights = [], []
-    context = np.zeros(len(data), dtype=np.int64)
-    for k in range(DEPTH + 1):
-        at = place >= max(k, 1)  # a token's opening space is a context, not a symbol
-        if k:
-            context[k:] |= data[:-k] << (8 * (k - 1))
-        keys.append((k << 56) | (context[at] << 8) | data[at])
-        weights.append(weight[at])
-    keys, weights = np.concatenate(keys), np.concatenate(weights)
-    known, _, back = distinct(keys)
-    return known, np.bincount(back, weights, len(known)).astype(np.int64)
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct keys, a place of each, and the index of every key among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    heads = np.empty(len(keys), dtype=bool)
+    heads[:1] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=heads[1:])
+    back = np.empty(len(keys), dtype=np.int32)
+    back[order] = np.cumsum(heads, dtype=np.int32) - 1
+    return ordered[heads], order[heads], back
 
 
 def spelling_keys(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Of each symbol of the words, the word's place in the list and the key (as in
     ``context_keys``) of the symbol after its longest context."""
-    data = np.frombuffer(b"".join(b" " + w + b" " for w in vocabulary), dtype=np.uint8).astype(np.int64)
-    sizes = np.array([len(w) + 2 for w in vocabulary])
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    data = np.frombuffer(b"".join([b" " + w + b" " for w in vocabulary]), dtype=np.uint8)
+    sizes = np.fromiter(map(len, vocabulary), dtype=np.int64, count=len(vocabulary)) + 2
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     place = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     order = np.minimum(place, DEPTH)
-    context = np.zeros(len(data), dtype=np.int64)
-    for k in range(1, DEPTH + 1):
-        context[k:] |= np.where(order[k:] >= k, data[:-k] << (8 * (k - 1)), 0)
-    at = place >= 1
-    return owner[at], ((order << 56) | (context << 8) | data)[at]
+    # The bytes before a symbol, whatever word they are of; the order says how many are its own.
+    before = np.zeros(len(data), dtype=np.int64)
+    for k in range(DEPTH, 0, -1):
+        before <<= 8
+        before[k:] |= data[:-k]
+    before &= ((1 << 8 * np.arange(DEPTH + 1)) - 1)[order]
+    at = np.flatnonzero(place)
+    return owner[at], ((order << 56) | (before << 8) | data)[at]
+
+
+def context_keys(vocabulary: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (order, context, next symbol) keys of words and their weighted counts. A key
+    packs the order, up to DEPTH context bytes and the symbol, from the high to the low bits."""
+    owner, longest = spelling_keys(vocabulary)
+    known, _, back = distinct(longest)
+    weight = np.bincount(back, np.asarray(counts, dtype=np.float64)[owner], len(known))
+    order = known >> 56
+    keys, weights = [], []
+    held, of_held = np.zeros(0, dtype=np.int64), np.zeros(0)
+    for k in range(DEPTH, -1, -1):
+        # The symbols whose longest context has this order, and the longer ones without their first byte.
+        shorter = (k << 56) | (held & ((1 << 8 * (k + 1)) - 1))
+        here = order == k
+        held, _, back = distinct(np.concatenate([known[here], shorter]))
+        of_held = np.bincount(back, np.concatenate([weight[here], of_held]), len(held))
+        keys.append(held)
+        weights.append(of_held)
+    return np.concatenate(keys), np.concatenate(weights).astype(np.int64)
 
 
 def climb(windows: DataFrame, lower: DataFrame) -> DataFrame:
@@ -294,18 +311,6 @@ class Asked(NamedTuple):
     values: tuple[np.ndarray, ...]
 
 
-def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sorted distinct keys, a place of each, and the index of every key among them."""
-    order = np.argsort(keys)
-    ordered = keys[order]
-    heads = np.empty(len(keys), dtype=bool)
-    heads[:1] = True
-    np.not_equal(ordered[1:], ordered[:-1], out=heads[1:])
-    back = np.empty(len(keys), dtype=np.int32)
-    back[order] = np.cumsum(heads, dtype=np.int32) - 1
-    return ordered[heads], order[heads], back
-
-
 class Windows:
     """The windows of one order in a block: contexts (as codes, with all codes' keys) of the
     symbols at ``open``, where the context occurs often enough."""
@@ -341,7 +346,7 @@ class Block:
         self.codes, self.sizes = unpack(row["codes"], "<i4"), unpack(row["sizes"], "<i8")
         self.words = zstandard.ZstdDecompressor().decompress(row["words"]).split(b"\n") if len(self.codes) else []
         self.held = np.array(row["held"], dtype=bool)
-        self.doc_ids = row["doc_ids"]
+        self.doc_ids, self.written_root = row["doc_ids"], row["root"]
         self.packed: dict[str, list[tuple[int, bytes, bytes]]] = {}
         for m in row["answers"] or []:
             self.packed.setdefault(m["round"], []).append((m["range"], m["value"], m["owned"]))
@@ -416,20 +421,20 @@ class Block:
     def known_triples(self) -> Windows:
         return self._once("known triples", lambda: (w := self.triples()).know(self.answer("triples", w.keys, "<i8")))
 
-    def root(self) -> np.ndarray:
-        """The log10 probability of every symbol by the distribution of words."""
-
-        def make() -> np.ndarray:
-            n, c = self.corpus.n, self.counts()[0]
-            if self.corpus.spelling is not None:
-                spelt = spellings(self.words, *self.corpus.spelling.value)
-            else:
-                spelt = np.empty(len(c))
-                spelt[self.by_key] = self.answer("spelling", self.key[:-1][self.by_key], "<f8")[0]
-            seen = np.log10((np.maximum(c, 1) + SMOOTHING * np.power(10.0, spelt)) / (n + SMOOTHING))
-            return np.where(c > 0, seen, spelt + math.log10(SMOOTHING / (n + SMOOTHING)))[self.symbol]
+    def root_of_words(self) -> np.ndarray:
+        """The log10 probabilities of the words and the end by the distribution of words."""
+        n, c = self.corpus.n, self.counts()[0]
+        if self.corpus.spelling is not None:
+            spelt = spellings(self.words, *self.corpus.spelling.value)
+        else:
+            spelt = np.empty(len(c))
+            spelt[self.by_key] = self.answer("spelling", self.key[:-1][self.by_key], "<f8")[0]
+        seen = np.log10((np.maximum(c, 1) + SMOOTHING * np.power(10.0, spelt)) / (n + SMOOTHING))
+        return np.where(c > 0, seen, spelt + math.log10(SMOOTHING / (n + SMOOTHING)))
 
-        return self._once("root", make)
+    def root(self) -> np.ndarray:
+        """Of every symbol, as written by the step before the rounds that need it."""
+        return self._once("root", lambda: np.frombuffer(self.written_root, dtype="<f8")[self.symbol])
 
     def gains(self, windows: Windows, lp: np.ndarray) -> Asked:
         """The block's share of the contexts' gain over their suffixes (from the windows it
@@ -475,6 +480,12 @@ class Block:
         return (self.sizes + 1, *(np.add.reduceat(x, self.starts) if len(self.starts) else x for x in of_symbol))
 
 
+def merged(keys: tuple[np.ndarray, ...], counts: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of several lists and the sums of their counts."""
+    known, _, back = distinct(np.concatenate(keys))
+    return known, np.bincount(back, np.concatenate(counts), len(known)).astype(np.int64)
+
+
 def spellings(words: list[bytes], windows: np.ndarray, lp: np.ndarray) -> np.ndarray:
     """The log10 probabilities of the words' spellings, and of the end."""
     end = lp[np.searchsorted(windows, 1 << 56 | SPACE << 8 | END)]
@@ -499,18 +510,23 @@ def _blocks(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
     return blocks.join(listed, "block", "left")
 
 
-def _each(blocks: DataFrame, corpus: Corpus, make: Callable[[int, Block], Iterator[tuple]], schema: str) -> DataFrame:
-    """``make`` over all blocks; it yields tuples of columns."""
+def _each(
+    blocks: DataFrame, corpus: Corpus, make: Callable[[int, Block], Iterator[tuple]], schema: str, last: Callable[[], list[tuple]] = list
+) -> DataFrame:
+    """``make`` over all blocks, then ``last``, per task; they give tuples of columns."""
     names = [c.split()[0] for c in schema.split(", ")]
 
+    def packed(columns: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                for columns in make(row["block"], Block(row, corpus)):
-                    yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
+                yield from map(packed, make(row["block"], Block(row, corpus)))
+        yield from map(packed, last())
 
-    return blocks.select("block", "codes", "words", "sizes", "doc_ids", "held", "answers").mapInArrow(run, schema)
+    return blocks.select("block", "codes", "words", "sizes", "doc_ids", "held", "root", "answers").mapInArrow(run, schema)
 
 
 ASKED_SCHEMA = "round string, range bigint, block bigint, keys binary, first binary, second binary"
@@ -576,14 +592,19 @@ def _round(blocks: DataFrame, answers: list[DataFrame], corpus: Corpus, *names:
 def _contexts(blocks: DataFrame, answers: list[DataFrame], corpus: Corpus) -> DataFrame:
     """(key, c) of all byte contexts and next symbols of the distinct words, each word from
     the block that speaks for it."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def contexts(_: int, block: Block) -> Iterator[tuple]:
         count, speaks = block.counts()
         mine = np.flatnonzero(speaks[:-1]).tolist()
         if mine:
-            yield context_keys([block.words[k] for k in mine], count[mine])
+            held.append(context_keys([block.words[k] for k in mine], count[mine]))
+            if len(held) > 1:  # the blocks of a task are added up
+                held[:] = [merged(*zip(*held, strict=True))]
+        if held and len(held[0][0]) > HELD_CONTEXTS:
+            yield held.pop()
 
-    return _each(_blocks(blocks, answers), corpus, contexts, "key bigint, c bigint").groupBy("key").agg(F.sum("c").alias("c"))
+    return _each(_blocks(blocks, answers), corpus, contexts, "key bigint, c bigint", lambda: held).groupBy("key").agg(F.sum("c").alias("c"))
 
 
 def _joined_spelling(blocks: DataFrame, answers: list[DataFrame], corpus: Corpus, table: DataFrame) -> DataFrame:
@@ -628,7 +649,7 @@ def score_corpus(docs: DataFrame, held_out: Callable[[], Column], key: str = "do
     table = f"encore_lm_{uuid.uuid4().hex}"
     write_blocks(docs, held, scratch_path(spark, "lm-blocks"), table, key, text)
     try:
-        blocks = spark.table(table)
+        blocks = spark.table(table).withColumn("root", F.lit(None).cast("binary"))
         n, documents = blocks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("documents"), F.lit(0))).first()
         ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // RANGE_KEYS + 1)
         bits = min(64, int(n).bit_length() + KEY_BITS)
@@ -642,6 +663,11 @@ def score_corpus(docs: DataFrame, held_out: Callable[[], Column], key: str = "do
             corpus = corpus._replace(spelling=spark.sparkContext.broadcast((windows[order], known.column("lp").to_numpy()[order])))
         else:
             _round(blocks, answers, corpus, "spelling", also=_joined_spelling(blocks, answers, corpus, model))
+        # Written once, bucketed like the blocks, as three steps need it.
+        roots = _each(_blocks(blocks, answers), corpus, lambda k, block: [([k], [block.root_of_words().tobytes()])], "block bigint, root binary")
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        roots.write.bucketBy(buckets, "block").option("path", scratch_path(spark, "lm-roots")).saveAsTable(f"{table}_roots")
+        blocks = spark.table(table).join(spark.table(f"{table}_roots"), "block")
         for names in (("pairs",), ("kept1", "triples"), ("kept2",)):
             _round(blocks, answers, corpus, *names)
 
@@ -653,5 +679,6 @@ def score_corpus(docs: DataFrame, held_out: Callable[[], Column], key: str = "do
         path = scratch_path(spark, "lm-scores")
         _each(_blocks(blocks, answers), corpus, score, SCORE_SCHEMA).write.parquet(path)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for name in (table, f"{table}_roots"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
     return spark.read.schema(SCORE_SCHEMA).parquet(path)
