@@ -23,8 +23,9 @@ by definition. Words go by 64-bit hashes (a billion of them hold one collision w
 probability 3 %); windows by as many bits as keep the share of windows that collide near a
 millionth, whatever the size of the corpus (``KEY_BITS`` more than tokens have).
 
-The spelling model is a table of byte windows; up to ``SPELLING_ROWS`` rows it is sent to the
-tasks, beyond that it is joined with the distinct words.
+The spelling model is a table of byte windows; up to ``SPELLING_ROWS`` rows it is worked out
+on the driver and sent to the tasks, beyond that it is built and joined with the distinct
+words as a distributed table.
 
 Defined results: a null or blank text is only its end token; repeated rows count and are
 scored each for itself; without training rows the counts are 0 and all symbols are equally
@@ -169,6 +170,31 @@ def spelling_table(contexts: DataFrame, documents: int) -> DataFrame:
     return table
 
 
+def spelling_arrays(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``spelling_table`` gives, sorted by window, for contexts that fit one task."""
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    cuts = np.searchsorted(keys, np.arange(DEPTH + 2) << 56)
+    c = counts[: cuts[1]]
+    lower_keys, lower = keys[: cuts[1]], np.log10((c + 1) / float(c.sum() + 256))
+    made = []
+    for k in range(1, DEPTH + 1):
+        window, c = keys[cuts[k] : cuts[k + 1]], counts[cuts[k] : cuts[k + 1]].astype(np.float64)
+        below = window & 255 if k == 1 else ((k - 1) << 56) | (window & ((1 << 8 * k) - 1))
+        lp = lower[np.searchsorted(lower_keys, below)]
+        context = window >> 8
+        heads = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(window) else np.zeros(0, dtype=np.int64)
+        place = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(window)]))
+        n = np.bincount(place, c, len(heads))
+        gain = np.bincount(place, np.where(c > 0, c * (np.log(np.maximum(c, 1)) - lp * math.log(10)), 0.0), len(heads))
+        kept = (n >= MIN_COUNT) & (gain - n * np.log(np.maximum(n, 1)) >= MIN_GAIN)
+        n, here = n[place], kept[place]
+        own = np.where(c > 0, np.log10((c + SMOOTHING * np.power(10.0, lp)) / (n + SMOOTHING)), lp + np.log10(SMOOTHING / (n + SMOOTHING)))
+        lower_keys, lower = window, np.where(here, own, lp)
+        made.append((lower_keys, lower))
+    return tuple(np.concatenate(x) for x in zip(*made, strict=True))
+
+
 class SuffixTree:
     """The spelling model of a small table of contexts in memory, as ``climb`` defines it but
     for the minimum count; the tests hold the distributed tables against it.
@@ -656,12 +682,15 @@ def score_corpus(docs: DataFrame, held_out: Callable[[], Column], key: str = "do
         corpus, answers = Corpus(n, 0, documents, ranges, bits, None), []
         _round(blocks, answers, corpus, "words")
         corpus = corpus._replace(v=answers[0].agg(F.coalesce(F.sum("positive"), F.lit(0))).first()[0])
-        model = spelling_table(_contexts(blocks, answers, corpus), documents)
-        if len(model.select("window").limit(SPELLING_ROWS + 1).toArrow()) <= SPELLING_ROWS:
-            known = model.toArrow()
-            order = np.argsort(windows := known.column("window").to_numpy())
-            corpus = corpus._replace(spelling=spark.sparkContext.broadcast((windows[order], known.column("lp").to_numpy()[order])))
+        contexts = checkpointed(_contexts(blocks, answers, corpus))
+        if contexts.count() <= SPELLING_ROWS:
+            known = contexts.toArrow()
+            ends = np.array([END, 1 << 56 | SPACE << 8 | END])
+            keys = np.concatenate([known.column("key").to_numpy(), ends])
+            counts = np.concatenate([known.column("c").to_numpy(), [documents, documents]])
+            corpus = corpus._replace(spelling=spark.sparkContext.broadcast(spelling_arrays(keys, counts)))
         else:
+            model = spelling_table(contexts, documents)
             _round(blocks, answers, corpus, "spelling", also=_joined_spelling(blocks, answers, corpus, model))
         # Written once, bucketed like the blocks, as three steps need it.
         roots = _each(_blocks(blocks, answers), corpus, lambda k, block: [([k], [block.root_of_words().tobytes()])], "block bigint, root binary")
