@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from encore.operators.evaluate import grouped_auc
 
-MAX_STEPS, TOLERANCE = 40, 1e-9
+#: Steps of a fit, the relative size of a step that ends it, and the gain in the objective that does.
+MAX_STEPS, TOLERANCE, GAIN = 40, 1e-9, 1e-14
 #: Rows of a matrix product, and sets of sums that one task merges.
 _ROWS, _FAN_IN = 2048, 64
 
@@ -235,6 +236,10 @@ class _Problem:
             # Forward from a better point, half the way back from one too far.
             step = np.where(better[:, None], target - tried, np.where(settled[:, None], 0.0, step / 2))
             settled |= np.abs(step).max(axis=1) <= TOLERANCE * np.maximum(1.0, np.abs(beta).max(axis=1))
+            # Nor is there a way to go where the approximation promises nothing (flat directions).
+            promised = (g * step).sum(axis=1) + 0.5 * np.einsum("mj,mjk,mk->m", step, h, step)
+            promised += [self.penalty(m, tried[m] + step[m]) - self.penalty(m, tried[m]) for m in range(models)]
+            settled |= better & (-promised <= GAIN * np.maximum(1.0, np.abs(now)))
             step[settled] = 0.0
             if settled.all():
                 break
