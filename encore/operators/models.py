@@ -22,6 +22,8 @@ from encore.session import default_parallelism
 # (linear SVM maxIter 10 / regParam 0.1; ALS maxIter 5 / regParam 0.01 / rank 10).
 SEED = 1000
 FOLD = "_fold"
+#: Rows of a task while tuning: a fit is hundreds of passes, and each pays for every task.
+TUNE_ROWS = 20_000
 
 
 def logistic(**params) -> LogisticRegression:
@@ -69,7 +71,8 @@ def tune(
     point per available core, at most the grid size) runs several fits at once
     so that small folds do not leave the cluster idle. With ``keys`` a row's fold
     is a hash of them, the same on any partitioning and after a repeated task;
-    without, Spark draws folds at random. ``train`` is kept for the many fits.
+    without, Spark draws folds at random. ``train`` is kept for the many fits, which
+    read it in tasks of about ``TUNE_ROWS`` rows, however finely its plan dealt it out.
     """
     if parallelism is None:
         parallelism = max(1, min(len(param_grid), default_parallelism(train.sparkSession)))
@@ -86,7 +89,7 @@ def tune(
     )
     train = train.persist()
     try:
-        return cv.fit(train)
+        return cv.fit(train.coalesce(max(1, -(-train.count() // TUNE_ROWS))))
     finally:
         train.unpersist()
 
