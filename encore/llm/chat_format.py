@@ -9,11 +9,11 @@ Template: ``### <role>:``, a line end, the text, a line end, ``</turn>``, a line
 texts a backslash stands before each backslash, ``###`` and ``</turn>``; roles are
 percent-encoded. So no text can open or close a turn, and reading back is exact.
 
-Windows and string functions only. Turns are shuffled once, by conversation; examples are
-kept as offsets into their conversation's text, so that their size grows with its turns and
-not with their square; ``with_text`` expands them to texts. A conversation of any length
-streams through windows that spill; only its digests, which are over its whole text, need
-that text in one row.
+Windows and string functions only. Turns are shuffled once, by conversation. ``examples``
+are offsets into their conversation's text, so that their size grows with its turns and
+not with their square; ``with_text`` expands them to texts, which the digests are read from.
+A conversation of any length streams through windows that spill; its texts need all its
+turns in one row.
 
 Defined results: rows of a conversation stand by turn, then role, then text (nulls first;
 repeated rows are turns each); null text or role counts as empty; rows without conv_id form
@@ -86,9 +86,10 @@ def examples(rows: DataFrame) -> DataFrame:
 
 
 def with_text(rows: DataFrame) -> DataFrame:
-    """(conv_id, turn_no, text, loss_begin, loss_end): the examples with their whole texts,
-    context and reply. The texts of a conversation grow with the square of its turns, so this
-    is for the step that feeds them to training; the mask alone is in ``examples``."""
+    """(conv_id, turn_no, text, loss_begin, loss_end, last): the examples with their whole texts,
+    context and reply; the last one's text is the whole conversation. The texts of a
+    conversation grow with the square of its turns; they are made one after the other, and
+    only its turns are held together. The mask alone is in ``examples``."""
     kept = F.struct("turn_no", "formatted", "trainable", "last", "begin", "end", "body")
     listed = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(kept)).alias("turns"))
     each = listed.select("conv_id", "turns", F.explode(F.filter("turns", lambda t: t["trainable"] | t["last"])).alias("t"))
@@ -97,7 +98,7 @@ def with_text(rows: DataFrame) -> DataFrame:
     return each.select(
         "conv_id", t["turn_no"].alias("turn_no"), text.alias("text"),
         F.when(t["trainable"], t["begin"] + t["body"]).alias("loss_begin"),
-        F.when(t["trainable"], t["end"] - len(CLOSE)).alias("loss_end"),
+        F.when(t["trainable"], t["end"] - len(CLOSE)).alias("loss_end"), t["last"].alias("last"),
     )
 
 
@@ -121,20 +122,24 @@ def parse(text: Column) -> Column:
     return F.transform(found, one)
 
 
-def read_back(rows: DataFrame) -> DataFrame:
+def read_back(texts: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256 and formatted_chars (code
-    points of all examples' texts) of every conversation, read from its formatted text and
-    from its examples' masks. ``rows`` lie by conversation already: no further shuffle."""
-    own = masked(marked(rows))
+    points of all examples' texts) of every conversation, read from the examples that
+    ``with_text`` wrote: losses by each example's mask from its own text, the turns from the
+    text that holds the whole conversation. The texts lie by conversation: no further shuffle."""
+    cut = F.substring("text", (F.col("loss_begin") + 1).cast("int"), (F.col("loss_end") - F.col("loss_begin")).cast("int"))
+    own = texts.select(
+        "conv_id", "turn_no", F.length("text").cast("long").alias("chars"),
+        F.when(F.col("loss_begin").isNotNull(), unescaped(cut)).alias("loss_text"), F.when(F.col("last"), F.col("text")).alias("whole"),
+    )
     found = own.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn_no", "formatted"))).alias("turns"),
+        F.max("whole").alias("whole"),
         F.sort_array(F.collect_list(F.when(F.col("loss_text").isNotNull(), F.struct("turn_no", "loss_text")))).alias("losses"),
-        F.sum(F.when(F.col("is_example"), F.col("text_end"))).alias("formatted_chars"),
+        F.sum("chars").alias("formatted_chars"),
     )
-    whole = F.array_join(F.transform("turns", lambda t: t["formatted"]), "")
     loss = F.array_join(F.transform("losses", lambda x: x["loss_text"]), "")
     # Generators between the steps: the optimizer does not copy their expressions into each other.
-    text = found.select("conv_id", "formatted_chars", F.explode(F.array(F.struct(whole.alias("whole"), loss.alias("loss")))).alias("text"))
+    text = found.select("conv_id", "formatted_chars", F.explode(F.array(F.struct("whole", loss.alias("loss")))).alias("text"))
     read = text.select("conv_id", "formatted_chars", "text.loss", F.explode(F.array(parse(F.col("text.whole")))).alias("read"))
     told = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
@@ -144,5 +149,5 @@ def read_back(rows: DataFrame) -> DataFrame:
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
-    """The digests of all conversations, formatted and read back."""
-    return read_back(turn_rows(turns))
+    """The digests of all conversations, formatted into examples and read back from these."""
+    return read_back(with_text(turn_rows(turns)))

@@ -88,3 +88,20 @@ def test_query(spark, sf_dir):
     assert digests(found) == expected(rows)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_digests_are_read_from_the_examples(spark):
+    rows = [r for r in hard_rows() if r[0] != 9] + [(7, 0, "user", "q"), (7, 1, "assistant", "abc"), (7, 2, "user", "r"), (7, 3, "assistant", "défg")]
+    made = chat_format.with_text(chat_format.turn_rows(spark.createDataFrame(rows, SCHEMA)))
+    found = chat_format.read_back(made)
+    assert digests(found) == expected(rows)
+    chars = {}
+    for r in made.collect():
+        chars[r.conv_id] = chars.get(r.conv_id, 0) + len(r.text)
+    assert {r.conv_id: r.formatted_chars for r in found.collect()} == chars
+    # Other texts or masks, other digests: nothing is taken from elsewhere.
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    shorter = digests(chat_format.read_back(made.where("conv_id = 7").selectExpr("conv_id", "turn_no", "text", "loss_begin + 1 AS loss_begin", "loss_end", "last")))
+    assert shorter == {7: (4, expected(rows)[7][1], 5, sha("bcéfg"))}
+    other = digests(chat_format.read_back(made.where("conv_id = 7").selectExpr("conv_id", "turn_no", "translate(text, 'bé', 'BE') AS text", "loss_begin", "loss_end", "last")))
+    assert other[7][2:] == (7, sha("aBcdEfg")) and other[7][1] != expected(rows)[7][1]
