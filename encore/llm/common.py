@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Spark's setting by which a write's shuffle files go when the write ends.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Writes inside remove their shuffles' files when they end; else these stay on disk until
+    the driver happens to collect the plans that made them."""
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(REMOVE_SHUFFLES, before)
+
+
 def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, empty for null."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

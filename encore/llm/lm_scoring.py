@@ -49,7 +49,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import checkpointed
+from encore.llm.common import checkpointed, shuffles_removed
 from encore.llm.parts import text_slices
 from encore.llm.phrase_mining import mixed, pack, pack_sorted, range_of, unpack, unpack_sorted
 from encore.session import scratch_path
@@ -611,7 +611,8 @@ def _round(blocks: DataFrame, answers: list[DataFrame], corpus: Corpus, *names:
     spark = blocks.sparkSession
     rows = _each(_blocks(blocks, answers), corpus, lambda k, block: (_in_ranges(x, k, block.ask(x), corpus.ranges) for x in names), ASKED_SCHEMA)
     path = scratch_path(spark, f"answers-{names[0]}")
-    summed(rows if also is None else rows.union(also)).write.parquet(path)
+    with shuffles_removed(spark):
+        summed(rows if also is None else rows.union(also)).write.parquet(path)
     answers.append(spark.read.parquet(path).where("block >= 0"))
 
 
@@ -695,7 +696,8 @@ def score_corpus(docs: DataFrame, held_out: Callable[[], Column], key: str = "do
         # Written once, bucketed like the blocks, as three steps need it.
         roots = _each(_blocks(blocks, answers), corpus, lambda k, block: [([k], [block.root_of_words().tobytes()])], "block bigint, root binary")
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        roots.write.bucketBy(buckets, "block").option("path", scratch_path(spark, "lm-roots")).saveAsTable(f"{table}_roots")
+        with shuffles_removed(spark):
+            roots.write.bucketBy(buckets, "block").option("path", scratch_path(spark, "lm-roots")).saveAsTable(f"{table}_roots")
         blocks = spark.table(table).join(spark.table(f"{table}_roots"), "block")
         for names in (("pairs",), ("kept1", "triples"), ("kept2",)):
             _round(blocks, answers, corpus, *names)
@@ -706,7 +708,8 @@ def score_corpus(docs: DataFrame, held_out: Callable[[], Column], key: str = "do
             yield ids, block.held, tokens, known, np.full(len(tokens), n, dtype=np.int64), base, total
 
         path = scratch_path(spark, "lm-scores")
-        _each(_blocks(blocks, answers), corpus, score, SCORE_SCHEMA).write.parquet(path)
+        with shuffles_removed(spark):
+            _each(_blocks(blocks, answers), corpus, score, SCORE_SCHEMA).write.parquet(path)
     finally:
         for name in (table, f"{table}_roots"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
