@@ -14,7 +14,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,22 +70,33 @@ def _without_dots(path: Column) -> Column:
     return F.array_join(F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step), "/")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value as a lambda's argument: the plan holds it once, however
+    often ``use`` names it. Written out, nested ones multiply to megabytes of plan on the driver."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _target(link: Column, url: Column) -> Column:
     """Absolute form of a link found on ``url``. A scheme counts at the start of the link only;
     null for schemes without a host (``mailto:``)."""
-    origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(F.concat(F.lit("/"), path_of(url)), r"(?s)^/(.*/|)", 1)
-    link = F.regexp_replace(link, "&amp;", "&")
-    whole = (
-        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
-        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
-        .when(F.startswith(link, F.lit("//")), F.concat(F.lit("http:"), link))
-        .when(F.startswith(link, F.lit("/")), F.concat(origin, link))
-        .when(F.startswith(link, F.lit("?")), F.concat(origin, path_of(url), link))
-        .when(F.startswith(link, F.lit("#")), F.concat(F.regexp_replace(url, "(?s)#.*", ""), link))
-        .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), link))
-    )
-    return F.concat(F.regexp_extract(whole, r"(?s)^(.*?://[^/?#]*)", 1), _without_dots(path_of(whole)), F.regexp_extract(whole, r"(?s)^[^?#]*(.*)$", 1))
+
+    def joined(link: Column, url: Column) -> Column:
+        origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+        folder = F.regexp_extract(F.concat(F.lit("/"), path_of(url)), r"(?s)^/(.*/|)", 1)
+        return (
+            F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+            .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+            .when(F.startswith(link, F.lit("//")), F.concat(F.lit("http:"), link))
+            .when(F.startswith(link, F.lit("/")), F.concat(origin, link))
+            .when(F.startswith(link, F.lit("?")), F.concat(origin, path_of(url), link))
+            .when(F.startswith(link, F.lit("#")), F.concat(F.regexp_replace(url, "(?s)#.*", ""), link))
+            .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), link))
+        )
+
+    def plain(whole: Column) -> Column:
+        return F.concat(F.regexp_extract(whole, r"(?s)^(.*?://[^/?#]*)", 1), _without_dots(path_of(whole)), F.regexp_extract(whole, r"(?s)^[^?#]*(.*)$", 1))
+
+    return _bound(F.regexp_replace(link, "&amp;", "&"), lambda to: _bound(url, lambda on: _bound(joined(to, on), plain)))
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -94,11 +105,10 @@ def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     links = F.concat(F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(1)), F.regexp_extract_all(html, F.lit(REFRESH), F.lit(1)))
     # The markers are looked for first: the patterns run on pages that have one.
     marked = pages.where(F.contains(F.lower(html), F.lit("canonical")) | F.contains(F.lower(html), F.lit("http-equiv")))
-    base = F.regexp_extract(html, BASE, 1)
-    base = F.when(base != "", _target(base, F.col(url)))
+    base = _bound(F.regexp_extract(html, BASE, 1), lambda base: F.when(base != "", _target(base, F.col(url))))
     found = marked.select(F.col(url).alias("url"), F.coalesce(base, F.col(url)).alias("base"), F.explode(links).alias("link"))
     return (
-        found.select(alias_key(F.col("url")).alias("a"), alias_key(_target(F.col("link"), F.col("base"))).alias("b"))
+        found.select(alias_key(F.col("url")).alias("a"), _bound(_target(F.col("link"), F.col("base")), alias_key).alias("b"))
         .where("a is not null and b is not null and a <> b")
         .distinct()
     )
