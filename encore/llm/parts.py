@@ -24,7 +24,9 @@ CACHE_PARTS = 600_000
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most ``limit`` bytes in a text column (one row at least)."""
+    """The batches in slices of at most ``limit`` bytes in a text column (one row at least).
+    Arrow's pool gives back what a slice needed: workers stay, and would hold it between tasks."""
+    pool = pa.default_memory_pool()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends, at = np.cumsum(sizes), 0
@@ -32,6 +34,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLI
             before = ends[at - 1] if at else 0
             stop = max(int(np.searchsorted(ends, before + limit, side="right")), at + 1)
             yield batch.slice(at, stop - at)
+            pool.release_unused()
             at = stop
 
 

@@ -38,9 +38,9 @@ from encore.session import scratch_path
 
 SPACE = "▁"
 #: Distinct pairs held by a counting task before they are merged, and bytes of ids aligned together.
-_HELD_PAIRS, _ID_BYTES = 1_000_000, 2 << 20
+_HELD_PAIRS, _ID_BYTES = 500_000, 1 << 20
 #: Bytes of text encoded together, and runs and parts kept per generation of the two memories.
-_TEXT_BYTES, _KEPT = 4 << 20, 150_000
+_TEXT_BYTES, _KEPT = 2 << 20, 50_000
 
 
 class Encoders:

@@ -7,11 +7,12 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from encore.llm import token_shards
+from encore.llm import parts, token_shards
 from encore.llm.byte_bpe import ByteEncoder
 from encore.llm.parts import Memory, cut, gather, text_slices
 from encore.llm.queries import tokenizer_path
 from encore.llm.sentencepiece_codec import Codec
+from encore.llm.token_alignment import Encoders
 
 PIECES = [" ", "  ", "\n", "\t", "a", "word", "Word.", "don't", "'s", "é", "ßü", "漢字", "😀", "1234", "<|endoftext|>", "<|", "\x00", "\x1c", "\x85", " ",
           "　", "▁", "...", "x,y;z", "<s>", "ﬁ", "é", "A" * 200, "ɐ", " "]
@@ -97,3 +98,27 @@ def test_pieces_and_spans_of_batches_are_those_of_single_texts():
             own = slice(at[k], at[k + 1])
             assert all(x[own].tolist() == y.tolist() for x, y in zip((ids, begins, ends), want, strict=True)), t
             assert ids[own].tolist() == codec.library.encode(t or "")
+
+
+def _new_words(n=300_000, each=20_000):
+    """Texts of words that do not come up again."""
+    return [pa.array([" ".join(f"w{k}" for k in range(at, at + each))]) for at in range(0, n, each)]
+
+
+def test_worker_keeps_few_parts_and_runs():
+    encoders = Encoders(tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    for texts in _new_words():
+        encoders.encode(texts)
+    assert max(len(m.newer) + len(m.older) for m in (encoders.parts, encoders.a.runs)) <= 200_000  # all 300,000 before
+
+
+def test_slices_give_memory_back(monkeypatch):
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(1)
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(["abc"] * 10)], ["text"])] * 2
+    monkeypatch.setattr(parts.pa, "default_memory_pool", Pool)
+    assert sum(b.num_rows for b in text_slices(iter(batches), 0, 15)) == 20 and len(released) == 4
