@@ -75,10 +75,12 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most ``rows`` rows, so that what a step builds from
-    one slice stays small whatever Arrow batch size the session has."""
+    one slice stays small whatever Arrow batch size the session has. After each batch Arrow's
+    pool gives back what it needed: workers stay, and would hold it between tasks."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
 
 
 def map_slices(

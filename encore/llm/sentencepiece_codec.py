@@ -32,9 +32,9 @@ from encore.llm.parts import Memory, cut, gather, text_slices
 SPACE = "▁"
 _SPACE_BYTES = SPACE.encode()
 #: Segmented words kept per worker process.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 80_000
 #: Bytes of text encoded together.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 
 
 def _fields(message: bytes) -> list[tuple[int, int, int, int | bytes]]:

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from encore.llm import parts, token_shards
+from encore.llm import common, parts, token_shards
 from encore.llm.byte_bpe import ByteEncoder
 from encore.llm.parts import Memory, cut, gather, text_slices
 from encore.llm.queries import tokenizer_path
@@ -105,6 +105,13 @@ def _new_words(n=300_000, each=20_000):
     return [pa.array([" ".join(f"w{k}" for k in range(at, at + each))]) for at in range(0, n, each)]
 
 
+def test_worker_keeps_few_pieces():
+    codec = Codec(tokenizer_path("piece_bpe_32k.model"))
+    for texts in _new_words():
+        codec.encode_batch(texts)
+    assert len(codec.parts.newer) + len(codec.parts.older) <= 200_000  # all 300,000 before
+
+
 def test_worker_keeps_few_parts_and_runs():
     encoders = Encoders(tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
     for texts in _new_words():
@@ -122,3 +129,4 @@ def test_slices_give_memory_back(monkeypatch):
     batches = [pa.RecordBatch.from_arrays([pa.array(["abc"] * 10)], ["text"])] * 2
     monkeypatch.setattr(parts.pa, "default_memory_pool", Pool)
     assert sum(b.num_rows for b in text_slices(iter(batches), 0, 15)) == 20 and len(released) == 4
+    assert sum(b.num_rows for b in common.sliced(iter(batches), 5)) == 20 and len(released) == 6
