@@ -9,7 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
+    LinearSVC,
+    LogisticRegression,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -34,8 +40,23 @@ def svm(max_iter: int = 10, reg_param: float = 0.1, **params) -> LinearSVC:
     return LinearSVC(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg_param, **params)
 
 
+class _ForestModel(RandomForestClassificationModel):
+    """A fitted forest that makes Python objects of its trees only when they are asked for. PySpark
+    makes them for every model (``params`` reads each attribute that is no plain property), with many
+    calls of the JVM per tree: over a grid of 100 and 200 trees that took longer than the fits."""
+
+    @property
+    def trees(self) -> list[DecisionTreeClassificationModel]:
+        return super().trees
+
+
+class _Forest(RandomForestClassifier):
+    def _create_model(self, java_model) -> _ForestModel:
+        return _ForestModel(java_model)
+
+
 def forest(seed: int = SEED, **params) -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed, **params)
+    return _Forest(featuresCol="features", labelCol="label", seed=seed, **params)
 
 
 def fit(estimator: Estimator, train: DataFrame) -> Model:

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import DecisionTreeClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 
 from encore.operators import models
@@ -52,6 +53,27 @@ def test_forest_grid_on_finely_dealt_rows(rows, dealt):
     assert found.bestModel.getNumTrees in (3, 5) and min(found.avgMetrics) > 0.6
 
 
+def test_trees_become_objects_when_asked_for(rows, monkeypatch):
+    made, init = [], DecisionTreeClassificationModel.__init__
+
+    def noted(self, *args):
+        made.append(self)
+        init(self, *args)
+
+    monkeypatch.setattr(DecisionTreeClassificationModel, "__init__", noted)
+    est = models.forest()
+    found = models.tune(est, models.grid(est, numTrees=[3, 5], maxDepth=[2]), models.binary_evaluator(), rows, folds=2, keys=["id"])
+    got = found.transform(rows).select("id", "probability", "prediction").orderBy("id").collect()
+    assert not made
+    best = found.bestModel
+    depths = [t.depth for t in best.trees]
+    assert len(depths) == len(made) == best.getNumTrees
+    plain = RandomForestClassifier(featuresCol="features", labelCol="label", seed=models.SEED, numTrees=best.getNumTrees, maxDepth=2)
+    own = plain.fit(rows.coalesce(1))  # the forest of Spark's own estimator
+    told = own.transform(rows).select("id", "probability", "prediction").orderBy("id").collect()
+    assert got == told and depths == [t.depth for t in own.trees]
+
+
 def test_empty_train_is_an_error(rows):
     with pytest.raises(Exception, match="(?i)empty"):
         _svm(rows.where("id < 0"))
